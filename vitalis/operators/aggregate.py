@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import clock_minute
+from vitalis.functions.stats import avg_col, fixed_avg_sql
 
 
 def _r(col: Column, digits: int | None) -> Column:
@@ -28,7 +29,7 @@ def by_sensor(readings: DataFrame, digits: int | None = None) -> DataFrame:
     """A1: count of all rows, avg, min, max and sample std per sensor."""
     return readings.groupBy("sensor_type").agg(
         F.count(F.lit(1)).alias("count"),
-        _r(F.avg("value"), digits).alias("avg"),
+        avg_col("value", digits).alias("avg"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         _r(F.stddev_samp("value"), digits).alias("std"),
@@ -53,7 +54,7 @@ def patient_summary(readings: DataFrame) -> DataFrame:
 
 def sensor_stats_sql_text(view: str = "readings", digits: int | None = None) -> str:
     """A3 + O1 as SQL text over a view or a ``parquet.`path` `` relation."""
-    avg = f"ROUND(AVG(value), {digits})" if digits is not None else "AVG(value)"
+    avg = fixed_avg_sql("value", digits) if digits is not None else "AVG(value)"
     return f"""
         SELECT sensor_type,
                COUNT(*) AS count,
@@ -86,7 +87,7 @@ def sensor_stats_df(readings: DataFrame, digits: int | None = None) -> DataFrame
         .groupBy("sensor_type")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            _r(F.avg("value"), digits).alias("avg_value"),
+            avg_col("value", digits).alias("avg_value"),
             F.min("value").alias("min_value"),
             F.max("value").alias("max_value"),
         )
@@ -98,7 +99,7 @@ def value_stats(readings: DataFrame, digits: int | None = None) -> DataFrame:
     """A5: avg / min / max of a value list; an empty input gives zeros."""
     return readings.agg(
         F.count(F.lit(1)).alias("count"),
-        F.coalesce(_r(F.avg("value"), digits), F.lit(0.0)).alias("avg"),
+        F.coalesce(avg_col("value", digits), F.lit(0.0)).alias("avg"),
         F.coalesce(F.min("value"), F.lit(0.0)).alias("min"),
         F.coalesce(F.max("value"), F.lit(0.0)).alias("max"),
     )
@@ -107,7 +108,7 @@ def value_stats(readings: DataFrame, digits: int | None = None) -> DataFrame:
 def filtered_stats(readings: DataFrame, sensor: str, digits: int | None = None) -> DataFrame:
     """Global stats of one sensor."""
     return readings.filter(F.col("sensor_type") == sensor).agg(
-        _r(F.avg("value"), digits).alias("avg"),
+        avg_col("value", digits).alias("avg"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.count(F.lit(1)).alias("count"),
@@ -122,7 +123,7 @@ def count_per_patient(readings: DataFrame) -> DataFrame:
 def count_avg_per_sensor(readings: DataFrame, digits: int | None = None) -> DataFrame:
     """Rows and average value per sensor."""
     return readings.groupBy("sensor_type").agg(
-        F.count(F.lit(1)).alias("count"), _r(F.avg("value"), digits).alias("avg_value")
+        F.count(F.lit(1)).alias("count"), avg_col("value", digits).alias("avg_value")
     )
 
 

@@ -92,7 +92,7 @@ def normal_status(readings: DataFrame) -> DataFrame:
     """V8: normal / valid / invalid per measure, plus ``is_normal``."""
     st = status_by_param("param", "measure")
     return measures(readings).select(
-        "event_id", "param", "measure", st.alias("status"), (st == "normal").alias("is_normal")
+        "event_id", "param", "measure", st.alias("status"), F.coalesce(st == "normal", F.lit(False)).alias("is_normal")
     )
 
 

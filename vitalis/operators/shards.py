@@ -48,9 +48,11 @@ def with_shard(readings: DataFrame, total_shards: int) -> DataFrame:
 
 
 def shard_counts(readings: DataFrame, total_shards: int) -> DataFrame:
-    """Rows per (shard, sensor) for a given shard count."""
+    """Rows per (shard, sensor) for a given shard count; sensors outside
+    the shard order belong to no shard and are left out (F7)."""
     return (
         with_shard(readings, total_shards)
+        .filter(F.col("shard_id").isNotNull())
         .groupBy("shard_id", "sensor_type")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy("shard_id", "sensor_type")

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalis.functions.stats import avg_col
 from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS
 
 US_PER_SECOND = 1_000_000
@@ -60,7 +61,7 @@ def tumbling(
         data = data.filter(F.col(valid_col))
     g = data.groupBy(F.window(ts, size).alias("w"), "patient_id", "sensor_type").agg(
         F.count(F.lit(1)).alias("count"),
-        _r(F.avg("value"), digits).alias("avg"),
+        avg_col("value", digits).alias("avg"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
@@ -84,10 +85,10 @@ def tumbling_bp(readings: DataFrame, size: str = "5 seconds", ts: str = "ts", di
     """
     g = bp_readings(readings).groupBy(F.window(ts, size).alias("w"), "patient_id", "sensor_type").agg(
         F.count(F.lit(1)).alias("count"),
-        _r(F.avg("systolic"), digits).alias("systolic_avg"),
+        avg_col("systolic", digits).alias("systolic_avg"),
         F.min("systolic").alias("systolic_min"),
         F.max("systolic").alias("systolic_max"),
-        _r(F.avg("diastolic"), digits).alias("diastolic_avg"),
+        avg_col("diastolic", digits).alias("diastolic_avg"),
         F.min("diastolic").alias("diastolic_min"),
         F.max("diastolic").alias("diastolic_max"),
     )
@@ -149,7 +150,7 @@ def trailing(
         "_b",
         "_part",
         F.count(F.lit(1)).over(w).alias("count"),
-        _r(F.avg("value").over(w), digits).alias("avg"),
+        avg_col("value", digits, over=w).alias("avg"),
         F.min("value").over(w).alias("min"),
         F.max("value").over(w).alias("max"),
     )
@@ -174,7 +175,7 @@ def trailing_current(
     recent = data.join(last, list(keys)).filter(F.col("_us") > F.col("_last") - F.lit(window_us))
     return recent.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"),
-        _r(F.avg("value"), digits).alias("avg"),
+        avg_col("value", digits).alias("avg"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.max(ts).alias("last_ts"),
@@ -194,7 +195,7 @@ def _sensor_struct(sensor: str, over=None, digits: int | None = None) -> Column:
         n > 0,
         F.struct(
             n.alias("count"),
-            _r(ov(F.avg(v)), digits).alias("avg"),
+            avg_col(v, digits, over=over).alias("avg"),
             ov(F.min(v)).alias("min"),
             ov(F.max(v)).alias("max"),
         ),
@@ -268,7 +269,9 @@ def flatten_snapshot(df: DataFrame, sep: str = ",") -> DataFrame:
         if c in ("patient_ids", "sensor_types"):
             cols.append(F.array_join(F.col(c), sep).alias(c))
         elif c in SCALAR_SENSORS:
-            cols += [F.col(f"{c}.{f}").alias(f"{c}_{f}") for f in ("count", "avg", "min", "max")]
+            # An absent sensor (NULL struct) has count 0 and NULL statistics.
+            cols.append(F.coalesce(F.col(f"{c}.count"), F.lit(0).cast("long")).alias(f"{c}_count"))
+            cols += [F.col(f"{c}.{f}").alias(f"{c}_{f}") for f in ("avg", "min", "max")]
         else:
             cols.append(F.col(c))
     return df.select(*cols)

@@ -77,6 +77,15 @@ def _rd(x: str) -> str:
     return f"ROUND({x}, {R})"
 
 
+def _avg(x: str, filt: str = "", over: str = "") -> str:
+    """Exact average rounded half-up to R decimals (integer steps)."""
+    unit = 10**R
+    s = f"SUM(CAST(ROUND({x} * {unit}.0) AS HUGEINT)) {filt} {over}"
+    n = f"CAST(COUNT({x}) {filt} {over} AS HUGEINT)"
+    num, den = f"(2 * {s} + {n})", f"(2 * {n})"
+    return f"CASE WHEN {n} > 0 THEN CAST(({num} - (({num} % {den}) + {den}) % {den}) // {den} AS DOUBLE) / {unit}.0 END"
+
+
 BASE = _with(READINGS_CTE)
 BASE_DIRTY = _with(READINGS_CTE, DIRTY_CTE)
 US = "epoch_us(ts)"
@@ -149,7 +158,7 @@ def _quality() -> str:
     ]
     items = ", ".join(f"CASE WHEN {n} > 0 THEN '{t}' || CAST({n} AS VARCHAR) END" for n, t in labels)
     return f"""{BASE}, c AS (SELECT COUNT(*) AS total_records, {', '.join(counts)} FROM readings)
-SELECT total_records, array_to_string(list_filter([{items}], x -> x IS NOT NULL), '; ') AS issues FROM c"""
+SELECT total_records, array_to_string(list_filter([{items}], lambda x: x IS NOT NULL), '; ') AS issues FROM c"""
 
 
 def _alerts(source: str, params: list[str]) -> str:
@@ -177,8 +186,8 @@ def _snapshot_cols(over: str) -> str:
         n = f"COUNT(*) {f} {over}"
         v = "COALESCE(value, CAST(0.0 AS DOUBLE))"
         cols += [
-            f"CASE WHEN {n} > 0 THEN {n} END AS {s}_count",
-            f"CASE WHEN {n} > 0 THEN {_rd(f'AVG({v}) {f} {over}')} END AS {s}_avg",
+            f"{n} AS {s}_count",
+            f"CASE WHEN {n} > 0 THEN {_avg(v, f, over)} END AS {s}_avg",
             f"CASE WHEN {n} > 0 THEN MIN({v}) {f} {over} END AS {s}_min",
             f"CASE WHEN {n} > 0 THEN MAX({v}) {f} {over} END AS {s}_max",
         ]
@@ -194,7 +203,7 @@ ALL_COLS = "event_id, patient_id, sensor_type, value, systolic, diastolic, ts"
 def _tumbling(where: str = "") -> str:
     return f"""{BASE}
 SELECT patient_id, sensor_type, ws + INTERVAL 1 DAY AS "timestamp", ws AS window_start, ws + INTERVAL 1 DAY AS window_end,
-       COUNT(*) AS count, {_rd('AVG(value)')} AS avg, MIN(value) AS min, MAX(value) AS max
+       COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max
 FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings WHERE sensor_type <> 'blood_pressure')
 GROUP BY patient_id, sensor_type, ws {where}"""
 
@@ -203,8 +212,8 @@ def _tumbling_bp(where: str = "") -> str:
     return f"""{BASE}
 SELECT patient_id, sensor_type, ws + INTERVAL 1 DAY AS "timestamp", ws AS window_start, ws + INTERVAL 1 DAY AS window_end,
        COUNT(*) AS count,
-       {_rd('AVG(systolic)')} AS systolic_avg, MIN(systolic) AS systolic_min, MAX(systolic) AS systolic_max,
-       {_rd('AVG(diastolic)')} AS diastolic_avg, MIN(diastolic) AS diastolic_min, MAX(diastolic) AS diastolic_max
+       {_avg('systolic')} AS systolic_avg, MIN(systolic) AS systolic_min, MAX(systolic) AS systolic_max,
+       {_avg('diastolic')} AS diastolic_avg, MIN(diastolic) AS diastolic_min, MAX(diastolic) AS diastolic_max
 FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings WHERE sensor_type = 'blood_pressure')
 GROUP BY patient_id, sensor_type, ws {where}"""
 
@@ -218,13 +227,13 @@ def _shard() -> str:
 
 ORACLE: dict[str, str] = {
     "sensor_stats_sql": f"""{BASE}
-SELECT sensor_type, COUNT(*) AS count, {_rd('AVG(value)')} AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value
+SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value
 FROM readings WHERE sensor_type IS NOT NULL AND value > 0 GROUP BY sensor_type ORDER BY count DESC, sensor_type""",
     "patient_stats_sql": f"""{BASE_DIRTY}
 SELECT patient_id, COUNT(*) AS readings, COUNT(DISTINCT sensor_type) AS sensors
 FROM dirty_readings GROUP BY patient_id ORDER BY readings DESC, patient_id""",
     "sql_on_parquet": f"""
-SELECT event_type, COUNT(*) AS count, {_rd('AVG(value)')} AS avg_value FROM events WHERE value > 0 GROUP BY event_type""",
+SELECT event_type, COUNT(*) AS count, AVG(value) AS avg_value FROM events WHERE value > 0 GROUP BY event_type""",
     "sql_validate": f"""{BASE}
 SELECT event_id, sensor_type,
        CAST(CASE sensor_type
@@ -239,7 +248,7 @@ SELECT event_id, sensor_type,
        END AS status
 FROM readings WHERE sensor_type IN ('pulse', 'temperature', 'spo2')""",
     "sensor_stats": f"""{BASE}
-SELECT sensor_type, COUNT(*) AS count, {_rd('AVG(value)')} AS avg, MIN(value) AS min, MAX(value) AS max,
+SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max,
        {_rd('STDDEV_SAMP(value)')} AS std
 FROM readings GROUP BY sensor_type""",
     "patient_stats": f"""{BASE_DIRTY}
@@ -251,14 +260,14 @@ SELECT patient_id, COUNT(*) AS readings,
        COUNT(DISTINCT sensor_type) + MAX(CASE WHEN sensor_type IS NULL THEN 1 ELSE 0 END) AS sensors
 FROM dirty_readings GROUP BY patient_id""",
     "pulse_stats": f"""{BASE}
-SELECT {_rd('AVG(value)')} AS avg, MIN(value) AS min, MAX(value) AS max, COUNT(*) AS count
+SELECT {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max, COUNT(*) AS count
 FROM readings WHERE sensor_type = 'pulse'""",
     "patient_counts": f"""{BASE}
 SELECT patient_id, COUNT(*) AS count FROM readings GROUP BY patient_id""",
     "sensor_count_avg": f"""{BASE}
-SELECT sensor_type, COUNT(*) AS count, {_rd('AVG(value)')} AS avg_value FROM readings GROUP BY sensor_type""",
+SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg_value FROM readings GROUP BY sensor_type""",
     "value_stats": f"""{BASE}
-SELECT COUNT(*) AS count, COALESCE({_rd('AVG(value)')}, 0.0) AS avg, COALESCE(MIN(value), 0.0) AS min,
+SELECT COUNT(*) AS count, COALESCE({_avg('value')}, 0.0) AS avg, COALESCE(MIN(value), 0.0) AS min,
        COALESCE(MAX(value), 0.0) AS max
 FROM readings WHERE sensor_type <> 'blood_pressure'""",
     "validated_readings": f"""{BASE}
@@ -273,7 +282,7 @@ FROM readings WHERE sensor_type = 'blood_pressure'""",
 SELECT m.event_id, m.param, m.measure, r.min, r.max, r.normal_min, r.normal_max
 FROM measures m LEFT JOIN ranges r ON m.param = r.param""",
     "normal_status": f"""{_with(READINGS_CTE, MEASURES_CTE)}
-SELECT event_id, param, measure, {_status()} AS status, ({_status()}) = 'normal' AS is_normal FROM measures""",
+SELECT event_id, param, measure, {_status()} AS status, COALESCE(({_status()}) = 'normal', false) AS is_normal FROM measures""",
     "quality_report": _quality(),
     "alerts": _alerts("(SELECT sensor_type AS param, value AS measure FROM readings)", ["pulse", "temperature", "spo2"]),
     "alerts_bp": _alerts("measures", ["systolic", "diastolic"]),
@@ -334,13 +343,13 @@ FROM readings WHERE sensor_type = 'pulse' ORDER BY ts, event_id""",
     "tumbling_bp": _tumbling_bp(),
     "trailing": f"""{BASE}
 SELECT event_id, patient_id, sensor_type, ts, value,
-       COUNT(*) OVER w AS count, {_rd('AVG(value) OVER w')} AS avg, MIN(value) OVER w AS min, MAX(value) OVER w AS max
+       COUNT(*) OVER w AS count, {_avg('value', over='OVER w')} AS avg, MIN(value) OVER w AS min, MAX(value) OVER w AS max
 FROM (SELECT *, {US} AS us FROM readings WHERE sensor_type <> 'blood_pressure')
 WINDOW w AS (PARTITION BY patient_id, sensor_type ORDER BY us RANGE BETWEEN {TRAILING_US - 1} PRECEDING AND CURRENT ROW)""",
     "trailing_current": f"""{BASE},
 s AS (SELECT *, {US} AS us FROM readings WHERE sensor_type <> 'blood_pressure'),
 l AS (SELECT patient_id, sensor_type, MAX(us) AS last FROM s GROUP BY patient_id, sensor_type)
-SELECT s.patient_id, s.sensor_type, COUNT(*) AS count, {_rd('AVG(value)')} AS avg, MIN(value) AS min,
+SELECT s.patient_id, s.sensor_type, COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min,
        MAX(value) AS max, MAX(ts) AS last_ts
 FROM s JOIN l ON s.patient_id = l.patient_id AND s.sensor_type = l.sensor_type
 WHERE s.us > l.last - {TRAILING_US}
@@ -371,22 +380,23 @@ FROM readings""",
     "payload_size": f"""{BASE},
 t AS (SELECT patient_id, sensor_type, value, {SECS} AS "timestamp" FROM readings)
 SELECT sensor_type, COUNT(*) AS records,
-       SUM(octet_length(CAST(to_json(struct_pack(patient_id, sensor_type, value, "timestamp")) AS VARCHAR)) + 1) AS json_bytes,
-       SUM(8 + COALESCE(octet_length(patient_id), 0) + 8 + COALESCE(octet_length(sensor_type), 0) + 16) AS binary_bytes,
-       {_rd('CAST(SUM(octet_length(CAST(to_json(struct_pack(patient_id, sensor_type, value, "timestamp")) AS VARCHAR)) + 1) AS DOUBLE) / CAST(SUM(8 + COALESCE(octet_length(patient_id), 0) + 8 + COALESCE(octet_length(sensor_type), 0) + 16) AS DOUBLE)')} AS ratio
+       CAST(SUM(strlen(CAST(to_json(struct_pack(patient_id, sensor_type, value, "timestamp")) AS VARCHAR)) + 1) AS BIGINT) AS json_bytes,
+       CAST(SUM(8 + COALESCE(strlen(patient_id), 0) + 8 + COALESCE(strlen(sensor_type), 0) + 16) AS BIGINT) AS binary_bytes,
+       {_rd('CAST(SUM(strlen(CAST(to_json(struct_pack(patient_id, sensor_type, value, "timestamp")) AS VARCHAR)) + 1) AS DOUBLE) / CAST(SUM(8 + COALESCE(strlen(patient_id), 0) + 8 + COALESCE(strlen(sensor_type), 0) + 16) AS DOUBLE)')} AS ratio
 FROM t GROUP BY sensor_type""",
     "shard_assignment": f"""{BASE}
-SELECT {_shard()} AS shard_id, sensor_type, COUNT(*) AS count FROM readings GROUP BY 1, 2 ORDER BY 1, 2""",
+SELECT {_shard()} AS shard_id, sensor_type, COUNT(*) AS count FROM readings
+WHERE {_shard()} IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2""",
     "shard_throughput": f"""{BASE}
 SELECT shard_id, ws AS window_start, ws + INTERVAL 1 DAY AS window_end, COUNT(*) AS processed
 FROM (SELECT {_shard()} AS shard_id, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings)
 WHERE shard_id IS NOT NULL GROUP BY shard_id, ws""",
     "output_counts": f"""{BASE},
 aggs AS (
-  SELECT ws + INTERVAL 1 DAY AS at FROM (SELECT patient_id, sensor_type, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings) GROUP BY patient_id, sensor_type, ws
+  SELECT ws + INTERVAL 1 DAY AS emitted FROM (SELECT patient_id, sensor_type, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings) GROUP BY patient_id, sensor_type, ws
 ),
-tagged AS (SELECT ts AS at, 'raw' AS kind FROM readings WHERE sensor_type IS NOT NULL UNION ALL SELECT at, 'agg' FROM aggs)
-SELECT time_bucket(INTERVAL 1 DAY, at) AS window_start, time_bucket(INTERVAL 1 DAY, at) + INTERVAL 1 DAY AS window_end,
+tagged AS (SELECT ts AS emitted, 'raw' AS kind FROM readings WHERE sensor_type IS NOT NULL UNION ALL SELECT emitted, 'agg' FROM aggs)
+SELECT time_bucket(INTERVAL 1 DAY, emitted) AS window_start, time_bucket(INTERVAL 1 DAY, emitted) + INTERVAL 1 DAY AS window_end,
        kind, COUNT(*) AS count
 FROM tagged GROUP BY 1, 2, 3""",
     "ingest_stats": f"""{BASE},
@@ -404,7 +414,7 @@ h AS (SELECT patient_id, sensor_type, value,
              time_bucket(INTERVAL 1 DAY, ts) - to_days(CAST(k AS INTEGER)) AS ws
       FROM (SELECT *, unnest(range(0, 6)) AS k FROM readings WHERE sensor_type <> 'blood_pressure'))
 SELECT patient_id, sensor_type, ws AS window_start, ws + INTERVAL 6 DAY AS window_end,
-       COUNT(*) AS count, {_rd('AVG(value)')} AS avg, MIN(value) AS min, MAX(value) AS max
+       COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max
 FROM h GROUP BY patient_id, sensor_type, ws
 HAVING ws + INTERVAL 6 DAY <= (SELECT MAX(ts) FROM readings) - INTERVAL 1 HOUR""",
     "jsonl_roundtrip": f"""{BASE}

@@ -69,7 +69,7 @@ def q_sql_on_parquet(spark, sf_dir):
     prepare(spark)
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     return spark.sql(
-        f"""SELECT event_type, COUNT(*) AS count, ROUND(AVG(value), {DIGITS}) AS avg_value
+        f"""SELECT event_type, COUNT(*) AS count, AVG(value) AS avg_value
             FROM parquet.`{path}` WHERE value > 0 GROUP BY event_type"""
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from vitalis.functions.stats import avg_col
 from vitalis.operators.clean import DEDUP_KEY
 from vitalis.operators.windows import bp_readings, scalar_readings, tumbling, tumbling_bp
 from vitalis.schema import EVENTS_SCHEMA, READING_JSON_SCHEMA
@@ -89,7 +90,7 @@ def hop_stream(
     data = scalar_readings(readings.withWatermark("ts", delay))
     g = data.groupBy(F.window("ts", size, slide).alias("w"), "patient_id", "sensor_type").agg(
         F.count(F.lit(1)).alias("count"),
-        (F.round(F.avg("value"), digits) if digits is not None else F.avg("value")).alias("avg"),
+        avg_col("value", digits).alias("avg"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
