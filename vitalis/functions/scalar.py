@@ -18,19 +18,29 @@ def epoch_to_ts(seconds) -> Column:
     return F.timestamp_seconds(_c(seconds))
 
 
+def as_instant(ts) -> Column:
+    """A TIMESTAMP (instant) view of a time column.
+
+    Readings keep the source type of their time column, so predicates on it
+    reach the Parquet scan; the driver tables store TIMESTAMP_NTZ wall-clock
+    time in UTC, which the UTC session reads as the same instant.
+    """
+    return _c(ts).cast("timestamp")
+
+
 def ts_to_epoch(ts) -> Column:
-    """TIMESTAMP to whole epoch seconds (BIGINT)."""
-    return F.unix_seconds(_c(ts))
+    """Time to whole epoch seconds (BIGINT)."""
+    return F.unix_seconds(as_instant(ts))
 
 
 def ts_to_epoch_float(ts) -> Column:
-    """TIMESTAMP to fractional epoch seconds (DOUBLE)."""
-    return F.unix_micros(_c(ts)) / F.lit(1_000_000.0)
+    """Time to fractional epoch seconds (DOUBLE)."""
+    return F.unix_micros(as_instant(ts)) / F.lit(1_000_000.0)
 
 
 def ts_micros(ts) -> Column:
-    """TIMESTAMP to integer epoch microseconds, the unit of all window frames."""
-    return F.unix_micros(_c(ts))
+    """Time to integer epoch microseconds, the unit of all window frames."""
+    return F.unix_micros(as_instant(ts))
 
 
 def with_default(col, default) -> Column:
@@ -89,4 +99,4 @@ def patient_code(n) -> Column:
 
 def age_seconds(as_of, newest) -> Column:
     """Whole seconds from the newest row to ``as_of`` (all days counted)."""
-    return F.unix_seconds(_c(as_of)) - F.unix_seconds(_c(newest))
+    return F.unix_seconds(as_instant(as_of)) - F.unix_seconds(as_instant(newest))

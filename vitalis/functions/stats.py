@@ -3,10 +3,10 @@
 A floating-point sum depends on the order rows are added, which on a cluster
 depends on partitioning and task timing, so ``avg`` of the same data can
 differ in the last bits between runs.  ``fixed_avg`` sums the values as
-integers of 10**-digits units (DECIMAL, no overflow at any realistic row
-count) and divides with exact half-up rounding.  The result is the exact
-average of the values rounded to ``digits`` decimals, identical for every
-partitioning, every run and every engine that does the same integer steps.
+integers of 10**-(digits+3) units (DECIMAL(38,0): no overflow below about
+10**26 rows of values under 10**3) and divides with exact half-up rounding
+to ``digits`` decimals.  The result is the same for every partitioning,
+every run and every engine that does the same integer steps.
 """
 
 from __future__ import annotations
@@ -14,35 +14,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+GUARD = 3  # extra decimals kept in the sum before the final rounding
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def scaled(col, digits: int = 6) -> Column:
-    """Value as an integer count of 10**-digits units (DECIMAL(38,0))."""
-    return F.round(_c(col) * F.lit(float(10**digits))).cast("decimal(38,0)")
+def scaled(col, decimals: int) -> Column:
+    """Value as an integer count of 10**-decimals units (DECIMAL(38,0))."""
+    return F.round(_c(col) * F.lit(float(10**decimals))).cast("decimal(38,0)")
 
 
 def fixed_avg(col, digits: int = 6, over=None) -> Column:
-    """Average of ``col`` rounded half-up to ``digits`` decimals, exactly.
+    """Average of ``col`` rounded half-up to ``digits`` decimals.
 
-    ``over``: a window spec, for a frame average.  NULLs are ignored and an
-    all-NULL (or empty) input gives NULL, as with ``avg``.
+    Inputs are quantised to ``digits + 3`` decimals, summed exactly and divided
+    exactly.  ``over``: a window spec, for a frame average.  NULLs are
+    ignored and an all-NULL (or empty) input gives NULL, as with ``avg``.
     """
     def ov(c: Column) -> Column:
         return c.over(over) if over is not None else c
 
-    s = ov(F.sum(scaled(col, digits)))
+    s = ov(F.sum(scaled(col, digits + GUARD)))
     n = ov(F.count(_c(col))).cast("decimal(20,0)")
-    num = s * F.lit(2) + n
-    den = n * F.lit(2)
+    k = F.lit(10**GUARD).cast("decimal(20,0)")
+    num = s * F.lit(2) + n * k
+    den = n * k * F.lit(2)
     q = (num - F.pmod(num, den)) / den
     return F.when(n > 0, q.cast("double") / F.lit(float(10**digits)))
 
 
 def avg_col(col, digits: int | None = None, over=None) -> Column:
-    """``avg`` when ``digits`` is None, else the exact fixed-point average."""
+    """``avg`` when ``digits`` is None, else the fixed-point average."""
     if digits is None:
         c = F.avg(_c(col))
         return c.over(over) if over is not None else c
@@ -51,8 +55,11 @@ def avg_col(col, digits: int | None = None, over=None) -> Column:
 
 def fixed_avg_sql(col: str, digits: int = 6) -> str:
     """``fixed_avg`` as Spark SQL text, for queries written in SQL."""
-    unit = float(10**digits)
+    unit, k = float(10 ** (digits + GUARD)), 10**GUARD
     s = f"SUM(CAST(ROUND({col} * {unit}) AS DECIMAL(38,0)))"
     n = f"CAST(COUNT({col}) AS DECIMAL(20,0))"
-    num, den = f"({s} * 2 + {n})", f"({n} * 2)"
-    return f"CASE WHEN COUNT({col}) > 0 THEN CAST(({num} - pmod({num}, {den})) / {den} AS DOUBLE) / {unit} END"
+    num, den = f"({s} * 2 + {n} * {k})", f"({n} * {k} * 2)"
+    return (
+        f"CASE WHEN COUNT({col}) > 0 THEN "
+        f"CAST(({num} - pmod({num}, {den})) / {den} AS DOUBLE) / {float(10**digits)} END"
+    )

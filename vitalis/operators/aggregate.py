@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalis.functions.scalar import clock_minute
+from vitalis.functions.scalar import age_seconds, clock_minute, ts_micros, ts_to_epoch
 from vitalis.functions.stats import avg_col, fixed_avg_sql
 
 
@@ -206,7 +206,7 @@ def kpis(readings: DataFrame, as_of: str, ts: str = "ts") -> DataFrame:
         "patients",
         "sensor_types",
         "latest",
-        (F.unix_seconds(as_of_col) - F.unix_seconds(F.col("latest"))).alias("age_seconds"),
+        age_seconds(as_of_col, "latest").alias("age_seconds"),
     )
 
 
@@ -220,7 +220,7 @@ def distinct_lists(readings: DataFrame) -> DataFrame:
 
 def ingest_stats(readings: DataFrame, ts: str = "ts", by: str | None = "sensor_type") -> DataFrame:
     """Rows, time span (s) and rows per second, per sensor or overall."""
-    span = (F.max(F.unix_micros(F.col(ts))) - F.min(F.unix_micros(F.col(ts)))) / F.lit(1e6)
+    span = (F.max(ts_micros(ts)) - F.min(ts_micros(ts))) / F.lit(1e6)
     grouped = readings.groupBy(by) if by else readings
     out = grouped.agg(F.count(F.lit(1)).alias("num_readings"), span.alias("duration_seconds"))
     rate = F.when(
@@ -255,7 +255,7 @@ def payload_size(readings: DataFrame, digits: int | None = None) -> DataFrame:
     8 bytes each.
     """
     transport = readings.select(
-        "patient_id", "sensor_type", "value", F.unix_seconds("ts").alias("timestamp")
+        "patient_id", "sensor_type", "value", ts_to_epoch("ts").alias("timestamp")
     )
     json_len = F.octet_length(F.to_json(F.struct("patient_id", "sensor_type", "value", "timestamp"))) + 1
     bin_len = (

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalis.functions.scalar import ts_to_epoch
 from vitalis.functions.validation import bp_is_valid, in_range, reading_check, status_by_param
 from vitalis.schema import BLOOD_PRESSURE, RANGES, SCALAR_SENSORS, ranges_df
 
@@ -26,7 +27,7 @@ def validated_readings(readings: DataFrame) -> DataFrame:
         .otherwise(F.lit(False))
     )
     return scalar.select(
-        "patient_id", "sensor_type", "value", F.unix_seconds("ts").alias("timestamp"), ok.alias("is_valid")
+        "patient_id", "sensor_type", "value", ts_to_epoch("ts").alias("timestamp"), ok.alias("is_valid")
     )
 
 
@@ -37,7 +38,7 @@ def validated_bp(readings: DataFrame) -> DataFrame:
         "sensor_type",
         "systolic",
         "diastolic",
-        F.unix_seconds("ts").alias("timestamp"),
+        ts_to_epoch("ts").alias("timestamp"),
         bp_is_valid().alias("is_valid"),
     )
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalis.functions.scalar import ts_micros
 from vitalis.functions.stats import avg_col
 from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS
 
@@ -115,7 +116,7 @@ def tumbling_bp(readings: DataFrame, size: str = "5 seconds", ts: str = "ts", di
 
 def _bucketed(df: DataFrame, ts: str, window_us: int) -> DataFrame:
     """Add ``_us`` and emit each row for its own bucket and the next one."""
-    with_us = df.withColumn("_us", F.unix_micros(F.col(ts)))
+    with_us = df.withColumn("_us", ts_micros(ts))
     bucket = F.expr(f"(_us - pmod(_us, {window_us})) div {window_us}")
     return with_us.withColumn("_b", bucket).select(
         "*", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_part")
@@ -170,7 +171,7 @@ def trailing_current(
     AQE turns the join into a broadcast when the key table is small at run
     time and splits a skewed key otherwise.  No per-key sort is needed.
     """
-    data = scalar_readings(readings).withColumn("_us", F.unix_micros(F.col(ts)))
+    data = scalar_readings(readings).withColumn("_us", ts_micros(ts))
     last = data.groupBy(*keys).agg(F.max("_us").alias("_last"))
     recent = data.join(last, list(keys)).filter(F.col("_us") > F.col("_last") - F.lit(window_us))
     return recent.groupBy(*keys).agg(
@@ -245,17 +246,19 @@ def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: st
     """Rows of the current window ``[max(t) - W, max(t)]``.
 
     The newest time is a scalar subquery (one value computed by a separate
-    aggregate job), not a join or a global sort.
+    aggregate job), not a join or a global sort.  The bound is compared with
+    the time column itself, so the Parquet scan can skip row groups.
     """
-    newest = readings.select(F.max(F.unix_micros(F.col(ts)))).scalar()
-    return readings.filter(F.unix_micros(F.col(ts)) >= newest - F.lit(window_us))
+    newest = readings.select(F.max(ts)).scalar()
+    span = F.expr(f"make_dt_interval(0, 0, 0, {window_us / US_PER_SECOND:.6f})")
+    return readings.filter(F.col(ts) >= newest - span)
 
 
 def window_current(
     readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts", digits: int | None = None
 ) -> DataFrame:
     """One-row aggregate of the current window (count, duration, lists, per-sensor)."""
-    rows = window_rows(readings, window_us, ts).withColumn("_us", F.unix_micros(F.col(ts)))
+    rows = window_rows(readings, window_us, ts).withColumn("_us", ts_micros(ts))
     duration = F.when(F.count(F.lit(1)) > 1, (F.max("_us") - F.min("_us")) / F.lit(float(US_PER_SECOND))).otherwise(
         F.lit(0.0)
     )

@@ -78,12 +78,12 @@ def _rd(x: str) -> str:
 
 
 def _avg(x: str, filt: str = "", over: str = "") -> str:
-    """Exact average rounded half-up to R decimals (integer steps)."""
-    unit = 10**R
+    """Fixed-point average: sum in 10**-(R+3) units, exact half-up division."""
+    unit, k = 10 ** (R + 3), 1000
     s = f"SUM(CAST(ROUND({x} * {unit}.0) AS HUGEINT)) {filt} {over}"
     n = f"CAST(COUNT({x}) {filt} {over} AS HUGEINT)"
-    num, den = f"(2 * {s} + {n})", f"(2 * {n})"
-    return f"CASE WHEN {n} > 0 THEN CAST(({num} - (({num} % {den}) + {den}) % {den}) // {den} AS DOUBLE) / {unit}.0 END"
+    num, den = f"(2 * {s} + {n} * {k})", f"(2 * {k} * {n})"
+    return f"CASE WHEN {n} > 0 THEN CAST(({num} - (({num} % {den}) + {den}) % {den}) // {den} AS DOUBLE) / {10**R}.0 END"
 
 
 BASE = _with(READINGS_CTE)
@@ -218,7 +218,8 @@ FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings WHERE sensor
 GROUP BY patient_id, sensor_type, ws {where}"""
 
 
-CLOSED = "HAVING ws + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM readings) - INTERVAL 1 HOUR"
+CLOSED = "HAVING ws + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM readings WHERE sensor_type <> 'blood_pressure') - INTERVAL 1 HOUR"
+CLOSED_BP = "HAVING ws + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM readings WHERE sensor_type = 'blood_pressure') - INTERVAL 1 HOUR"
 
 
 def _shard() -> str:
@@ -405,7 +406,7 @@ SELECT sensor_type, n AS num_readings, ROUND(d, 3) AS duration_seconds,
        CASE WHEN d > 0 THEN ROUND(n / d, 2) ELSE 0.0 END AS readings_per_second
 FROM g""",
     "stream_tumbling": _tumbling(CLOSED),
-    "stream_tumbling_bp": _tumbling_bp(CLOSED),
+    "stream_tumbling_bp": _tumbling_bp(CLOSED_BP),
     "stream_dedup": f"""{BASE}
 SELECT DISTINCT ON (patient_id, ts, sensor_type) {ALL_COLS}
 FROM (SELECT * FROM readings UNION ALL SELECT * FROM readings WHERE event_id % 10 = 0)""",
@@ -416,7 +417,7 @@ h AS (SELECT patient_id, sensor_type, value,
 SELECT patient_id, sensor_type, ws AS window_start, ws + INTERVAL 6 DAY AS window_end,
        COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max
 FROM h GROUP BY patient_id, sensor_type, ws
-HAVING ws + INTERVAL 6 DAY <= (SELECT MAX(ts) FROM readings) - INTERVAL 1 HOUR""",
+HAVING ws + INTERVAL 6 DAY <= (SELECT MAX(ts) FROM readings WHERE sensor_type <> 'blood_pressure') - INTERVAL 1 HOUR""",
     "jsonl_roundtrip": f"""{BASE}
 SELECT {ALL_COLS} FROM readings""",
     "parquet_roundtrip": f"""{BASE}

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.functions.scalar import composite_key, split_key
+from vitalis.functions.scalar import composite_key, split_key, ts_to_epoch
 from vitalis.functions.validation import register_sql_functions
 from vitalis.operators import aggregate as A
 from vitalis.operators import clean as C
@@ -46,8 +46,12 @@ STREAM_DELAY = "1 hour"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _r(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings(spark, sf_dir)
+def _r(spark: SparkSession, sf_dir: str, sensors=None, exclude=None) -> DataFrame:
+    return readings(spark, sf_dir, sensors=sensors, exclude=exclude)
+
+
+SCALAR = dict(exclude=("blood_pressure",))
+BP = dict(sensors=("blood_pressure",))
 
 
 def _d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +113,7 @@ def q_patient_summary(spark, sf_dir):
 
 
 def q_pulse_stats(spark, sf_dir):
-    return A.filtered_stats(_r(spark, sf_dir), "pulse", DIGITS)
+    return A.filtered_stats(_r(spark, sf_dir, sensors=("pulse",)), "pulse", DIGITS)
 
 
 def q_patient_counts(spark, sf_dir):
@@ -121,7 +125,7 @@ def q_sensor_count_avg(spark, sf_dir):
 
 
 def q_value_stats(spark, sf_dir):
-    return A.value_stats(W.scalar_readings(_r(spark, sf_dir)), DIGITS)
+    return A.value_stats(W.scalar_readings(_r(spark, sf_dir, **SCALAR)), DIGITS)
 
 
 def q_sensor_distribution(spark, sf_dir):
@@ -137,7 +141,7 @@ def q_per_minute(spark, sf_dir):
 
 
 def q_histogram(spark, sf_dir):
-    return A.histogram(_r(spark, sf_dir), digits=DIGITS)
+    return A.histogram(_r(spark, sf_dir, sensors=("pulse", "temperature", "spo2")), digits=DIGITS)
 
 
 def q_kpis(spark, sf_dir):
@@ -160,11 +164,11 @@ def q_payload_size(spark, sf_dir):
 # -- validation ------------------------------------------------------------------
 
 def q_validated_readings(spark, sf_dir):
-    return Q.validated_readings(_r(spark, sf_dir))
+    return Q.validated_readings(_r(spark, sf_dir, **SCALAR))
 
 
 def q_validated_bp(spark, sf_dir):
-    return Q.validated_bp(_r(spark, sf_dir))
+    return Q.validated_bp(_r(spark, sf_dir, **BP))
 
 
 def q_validation_detail(spark, sf_dir):
@@ -185,11 +189,11 @@ def q_quality_report(spark, sf_dir):
 
 
 def q_alerts(spark, sf_dir):
-    return Q.alerts(_r(spark, sf_dir))
+    return Q.alerts(_r(spark, sf_dir, sensors=("pulse", "temperature", "spo2")))
 
 
 def q_alerts_bp(spark, sf_dir):
-    return Q.alerts_bp(_r(spark, sf_dir))
+    return Q.alerts_bp(_r(spark, sf_dir, **BP))
 
 
 def q_union_wide(spark, sf_dir):
@@ -221,25 +225,25 @@ def q_last_20(spark, sf_dir):
 
 
 def q_sensor_series(spark, sf_dir):
-    return O.sensor_series(_r(spark, sf_dir), "pulse")
+    return O.sensor_series(_r(spark, sf_dir, sensors=("pulse",)), "pulse")
 
 
 # -- windows -----------------------------------------------------------------------
 
 def q_tumbling(spark, sf_dir):
-    return W.tumbling(_r(spark, sf_dir), DAY, digits=DIGITS)
+    return W.tumbling(_r(spark, sf_dir, **SCALAR), DAY, digits=DIGITS)
 
 
 def q_tumbling_bp(spark, sf_dir):
-    return W.tumbling_bp(_r(spark, sf_dir), DAY, digits=DIGITS)
+    return W.tumbling_bp(_r(spark, sf_dir, **BP), DAY, digits=DIGITS)
 
 
 def q_trailing(spark, sf_dir):
-    return W.trailing(_r(spark, sf_dir), TRAILING_US, digits=DIGITS)
+    return W.trailing(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS)
 
 
 def q_trailing_current(spark, sf_dir):
-    return W.trailing_current(_r(spark, sf_dir), TRAILING_US, digits=DIGITS)
+    return W.trailing_current(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS)
 
 
 def q_global_trailing(spark, sf_dir):
@@ -263,7 +267,7 @@ def q_retention_24h(spark, sf_dir):
 # -- projections / transport ---------------------------------------------------------
 
 def q_transport_rows(spark, sf_dir):
-    return _r(spark, sf_dir).select("patient_id", "sensor_type", "value", F.unix_seconds("ts").alias("timestamp"))
+    return _r(spark, sf_dir).select("patient_id", "sensor_type", "value", ts_to_epoch("ts").alias("timestamp"))
 
 
 def q_message_roundtrip(spark, sf_dir):

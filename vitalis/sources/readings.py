@@ -31,8 +31,32 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
-    """Project driver events to wide readings (one row per event)."""
+def event_types_for(sensors: list[str] | tuple[str, ...] | None = None, exclude=None) -> list[str] | None:
+    """Raw event types that map to the wanted sensors (None: no restriction)."""
+    if sensors is None and exclude is None:
+        return None
+    mapping = EVENT_TO_SENSOR + [(None, OTHER_SENSOR)]
+    keep = [e for e, s in mapping if (sensors is None or s in sensors) and (exclude is None or s not in exclude)]
+    return keep
+
+
+def readings_from_events(events: DataFrame, instant: bool = False, sensors=None, exclude=None) -> DataFrame:
+    """Project driver events to wide readings (one row per event).
+
+    ``ts`` keeps the source type (TIMESTAMP_NTZ in the driver data) so time
+    predicates reach the Parquet scan; ``instant=True`` casts it to TIMESTAMP
+    (needed by watermarks in streams).  ``sensors`` / ``exclude`` restrict the
+    sensor types, expressed as a filter on the raw ``event_type`` column,
+    which Catalyst pushes into the scan (a filter on the derived
+    ``sensor_type`` cannot be pushed).
+    """
+    raw = event_types_for(sensors, exclude)
+    if raw is not None:
+        known = [e for e, _ in EVENT_TO_SENSOR]
+        cond = F.col("event_type").isin([e for e in raw if e is not None])
+        if None in raw:  # 'other' = every event type outside the mapping
+            cond = cond | ~F.col("event_type").isin(known) | F.col("event_type").isNull()
+        events = events.filter(cond)
     et = F.col("event_type")
     v = F.col("value").cast("double")
     sensor = None
@@ -54,13 +78,13 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         value.alias("value"),
         F.when(is_bp, F.lit(55.0) + v).alias("systolic"),
         F.when(is_bp, F.lit(38.0) + v * F.lit(0.6)).alias("diastolic"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("ts").cast("timestamp") if instant else F.col("ts")).alias("ts"),
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide readings over ``{sf_dir}/events.parquet``."""
-    return readings_from_events(load_events(spark, sf_dir))
+def readings(spark: SparkSession, sf_dir: str, sensors=None, exclude=None) -> DataFrame:
+    """Wide readings over ``{sf_dir}/events.parquet`` (optionally a sensor subset)."""
+    return readings_from_events(load_events(spark, sf_dir), sensors=sensors, exclude=exclude)
 
 
 def dirty_readings_from(clean: DataFrame) -> DataFrame:

@@ -28,7 +28,10 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", epoch_column:
     records carry."""
     out = df
     if epoch_column and "ts" in df.columns and epoch_column not in df.columns:
-        out = out.withColumn(epoch_column, F.unix_micros("ts") / F.lit(1e6))
+        out = out.withColumn(epoch_column, F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6))
+    for f in out.schema.fields:
+        if f.dataType.typeName() == "timestamp_ntz":
+            out = out.withColumn(f.name, F.col(f.name).cast("timestamp"))
     out.write.mode(mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path)
     return path
 

@@ -38,7 +38,7 @@ def events_stream(
 
 def readings_stream(spark: SparkSession, source_dir: str, **kw) -> DataFrame:
     """Wide readings stream; ``ts`` is TIMESTAMP (watermarks need it)."""
-    return readings_from_events(events_stream(spark, source_dir, **kw))
+    return readings_from_events(events_stream(spark, source_dir, **kw), instant=True)
 
 
 def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType = READING_JSON_SCHEMA) -> DataFrame:
@@ -58,15 +58,20 @@ def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType =
 
 
 def tumbling_stream(readings: DataFrame, size: str = "5 seconds", delay: str = "10 seconds", digits: int | None = None) -> DataFrame:
-    """W1 on a stream: the batch operator behind a watermark."""
-    return tumbling(readings.withWatermark("ts", delay), size=size, digits=digits)
+    """W1 on a stream: the batch operator behind a watermark.
+
+    The watermark follows the rows this aggregate sees (scalar readings);
+    Catalyst would push the sensor filter below the watermark anyway, so it
+    is stated explicitly here.
+    """
+    return tumbling(scalar_readings(readings).withWatermark("ts", delay), size=size, digits=digits)
 
 
 def tumbling_bp_stream(
     readings: DataFrame, size: str = "5 seconds", delay: str = "10 seconds", digits: int | None = None
 ) -> DataFrame:
-    """W2 on a stream."""
-    return tumbling_bp(readings.withWatermark("ts", delay), size=size, digits=digits)
+    """W2 on a stream; the watermark follows the blood-pressure rows."""
+    return tumbling_bp(bp_readings(readings).withWatermark("ts", delay), size=size, digits=digits)
 
 
 def dedup_stream(readings: DataFrame, delay: str = "10 seconds", key: list[str] | None = None) -> DataFrame:
@@ -87,7 +92,7 @@ def hop_stream(
     Spark rejects analytic range frames on streams; hop windows of length W
     sliding by s give the trailing stats at every slide boundary.
     """
-    data = scalar_readings(readings.withWatermark("ts", delay))
+    data = scalar_readings(readings).withWatermark("ts", delay)
     g = data.groupBy(F.window("ts", size, slide).alias("w"), "patient_id", "sensor_type").agg(
         F.count(F.lit(1)).alias("count"),
         avg_col("value", digits).alias("avg"),
