@@ -80,3 +80,28 @@ def test_hop_stream_runs(spark):
     stream = S.readings_stream(spark, d, glob="events-*.parquet")
     out = S.run_to_table(S.hop_stream(stream, "30 seconds", "5 seconds", "5 seconds", 6), "t-hop").collect()
     assert out and all(r.window_end.timestamp() - r.window_start.timestamp() == 30 for r in out)
+
+
+def test_message_stream_keeps_bad_lines_and_stamps_arrival(spark):
+    import json
+    d = scratch_path(spark, "t-msg").replace("file:", "")
+    os.makedirs(d)
+    with open(os.path.join(d, "m1.json"), "w") as f:
+        f.write(json.dumps({"patient_id": "P001", "sensor_type": "pulse", "value": 75.0, "timestamp": 1.0}) + "\n")
+        f.write("{broken\n")
+    stream = S.message_stream(spark, d)
+    out = S.run_to_table(stream, "t-msg")
+    rows = out.collect()
+    assert len(rows) == 2
+    assert sum(r._corrupt_record is not None for r in rows) == 1
+    assert all(r._received_at is not None and r._received_timestamp > 0 for r in rows)
+
+
+def test_progress_summary_and_publish(spark):
+    d = scratch_path(spark, "t-pub").replace("file:", "")
+    os.makedirs(d)
+    _write(d, "events-1.parquet", [(i, float(i), 1, "click", 50.0) for i in range(5)])
+    q = S.publish_stream(S.readings_stream(spark, d, glob="events-*.parquet"))
+    q.awaitTermination()
+    p = S.progress_summary(q)
+    assert p["input_rows"] == 5

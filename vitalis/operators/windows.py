@@ -245,13 +245,21 @@ def global_trailing(
 def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts") -> DataFrame:
     """Rows of the current window ``[max(t) - W, max(t)]``.
 
-    The newest time is a scalar subquery (one value computed by a separate
-    aggregate job), not a join or a global sort.  The bound is compared with
-    the time column itself, so the Parquet scan can skip row groups.
+    The newest time is one value from a column-pruned aggregate (no join, no
+    global sort).  It is fixed before the row scan and compared with the time
+    column itself, so the bound is a pushed Parquet filter and row groups
+    older than the window are skipped.
     """
-    newest = readings.select(F.max(ts)).scalar()
+    newest = newest_time(readings, ts)
+    if newest is None:
+        return readings.limit(0)
     span = F.expr(f"make_dt_interval(0, 0, 0, {window_us / US_PER_SECOND:.6f})")
-    return readings.filter(F.col(ts) >= newest - span)
+    return readings.filter(F.col(ts) >= F.lit(newest) - span)
+
+
+def newest_time(readings: DataFrame, ts: str = "ts"):
+    """Largest time value (one scalar; reads only the time column)."""
+    return readings.agg(F.max(ts)).first()[0]
 
 
 def window_current(

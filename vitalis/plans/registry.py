@@ -30,7 +30,7 @@ from vitalis.session import prepare, scratch_path
 from vitalis.sources import catalog
 from vitalis.sources.files import read_jsonl, read_parquet
 from vitalis.sources.readings import READING_COLUMNS, dirty_readings, readings
-from vitalis.sources.sinks import decode_messages, encode_messages, write_jsonl, write_parquet
+from vitalis.sources.sinks import decode_messages, encode_messages, retain, write_jsonl, write_parquet
 from vitalis.streaming import stream as S
 
 # Registry parameters (see module docstring).
@@ -259,9 +259,7 @@ def q_window_current(spark, sf_dir):
 
 
 def q_retention_24h(spark, sf_dir):
-    r = _r(spark, sf_dir)
-    newest = r.select(F.max("ts")).scalar()
-    return r.filter(F.col("ts") > newest - F.expr("INTERVAL 24 HOURS"))
+    return retain(_r(spark, sf_dir), 24)
 
 
 # -- projections / transport ---------------------------------------------------------

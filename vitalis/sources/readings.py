@@ -52,11 +52,15 @@ def readings_from_events(events: DataFrame, instant: bool = False, sensors=None,
     """
     raw = event_types_for(sensors, exclude)
     if raw is not None:
+        et = F.col("event_type")
         known = [e for e, _ in EVENT_TO_SENSOR]
-        cond = F.col("event_type").isin([e for e in raw if e is not None])
-        if None in raw:  # 'other' = every event type outside the mapping
-            cond = cond | ~F.col("event_type").isin(known) | F.col("event_type").isNull()
-        events = events.filter(cond)
+        if None in raw:  # 'other' (any unmapped type) is wanted: drop the unwanted mapped types
+            unwanted = [e for e in known if e not in raw]
+            cond = (~et.isin(unwanted) | et.isNull()) if unwanted else None
+        else:
+            cond = et.isin(raw)
+        if cond is not None:
+            events = events.filter(cond)
     et = F.col("event_type")
     v = F.col("value").cast("double")
     sensor = None

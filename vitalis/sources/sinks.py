@@ -83,3 +83,26 @@ def to_arrow(df: DataFrame, max_rows: int = 1_000_000):
     if n > max_rows:
         raise ValueError(f"{n} rows exceed the Arrow hand-off bound {max_rows}; write Parquet instead")
     return df.toArrow()
+
+
+def publish(df: DataFrame, path: str, mode: str = "append") -> str:
+    """Publish rows as JSON messages to one topic, here a directory of
+    text files (a Kafka sink takes the same ``value`` column)."""
+    encode_messages(df).write.mode(mode).text(path)
+    return path
+
+
+def write_retained(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> str:
+    """S12 sink side: date-partitioned directories, so retention is dropping
+    whole ``date=...`` folders and readers prune by date."""
+    df.withColumn("date", F.to_date(F.col(ts))).write.mode(mode).partitionBy("date").parquet(path)
+    return path
+
+
+def retain(df: DataFrame, hours: int = 24, ts: str = "ts") -> DataFrame:
+    """S12 batch side: rows newer than ``newest - hours``.  The newest time is
+    one scalar, so the bound is a literal filter pushed into the scan."""
+    newest = df.agg(F.max(ts)).first()[0]
+    if newest is None:
+        return df.limit(0)
+    return df.filter(F.col(ts) > F.lit(newest) - F.expr(f"INTERVAL {int(hours)} HOURS"))

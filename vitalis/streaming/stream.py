@@ -139,6 +139,28 @@ def run_to_table(df: DataFrame, kind: str, output_mode: str = "append") -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def publish_stream(df: DataFrame, kind: str = "messages") -> StreamingQuery:
+    """S11 + S20 on a stream: every row as a JSON message into a text sink
+    under the shared folder (a Kafka sink takes the same ``value`` column)."""
+    base = scratch_path(df.sparkSession, f"publish-{kind}")
+    msgs = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    return (
+        msgs.writeStream.format("text")
+        .option("checkpointLocation", f"{base}/_checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{base}/out")
+    )
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk and
+    is snapshotted to the checkpoint) for large key sets."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def progress_summary(query: StreamingQuery) -> dict:
     """Rows and rates of the last micro-batch, plus rows dropped as late."""
     p = query.lastProgress or {}
