@@ -105,3 +105,18 @@ def test_progress_summary_and_publish(spark):
     q.awaitTermination()
     p = S.progress_summary(q)
     assert p["input_rows"] == 5
+
+
+def test_exact_trailing_stream_equals_batch_across_batches(spark):
+    from vitalis.streaming.state import trailing_stream_exact
+    d = scratch_path(spark, "t-exact").replace("file:", "")
+    os.makedirs(d)
+    rows = [(i, (i // 2) * 9.0, i % 3, "click" if i % 4 else "view", float(i % 11)) for i in range(80)]  # pairs of peers
+    _write(d, "events-1.parquet", rows[:40])
+    _write(d, "events-2.parquet", rows[40:])
+    stream = S.readings_stream(spark, d, glob="events-*.parquet", max_files_per_trigger=1)
+    out = S.run_to_table(trailing_stream_exact(stream, 30 * 1_000_000, "1 hour", 6), "t-exact")
+    batch = W.trailing(readings_from_events(spark.read.parquet(d), instant=True), 30 * 1_000_000, digits=6)
+    cols = ["event_id", "count", "avg", "min", "max"]
+    assert out.count() == 80
+    assert out.select(cols).exceptAll(batch.select(cols)).count() == 0

@@ -32,6 +32,7 @@ from vitalis.sources.files import read_jsonl, read_parquet
 from vitalis.sources.readings import READING_COLUMNS, dirty_readings, readings
 from vitalis.sources.sinks import decode_messages, encode_messages, retain, write_jsonl, write_parquet
 from vitalis.streaming import stream as S
+from vitalis.streaming.state import trailing_stream_exact
 
 # Registry parameters (see module docstring).
 DIGITS = 6
@@ -313,6 +314,11 @@ def q_stream_dedup(spark, sf_dir):
     return S.run_to_table(S.dedup_stream(doubled, STREAM_DELAY), "dedup")
 
 
+def q_stream_trailing_exact(spark, sf_dir):
+    exact = trailing_stream_exact(S.readings_stream(spark, sf_dir), TRAILING_US, STREAM_DELAY, DIGITS)
+    return S.run_to_table(exact, "trailing-exact")
+
+
 def q_stream_hop(spark, sf_dir):
     hop = S.hop_stream(S.readings_stream(spark, sf_dir), "6 days", DAY, STREAM_DELAY, DIGITS)
     return S.run_to_table(hop, "hop")
@@ -391,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling_bp": q_stream_tumbling_bp,
     "stream_dedup": q_stream_dedup,
     "stream_hop": q_stream_hop,
+    "stream_trailing_exact": q_stream_trailing_exact,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
     "named_dataset": q_named_dataset,
