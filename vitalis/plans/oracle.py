@@ -296,6 +296,14 @@ SELECT DISTINCT ON (patient_id, ts, sensor_type) {ALL_COLS} FROM dirty_readings
 WHERE patient_id IS NOT NULL AND sensor_type IS NOT NULL AND ts IS NOT NULL
   AND CASE WHEN sensor_type = 'blood_pressure' THEN systolic IS NOT NULL AND diastolic IS NOT NULL
            ELSE value IS NOT NULL END""",
+    "clean_then_sql": f"""{BASE_DIRTY},
+cleaned AS (
+  SELECT DISTINCT ON (patient_id, ts, sensor_type) {ALL_COLS} FROM dirty_readings
+  WHERE patient_id IS NOT NULL AND sensor_type IS NOT NULL AND ts IS NOT NULL
+    AND CASE WHEN sensor_type = 'blood_pressure' THEN systolic IS NOT NULL AND diastolic IS NOT NULL
+             ELSE value IS NOT NULL END)
+SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value
+FROM cleaned WHERE sensor_type IS NOT NULL AND value > 0 GROUP BY sensor_type ORDER BY count DESC, sensor_type""",
     "distinct_rows": f"""{BASE_DIRTY}
 SELECT DISTINCT {ALL_COLS} FROM dirty_readings""",
     "union_wide": f"""{BASE}

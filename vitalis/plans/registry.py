@@ -25,6 +25,7 @@ from vitalis.operators import quality as Q
 from vitalis.operators import report as O
 from vitalis.operators import shards as X
 from vitalis.operators import windows as W
+from vitalis.plans.analysis import run_analysis
 from vitalis.schema import READING_JSON_SCHEMA, TRANSPORT_SCHEMA
 from vitalis.session import prepare, scratch_path
 from vitalis.sources import catalog
@@ -215,6 +216,10 @@ def q_distinct_rows(spark, sf_dir):
     return C.distinct_rows(_d(spark, sf_dir))
 
 
+def q_clean_then_sql(spark, sf_dir):
+    return run_analysis(spark, _d(spark, sf_dir))["sensor_stats_sql"]
+
+
 # -- ordering / dashboard ---------------------------------------------------------
 
 def q_recent_20(spark, sf_dir):
@@ -367,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "clean_strict": q_clean_strict,
     "clean_required": q_clean_required,
     "distinct_rows": q_distinct_rows,
+    "clean_then_sql": q_clean_then_sql,
     "union_wide": q_union_wide,
     "sensor_distribution": q_sensor_distribution,
     "per_clock_minute": q_per_clock_minute,
