@@ -36,8 +36,17 @@ def fixed_avg(col, digits: int = 6, over=None) -> Column:
     def ov(c: Column) -> Column:
         return c.over(over) if over is not None else c
 
-    s = ov(F.sum(scaled(col, digits + GUARD)))
-    n = ov(F.count(_c(col))).cast("decimal(20,0)")
+    return fixed_avg_finish(ov(F.sum(scaled(col, digits + GUARD))), ov(F.count(_c(col))), digits)
+
+
+def fixed_avg_sum(col, digits: int = 6) -> Column:
+    """The exact-sum part of ``fixed_avg`` (to share one aggregate between outputs)."""
+    return F.sum(scaled(col, digits + GUARD))
+
+
+def fixed_avg_finish(s: Column, count: Column, digits: int = 6) -> Column:
+    """``fixed_avg`` from its exact sum (``fixed_avg_sum``) and non-NULL count."""
+    n = count.cast("decimal(20,0)")
     k = F.lit(10**GUARD).cast("decimal(20,0)")
     num = s * F.lit(2) + n * k
     den = n * k * F.lit(2)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import ts_micros
-from vitalis.functions.stats import avg_col
+from vitalis.functions.stats import avg_col, fixed_avg_finish, fixed_avg_sum
 from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS
 
 US_PER_SECOND = 1_000_000
@@ -183,38 +183,45 @@ def trailing_current(
     )
 
 
-def _sensor_struct(sensor: str, over=None, digits: int | None = None) -> Column:
-    """Per-sensor {count, avg, min, max} or NULL when the sensor is absent."""
-    is_s = F.col("sensor_type") == sensor
-    v = F.when(is_s, F.coalesce(F.col("value"), F.lit(0.0)))
+def _snapshot_parts(over=None, digits: int | None = None) -> list[Column]:
+    """Each aggregate of a snapshot once, as a hidden column (one frame pass)."""
 
     def ov(c: Column) -> Column:
         return c.over(over) if over is not None else c
 
-    n = ov(F.count(v))
-    return F.when(
-        n > 0,
-        F.struct(
-            n.alias("count"),
-            avg_col(v, digits, over=over).alias("avg"),
-            ov(F.min(v)).alias("min"),
-            ov(F.max(v)).alias("max"),
-        ),
-    )
-
-
-def _snapshot_columns(over=None, digits: int | None = None) -> list[Column]:
-    def ov(c: Column) -> Column:
-        return c.over(over) if over is not None else c
-
-    patients = F.array_sort(ov(F.collect_set(F.coalesce(F.col("patient_id"), F.lit("unknown")))))
-    sensors = F.array_sort(ov(F.collect_set(F.coalesce(F.col("sensor_type"), F.lit("unknown")))))
-    return [
+    cols = [
         ov(F.count(F.lit(1))).alias("count"),
-        patients.alias("patient_ids"),
-        sensors.alias("sensor_types"),
-        *[_sensor_struct(s, over, digits).alias(s) for s in SCALAR_SENSORS],
+        ov(F.collect_set(F.coalesce(F.col("patient_id"), F.lit("unknown")))).alias("_patients"),
+        ov(F.collect_set(F.coalesce(F.col("sensor_type"), F.lit("unknown")))).alias("_sensors"),
     ]
+    for s in SCALAR_SENSORS:
+        v = F.when(F.col("sensor_type") == s, F.coalesce(F.col("value"), F.lit(0.0)))
+        cols += [
+            ov(F.count(v)).alias(f"_n_{s}"),
+            ov(fixed_avg_sum(v, digits) if digits is not None else F.sum(v)).alias(f"_s_{s}"),
+            ov(F.min(v)).alias(f"_mn_{s}"),
+            ov(F.max(v)).alias(f"_mx_{s}"),
+        ]
+    return cols
+
+
+def _snapshot_finish(digits: int | None = None) -> list[Column]:
+    """Sorted lists and per-sensor {count, avg, min, max} (NULL when absent)."""
+    out = [
+        "count",
+        F.array_sort("_patients").alias("patient_ids"),
+        F.array_sort("_sensors").alias("sensor_types"),
+    ]
+    for s in SCALAR_SENSORS:
+        n = F.col(f"_n_{s}")
+        avg = fixed_avg_finish(F.col(f"_s_{s}"), n, digits) if digits is not None else F.col(f"_s_{s}") / n
+        out.append(
+            F.when(
+                n > 0,
+                F.struct(n.alias("count"), avg.alias("avg"), F.col(f"_mn_{s}").alias("min"), F.col(f"_mx_{s}").alias("max")),
+            ).alias(s)
+        )
+    return out
 
 
 def global_trailing(
@@ -231,15 +238,15 @@ def global_trailing(
     """
     data = _bucketed(readings, ts, window_us)
     w = _frame([], window_us, closed=True)
-    out = data.select(
+    parts = data.select(
         "event_id",
         ts,
         "_b",
         "_part",
         ((F.col("_us") - F.min("_us").over(w)) / F.lit(float(US_PER_SECOND))).alias("window_duration"),
-        *_snapshot_columns(w, digits),
-    )
-    return out.filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
+        *_snapshot_parts(w, digits),
+    ).filter(F.col("_part") == F.col("_b"))
+    return parts.select("event_id", ts, "window_duration", *_snapshot_finish(digits))
 
 
 def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts") -> DataFrame:
@@ -270,7 +277,9 @@ def window_current(
     duration = F.when(F.count(F.lit(1)) > 1, (F.max("_us") - F.min("_us")) / F.lit(float(US_PER_SECOND))).otherwise(
         F.lit(0.0)
     )
-    return rows.agg(duration.alias("window_duration"), *_snapshot_columns(None, digits))
+    return rows.agg(duration.alias("window_duration"), *_snapshot_parts(None, digits)).select(
+        "window_duration", *_snapshot_finish(digits)
+    )
 
 
 def flatten_snapshot(df: DataFrame, sep: str = ",") -> DataFrame:
