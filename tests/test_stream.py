@@ -120,3 +120,23 @@ def test_exact_trailing_stream_equals_batch_across_batches(spark):
     cols = ["event_id", "count", "avg", "min", "max"]
     assert out.count() == 80
     assert out.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_tagged_streams_one_table(spark):
+    d = scratch_path(spark, "t-tag").replace("file:", "")
+    os.makedirs(d)
+    _write(d, "events-1.parquet", [(i, i * 3.0, 1, "click", 50.0) for i in range(20)])
+    raw = S.readings_stream(spark, d, glob="events-*.parquet")
+    agg = S.tumbling_stream(S.readings_stream(spark, d, glob="events-*.parquet"), "5 seconds", "5 seconds")
+    path, qs = S.tagged_streams(raw, agg)
+    for q in qs:
+        q.awaitTermination()
+    out = spark.read.parquet(path)
+    kinds = {r.kind: r["count"] for r in out.groupBy("kind").count().collect()}
+    assert kinds["raw"] == 20 and kinds["agg"] > 0
+
+
+def test_cluster_settings():
+    from vitalis.session import cluster_settings
+    c = cluster_settings(4000, input_bytes=100 * 10**12)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 12000

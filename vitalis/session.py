@@ -45,6 +45,26 @@ def build_session(
     return spark
 
 
+def cluster_settings(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
+    """Starting settings for a large cluster (pass to ``build_session(extra=...)``).
+
+    Shuffle partitions start at 3x the cores, or one per 128 MiB of input when
+    that is larger, and AQE coalesces them to ~128 MiB at run time and splits
+    skewed ones.  Streaming state goes to RocksDB.
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        parts = max(parts, input_bytes // (128 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings every query here assumes (UTC event time)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

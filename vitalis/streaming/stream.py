@@ -152,6 +152,25 @@ def publish_stream(df: DataFrame, kind: str = "messages") -> StreamingQuery:
     )
 
 
+def tagged_streams(raw: DataFrame, aggregates: DataFrame, kind: str = "output") -> tuple[str, list[StreamingQuery]]:
+    """S20 on streams: raw rows and aggregates as two queries into the
+    ``kind=raw`` / ``kind=agg`` folders of one table, so a reader sees a
+    single output with a ``kind`` column.  Returns the table path and the
+    started queries (drained with availableNow)."""
+    base = scratch_path(raw.sparkSession, f"tagged-{kind}")
+    queries = []
+    for label, df in (("raw", raw), ("agg", aggregates)):
+        line = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("line")
+        queries.append(
+            df.select(line)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{base}/_checkpoint_{label}")
+            .trigger(availableNow=True)
+            .start(f"{base}/out/kind={label}")
+        )
+    return f"{base}/out", queries
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state in RocksDB (off-heap, spills to local disk and
     is snapshotted to the checkpoint) for large key sets."""
