@@ -167,3 +167,14 @@ def test_payload_size(spark):
     # {"patient_id":"P001","sensor_type":"pulse","value":75.0,"timestamp":1709294400} + newline
     assert r.json_bytes == len('{"patient_id":"P001","sensor_type":"pulse","value":75.0,"timestamp":1709294400}') + 1
     assert r.binary_bytes == 8 + 4 + 8 + 5 + 16
+
+
+def test_dedupe_keep_first_nulls_last_and_hot_key(spark):
+    rows = [(i, "P001", "pulse", float(100 - i) if i % 7 else None, None, None, 0) for i in range(1, 200)]
+    df = readings_df(spark, rows)
+    r = C.dedupe(df, keep="first", order_by=["value", "event_id"]).collect()
+    assert len(r) == 1 and r[0].value == min(float(100 - i) for i in range(1, 200) if i % 7)
+    r2 = C.dedupe(df, keep="first", order_by=["event_id"]).first()
+    assert r2.event_id == 1 and r2.value == 99.0
+    plan = C.dedupe(df, keep="first")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan

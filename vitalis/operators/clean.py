@@ -4,12 +4,13 @@ NULL checks use ``isNotNull`` conjunctions, never ``na.drop()``, which would
 also drop NaN (T5).  Duplicate removal defaults to ``dropDuplicates``: a
 hash aggregate with a map-side partial step, so a heavily duplicated key is
 collapsed before the shuffle.  ``keep='first'`` keeps the row that sorts first
-by an explicit total order (T6), at the price of a sort per key.
+by an explicit order (T6) as a ``min(struct)`` aggregate, which also combines
+map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.schema import BLOOD_PRESSURE
@@ -51,9 +52,22 @@ def dedupe(df: DataFrame, key: list[str] | None = None, keep: str = "any", order
     key = key or DEDUP_KEY
     if keep == "any":
         return df.dropDuplicates(key)
+    # min over a struct (order columns first) is a partial + final aggregate:
+    # copies of one key are collapsed map-side, so even a key holding a third
+    # of all rows never reaches one reducer whole (a row_number window would
+    # sort them all in one task).  Struct order puts NULLs first, so the order
+    # columns are keyed by (is NULL, value) to sort NULLs last.
     order = order_by or [c for c in df.columns if c not in key]
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in df.columns if c not in key and c not in order]
+    fields = []
+    for i, c in enumerate(order):
+        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}")]
+    fields += [F.col(c).alias(f"_r_{c}") for c in rest]
+    best = df.groupBy(*key).agg(F.min(F.struct(*fields)).alias("_best"))
+    cols = {c: F.col(c) for c in key}
+    cols.update({c: F.col(f"_best._o{i}") for i, c in enumerate(order)})
+    cols.update({c: F.col(f"_best._r_{c}") for c in rest})
+    return best.select(*[cols[c].alias(c) for c in df.columns])
 
 
 def clean(df: DataFrame, mode: str = "required", keep: str = "any") -> DataFrame:
