@@ -116,7 +116,10 @@ def tumbling_bp(readings: DataFrame, size: str = "5 seconds", ts: str = "ts", di
 
 def _bucketed(df: DataFrame, ts: str, window_us: int) -> DataFrame:
     """Add ``_us`` and emit each row for its own bucket and the next one."""
-    with_us = df.withColumn("_us", ts_micros(ts))
+    return _bucket_rows(df.withColumn("_us", ts_micros(ts)), window_us)
+
+
+def _bucket_rows(with_us: DataFrame, window_us: int) -> DataFrame:
     bucket = F.expr(f"(_us - pmod(_us, {window_us})) div {window_us}")
     return with_us.withColumn("_b", bucket).select(
         "*", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_part")
@@ -135,27 +138,48 @@ def trailing(
     keys: tuple[str, ...] = ("patient_id", "sensor_type"),
     closed: bool = False,
     digits: int | None = None,
+    collapse_peers: bool = True,
 ) -> DataFrame:
     """Per-row trailing stats over ``(t - W, t]`` per key (T8: open below).
 
     ``closed=True`` gives ``[t - W, t]``.  Rows with equal time are peers and
     see each other (RANGE frame).
+
+    ``collapse_peers`` (default) first reduces rows to one per (key, time) with
+    partial aggregates, runs the frame over distinct times and joins the
+    result back to the rows.  Copies of one reading, however many, are then
+    collapsed map-side and the join back is split by AQE when one (key, time)
+    is hot; without it such copies would all sit in one window partition.
     """
-    data = _bucketed(scalar_readings(readings), ts, window_us)
+    data = scalar_readings(readings)
     w = _frame(list(keys), window_us, closed)
-    out = data.select(
-        "event_id",
-        *keys,
-        ts,
-        "value",
-        "_b",
-        "_part",
-        F.count(F.lit(1)).over(w).alias("count"),
-        avg_col("value", digits, over=w).alias("avg"),
-        F.min("value").over(w).alias("min"),
-        F.max("value").over(w).alias("max"),
+    if not collapse_peers:
+        b = _bucketed(data, ts, window_us)
+        out = b.select(
+            "event_id", *keys, ts, "value", "_b", "_part",
+            F.count(F.lit(1)).over(w).alias("count"),
+            avg_col("value", digits, over=w).alias("avg"),
+            F.min("value").over(w).alias("min"),
+            F.max("value").over(w).alias("max"),
+        )
+        return out.filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
+    rows = data.withColumn("_us", ts_micros(ts))
+    s = fixed_avg_sum("value", digits) if digits is not None else F.sum("value")
+    per_time = rows.groupBy(*keys, "_us").agg(
+        F.count(F.lit(1)).alias("_c"), F.count("value").alias("_nv"), s.alias("_s"),
+        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
     )
-    return out.filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
+    b = _bucket_rows(per_time, window_us)
+    n = F.sum("_nv").over(w)
+    total = F.sum("_s").over(w)
+    stats = b.select(
+        *keys, "_us", "_b", "_part",
+        F.sum("_c").over(w).alias("count"),
+        (fixed_avg_finish(total, n, digits) if digits is not None else total / n).alias("avg"),
+        F.min("_mn").over(w).alias("min"),
+        F.max("_mx").over(w).alias("max"),
+    ).filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
+    return rows.select("event_id", *keys, ts, "value", "_us").join(stats, [*keys, "_us"]).drop("_us")
 
 
 def trailing_current(
@@ -234,19 +258,37 @@ def global_trailing(
 
     count, window_duration (s, last - first), sorted patient and sensor lists,
     and a {count, avg, min, max} struct per scalar sensor (NULL when absent).
-    Partitioned by time bucket, never by a single global partition.
+
+    Rows are first reduced to one per distinct time with partial aggregates
+    (sets of patients and sensors, per-sensor count / exact sum / min / max),
+    so copies collapse map-side.  The frame then runs over distinct times,
+    partitioned by time bucket (never one global partition), and its result
+    is joined back to the rows on the time.
     """
-    data = _bucketed(readings, ts, window_us)
+    rows = readings.withColumn("_us", ts_micros(ts))
+    per_time = rows.groupBy("_us").agg(*_snapshot_parts(None, digits))
     w = _frame([], window_us, closed=True)
-    parts = data.select(
-        "event_id",
-        ts,
-        "_b",
-        "_part",
+    frame_cols = [
         ((F.col("_us") - F.min("_us").over(w)) / F.lit(float(US_PER_SECOND))).alias("window_duration"),
-        *_snapshot_parts(w, digits),
-    ).filter(F.col("_part") == F.col("_b"))
-    return parts.select("event_id", ts, "window_duration", *_snapshot_finish(digits))
+        F.sum("count").over(w).alias("count"),
+        F.array_distinct(F.flatten(F.collect_list("_patients").over(w))).alias("_patients"),
+        F.array_distinct(F.flatten(F.collect_list("_sensors").over(w))).alias("_sensors"),
+    ]
+    for sensor in SCALAR_SENSORS:
+        frame_cols += [
+            F.sum(f"_n_{sensor}").over(w).alias(f"_n_{sensor}"),
+            F.sum(f"_s_{sensor}").over(w).alias(f"_s_{sensor}"),
+            F.min(f"_mn_{sensor}").over(w).alias(f"_mn_{sensor}"),
+            F.max(f"_mx_{sensor}").over(w).alias(f"_mx_{sensor}"),
+        ]
+    stats = (
+        _bucket_rows(per_time, window_us)
+        .select("_us", "_b", "_part", *frame_cols)
+        .filter(F.col("_part") == F.col("_b"))
+        .drop("_b", "_part")
+    )
+    joined = rows.select("event_id", ts, "_us").join(stats, "_us")
+    return joined.select("event_id", ts, "window_duration", *_snapshot_finish(digits))
 
 
 def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts") -> DataFrame:
