@@ -210,8 +210,23 @@ def kpis(readings: DataFrame, as_of: str, ts: str = "ts") -> DataFrame:
     )
 
 
+def distinct_values(readings: DataFrame) -> DataFrame:
+    """A16 over a whole table: the distinct patients and sensors ('unknown' for
+    missing) as rows ``(kind, value)``.  Distributed: a table-wide list of all
+    patients would put an unbounded group into one task and one row."""
+    def one(col: str, kind: str) -> DataFrame:
+        return readings.select(
+            F.lit(kind).alias("kind"), F.coalesce(F.col(col), F.lit("unknown")).alias("value")
+        ).distinct()
+
+    return one("patient_id", "patient").unionByName(one("sensor_type", "sensor"))
+
+
 def distinct_lists(readings: DataFrame) -> DataFrame:
-    """Sorted lists of distinct patients and sensors ('unknown' for missing)."""
+    """Sorted lists of distinct patients and sensors ('unknown' for missing).
+
+    For bounded inputs (one window's rows), as in the window snapshot; use
+    ``distinct_values`` for a whole table."""
     return readings.agg(
         F.array_sort(F.collect_set(F.coalesce(F.col("patient_id"), F.lit("unknown")))).alias("patient_ids"),
         F.array_sort(F.collect_set(F.coalesce(F.col("sensor_type"), F.lit("unknown")))).alias("sensor_types"),

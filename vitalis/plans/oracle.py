@@ -338,9 +338,9 @@ SELECT COUNT(*) AS total_readings,
        epoch_us(TIMESTAMP '{KPI_AS_OF}') // 1000000 - epoch_us(MAX(ts)) // 1000000 AS age_seconds
 FROM dirty_readings""",
     "distinct_lists": f"""{BASE_DIRTY}
-SELECT array_to_string(list_sort(list_distinct(list(COALESCE(patient_id, 'unknown')))), ',') AS patient_ids,
-       array_to_string(list_sort(list_distinct(list(COALESCE(sensor_type, 'unknown')))), ',') AS sensor_types
-FROM dirty_readings""",
+SELECT DISTINCT 'patient' AS kind, COALESCE(patient_id, 'unknown') AS value FROM dirty_readings
+UNION ALL
+SELECT DISTINCT 'sensor' AS kind, COALESCE(sensor_type, 'unknown') AS value FROM dirty_readings""",
     "recent_20": f"""{BASE}
 SELECT {ALL_COLS} FROM readings ORDER BY ts DESC, event_id DESC LIMIT 20""",
     "last_20": f"""{BASE}

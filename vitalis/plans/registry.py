@@ -151,8 +151,8 @@ def q_kpis(spark, sf_dir):
 
 
 def q_distinct_lists(spark, sf_dir):
-    out = A.distinct_lists(_d(spark, sf_dir))
-    return out.select(F.array_join("patient_ids", ",").alias("patient_ids"), F.array_join("sensor_types", ",").alias("sensor_types"))
+    # Whole table: the list elements as rows (see A.distinct_values).
+    return A.distinct_values(_d(spark, sf_dir))
 
 
 def q_ingest_stats(spark, sf_dir):
