@@ -178,3 +178,48 @@ def test_dedupe_keep_first_nulls_last_and_hot_key(spark):
     assert r2.event_id == 1 and r2.value == 99.0
     plan = C.dedupe(df, keep="first")._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_value_stats_empty_gives_zeros(spark):
+    empty = readings_df(spark, [(1, "P001", "pulse", 70.0, None, None, 0)]).limit(0)
+    r = A.value_stats(empty, 6).first()
+    assert (r["count"], r["avg"], r["min"], r["max"]) == (0, 0.0, 0.0, 0.0)
+
+
+def test_counts_per_patient_and_sensor(sample_readings):
+    assert {r.patient_id: r["count"] for r in A.count_per_patient(sample_readings).collect()} == {"P001": 34, "P002": 33, "P003": 33}
+    got = {r.sensor_type: (r["count"], r.avg_value) for r in A.count_avg_per_sensor(sample_readings, 6).collect()}
+    assert got["spo2"][0] == 33 and 97.0 <= got["spo2"][1] <= 99.0
+
+
+def test_ingest_stats(spark):
+    df = readings_df(spark, [(i, "P001", "pulse", 70.0, None, None, i * 2.0) for i in range(11)])
+    r = A.ingest_stats(df).first()
+    assert (r.num_readings, r.duration_seconds, r.readings_per_second) == (11, 20.0, 0.55)
+
+
+def test_output_counts(spark):
+    from vitalis.operators import windows as W
+    df = readings_df(spark, [(1, "P001", "pulse", 70.0, None, None, 0.5), (2, "P002", "pulse", 71.0, None, None, 1.0)])
+    got = {(r.kind, r.window_start.second) : r["count"] for r in A.output_counts(df, W.tumbling(df, "5 seconds"), "5 seconds").collect()}
+    assert got == {("raw", 0): 2, ("agg", 5): 2}  # aggregates are emitted at their window end
+
+
+def test_shards(spark, sample_readings):
+    from vitalis.operators import shards as X
+    assert X.assignment(3) == {"pulse": 0, "temperature": 1, "spo2": 2, "blood_pressure": 2}
+    assert X.assignment(1) == {"pulse": 0, "temperature": 0, "spo2": 0, "blood_pressure": 0}
+    assert X.sensors_of_shard(1, 6) == ["pulse"] and X.sensors_of_shard(0, 6) == []  # more shards than sensors
+    got = {(r.shard_id, r.sensor_type): r["count"] for r in X.shard_counts(sample_readings, 3).collect()}
+    assert got == {(0, "pulse"): 34, (1, "temperature"): 33, (2, "spo2"): 33}
+    assert X.restrict_to_shard(sample_readings, 2, 3).count() == 33
+    tp = X.shard_throughput(sample_readings, 2, "1 hour").collect()
+    assert sum(r.processed for r in tp) == 100
+
+
+def test_ordering_reports(spark, sample_readings):
+    from vitalis.operators import report as O
+    last = [r.event_id for r in O.last_rows(sample_readings, 5).collect()]
+    assert last == [99, 98, 97, 96, 95]
+    rows = spark.sql(A.patient_stats_sql_text("{t}"), t=sample_readings).collect()
+    assert [r.patient_id for r in rows] == ["P001", "P002", "P003"]  # readings desc, then id
