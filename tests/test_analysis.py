@@ -58,8 +58,6 @@ def test_scalar_helpers(spark):
 
 
 def test_rocksdb_state_stream(spark):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
     from tests.test_stream import _write
     S.use_rocksdb_state(spark)
     try:

@@ -12,7 +12,7 @@ from vitalis.sources import catalog
 from vitalis.sources import files as S
 from vitalis.sources import sinks as K
 from vitalis.schema import TRANSPORT_SCHEMA
-from tests.conftest import readings_df, sample_records
+from tests.conftest import sample_records
 
 
 def _write_lines(lines):

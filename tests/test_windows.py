@@ -1,8 +1,5 @@
 """Tumbling and trailing windows, boundaries, peers, skew split, global window."""
 
-import pandas as pd
-from pyspark.sql import functions as F
-
 from vitalis.operators import windows as W
 from tests.conftest import readings_df
 

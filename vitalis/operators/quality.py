@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import ts_to_epoch
 from vitalis.functions.validation import bp_is_valid, in_range, reading_check, status_by_param
-from vitalis.schema import BLOOD_PRESSURE, RANGES, SCALAR_SENSORS, ranges_df
+from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS, ranges_df
 
 
 def validated_readings(readings: DataFrame) -> DataFrame:
@@ -186,5 +186,4 @@ __all__ = [
     "quality_report",
     "alerts",
     "alerts_bp",
-    "RANGES",
 ]

@@ -26,10 +26,6 @@ from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS
 US_PER_SECOND = 1_000_000
 
 
-def _r(col: Column, digits: int | None) -> Column:
-    return F.round(col, digits) if digits is not None else col
-
-
 def scalar_readings(readings: DataFrame) -> DataFrame:
     """Readings that go to the scalar aggregator (everything but blood pressure)."""
     return readings.filter(F.col("sensor_type") != BLOOD_PRESSURE)
