@@ -127,6 +127,21 @@ def _frame(keys: list[str], window_us: int, closed: bool):
     return Window.partitionBy(*keys, "_part").orderBy("_us").rangeBetween(lower, 0)
 
 
+def _frame_total(col: str, keys: list[str], window_us: int, closed: bool) -> Column:
+    """Exact sum over the trailing frame as the difference of two running sums.
+
+    Spark re-aggregates a sliding frame every time it moves (rows x frame
+    rows), but a frame that starts at the partition start only grows, so it is
+    updated row by row.  Counts and the fixed-point (integer) sums subtract
+    exactly; min, max and sets stay on the sliding frame.
+    """
+    cut = -(window_us + 1) if closed else -window_us
+    spec = Window.partitionBy(*keys, "_part").orderBy("_us")
+    upto_now = F.sum(col).over(spec.rangeBetween(Window.unboundedPreceding, 0))
+    before = F.sum(col).over(spec.rangeBetween(Window.unboundedPreceding, cut))
+    return upto_now - F.coalesce(before, F.lit(0))
+
+
 def trailing(
     readings: DataFrame,
     window_us: int = 30 * US_PER_SECOND,
@@ -166,6 +181,8 @@ def trailing(
         F.min("value").alias("_mn"), F.max("value").alias("_mx"),
     )
     b = _bucket_rows(per_time, window_us)
+    # Per-key frames are short (a reading rate times W), so plain sliding sums
+    # are cheaper here than the running-sum difference used by the global W5.
     n = F.sum("_nv").over(w)
     total = F.sum("_s").over(w)
     stats = b.select(
@@ -266,14 +283,19 @@ def global_trailing(
     w = _frame([], window_us, closed=True)
     frame_cols = [
         ((F.col("_us") - F.min("_us").over(w)) / F.lit(float(US_PER_SECOND))).alias("window_duration"),
-        F.sum("count").over(w).alias("count"),
+        _frame_total("count", [], window_us, True).alias("count"),
         F.array_distinct(F.flatten(F.collect_list("_patients").over(w))).alias("_patients"),
         F.array_distinct(F.flatten(F.collect_list("_sensors").over(w))).alias("_sensors"),
     ]
     for sensor in SCALAR_SENSORS:
+        total = (
+            _frame_total(f"_s_{sensor}", [], window_us, True)
+            if digits is not None
+            else F.sum(f"_s_{sensor}").over(w)
+        )
         frame_cols += [
-            F.sum(f"_n_{sensor}").over(w).alias(f"_n_{sensor}"),
-            F.sum(f"_s_{sensor}").over(w).alias(f"_s_{sensor}"),
+            _frame_total(f"_n_{sensor}", [], window_us, True).alias(f"_n_{sensor}"),
+            total.alias(f"_s_{sensor}"),
             F.min(f"_mn_{sensor}").over(w).alias(f"_mn_{sensor}"),
             F.max(f"_mx_{sensor}").over(w).alias(f"_mx_{sensor}"),
         ]
