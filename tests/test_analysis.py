@@ -68,3 +68,18 @@ def test_rocksdb_state_stream(spark):
         assert out.count() > 0
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_cli_analyze_jsonl(spark, capsys):
+    import json
+    import tempfile
+    from tests.conftest import sample_records
+    from vitalis import __main__ as cli
+    d = tempfile.mkdtemp(prefix="vitalis-cli-")
+    p = os.path.join(d, "readings.jsonl")
+    with open(p, "w") as f:
+        f.write("\n".join(json.dumps(r) for r in sample_records(30)) + "\n")
+    spark.stop = lambda: None  # keep the shared test session alive
+    cli.main(["analyze", p, "--rows", "5"])
+    out = capsys.readouterr().out
+    assert "== sensor_stats_sql" in out and "pulse" in out
