@@ -23,7 +23,8 @@ def _load(spark, path: str):
     if path.endswith(".parquet") or os.path.isdir(path):
         return read_parquet(spark, path)
     df = read_jsonl(spark, path)
-    return df.withColumnRenamed("datetime", "ts") if "datetime" in df.columns else df
+    # ``datetime`` already prefers an ISO ``ts`` and falls back to epoch seconds
+    return df.drop("ts").withColumnRenamed("datetime", "ts") if "datetime" in df.columns else df
 
 
 def main(argv: list[str] | None = None) -> None:
