@@ -97,7 +97,11 @@ def normal_status(readings: DataFrame) -> DataFrame:
     )
 
 
-# Order and labels of the quality-report issues (fixed values).
+# ---------------------------------------------------------------------------
+# Alert texts and the order and labels of quality-report issues.
+# ---------------------------------------------------------------------------
+ALERT_LOW = "Low %s: %d readings below normal"
+ALERT_HIGH = "High %s: %d readings above normal"
 _ISSUES = [
     ("pulse", "value", "pulse", "Invalid pulse readings: "),
     ("temperature", "value", "temperature", "Invalid temperature readings: "),
@@ -151,8 +155,8 @@ def _alerts(long: DataFrame, params: list[str]) -> DataFrame:
         ),
     ).filter(F.col("n") > 0)
     text = F.when(
-        F.col("level") == "low", F.format_string("Low %s: %d readings below normal", F.col("param"), F.col("n"))
-    ).otherwise(F.format_string("High %s: %d readings above normal", F.col("param"), F.col("n")))
+        F.col("level") == "low", F.format_string(ALERT_LOW, F.col("param"), F.col("n"))
+    ).otherwise(F.format_string(ALERT_HIGH, F.col("param"), F.col("n")))
     return longer.select(
         F.col("param").alias("sensor_type"), "level", "n", text.alias("alert"), rank[F.col("param")].alias("ord")
     ).orderBy("ord", F.desc("level")).drop("ord")
