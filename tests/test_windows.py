@@ -101,3 +101,24 @@ def test_window_rows_and_current(spark):
     cur = W.window_current(df, 30 * US).first()
     assert (cur["count"], cur.window_duration, cur.sensor_types) == (4, 30.0, ["pulse", "spo2", "temperature"])
     assert cur.pulse["count"] == 2 and cur.pulse["avg"] == 73.0
+
+
+def test_rolling_method_equals_frame_method(spark):
+    rows = [(i, "P001" if i % 4 else "P002", "pulse", float(i % 37) if i % 13 else None, None, None, (i // 2) * 7.3)
+            for i in range(300)]
+    df = readings_df(spark, rows)
+    cols = ["event_id", "count", "avg", "min", "max"]
+    for closed in (False, True):
+        for digits in (6, None):
+            a = W.trailing(df, 30 * US, closed=closed, digits=digits, method="rolling").select(cols)
+            b = W.trailing(df, 30 * US, closed=closed, digits=digits).select(cols)
+            if digits is None:
+                import math
+                ga = {r.event_id: r for r in a.collect()}
+                for r in b.collect():
+                    x = ga[r.event_id]
+                    assert (x["count"], x["min"], x["max"]) == (r["count"], r["min"], r["max"])
+                    assert (x["avg"] is None and r["avg"] is None) or math.isclose(x["avg"], r["avg"], rel_tol=1e-12)
+            else:
+                assert a.count() == b.count() == 300
+                assert a.exceptAll(b).count() == 0

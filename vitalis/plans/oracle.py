@@ -436,3 +436,4 @@ SELECT {ALL_COLS} FROM readings""",
 }
 
 ORACLE["stream_trailing_exact"] = ORACLE["trailing"]
+ORACLE["trailing_rolling"] = ORACLE["trailing"]

@@ -248,6 +248,10 @@ def q_trailing(spark, sf_dir):
     return W.trailing(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS)
 
 
+def q_trailing_rolling(spark, sf_dir):
+    return W.trailing(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS, method="rolling")
+
+
 def q_trailing_current(spark, sf_dir):
     return W.trailing_current(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS)
 
@@ -386,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "tumbling": q_tumbling,
     "tumbling_bp": q_tumbling_bp,
     "trailing": q_trailing,
+    "trailing_rolling": q_trailing_rolling,
     "trailing_current": q_trailing_current,
     "global_trailing": q_global_trailing,
     "window_rows": q_window_rows,
