@@ -110,3 +110,9 @@ def test_arrow_handoff_bound_and_batches(spark, sample_readings):
     K.write_batched(sample_readings.coalesce(1), out, 30)
     files = [f for f in os.listdir(out.replace("file:", "")) if f.endswith(".parquet")]
     assert len(files) == 4
+
+
+def test_empty_and_blank_only_files_give_empty_frames(spark):
+    p = _write_lines([""])
+    df = S.read_jsonl(spark, p)
+    assert df.count() == 0 and "patient_id" in df.columns
