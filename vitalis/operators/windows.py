@@ -314,20 +314,31 @@ def global_trailing(
     count, window_duration (s, last - first), sorted patient and sensor lists,
     and a {count, avg, min, max} struct per scalar sensor (NULL when absent).
 
-    Rows are first reduced to one per distinct time with partial aggregates
-    (sets of patients and sensors, per-sensor count / exact sum / min / max),
-    so copies collapse map-side.  The frame then runs over distinct times,
-    partitioned by time bucket (never one global partition), and its result
-    is joined back to the rows on the time.
+    Rows are first reduced to one per (time, patient, sensor) with plain
+    partial aggregates (count, exact sum, min, max), so copies collapse
+    map-side.  The frame runs over those rows, partitioned by time bucket
+    (never one global partition); rows sharing a time are peers with the
+    same frame, so one result per time is joined back to the rows.
     """
-    rows = readings.withColumn("_us", ts_micros(ts))
-    per_time = rows.groupBy("_us").agg(*_snapshot_parts(None, digits))
+    rows = readings.withColumn("_us", ts_micros(ts)).withColumn(
+        "_p", F.coalesce(F.col("patient_id"), F.lit("unknown"))
+    ).withColumn("_s", F.coalesce(F.col("sensor_type"), F.lit("unknown")))
+    aggs = [F.count(F.lit(1)).alias("_c")]
+    for sensor in SCALAR_SENSORS:
+        v = F.when(F.col("sensor_type") == sensor, F.coalesce(F.col("value"), F.lit(0.0)))
+        aggs += [
+            F.count(v).alias(f"_n_{sensor}"),
+            (fixed_avg_sum(v, digits) if digits is not None else F.sum(v)).alias(f"_s_{sensor}"),
+            F.min(v).alias(f"_mn_{sensor}"),
+            F.max(v).alias(f"_mx_{sensor}"),
+        ]
+    per_key = rows.groupBy("_us", "_p", "_s").agg(*aggs)
     w = _frame([], window_us, closed=True)
     frame_cols = [
         ((F.col("_us") - F.min("_us").over(w)) / F.lit(float(US_PER_SECOND))).alias("window_duration"),
-        _frame_total("count", [], window_us, True).alias("count"),
-        F.array_distinct(F.flatten(F.collect_list("_patients").over(w))).alias("_patients"),
-        F.array_distinct(F.flatten(F.collect_list("_sensors").over(w))).alias("_sensors"),
+        _frame_total("_c", [], window_us, True).alias("count"),
+        F.collect_set("_p").over(w).alias("_patients"),
+        F.collect_set("_s").over(w).alias("_sensors"),
     ]
     for sensor in SCALAR_SENSORS:
         total = (
@@ -342,10 +353,11 @@ def global_trailing(
             F.max(f"_mx_{sensor}").over(w).alias(f"_mx_{sensor}"),
         ]
     stats = (
-        _bucket_rows(per_time, window_us)
+        _bucket_rows(per_key, window_us)
         .select("_us", "_b", "_part", *frame_cols)
         .filter(F.col("_part") == F.col("_b"))
         .drop("_b", "_part")
+        .dropDuplicates(["_us"])  # peers share one frame result
     )
     joined = rows.select("event_id", ts, "_us").join(stats, "_us")
     return joined.select("event_id", ts, "window_duration", *_snapshot_finish(digits))
