@@ -10,8 +10,11 @@ are split by time instead: with window length W, row time t gets bucket
 ``b = t div W``; every row a frame ending in bucket b can touch lies in b or
 b-1.  Each row is emitted twice, as owner of b and as context for b+1; the
 range frame is evaluated within (key, bucket) and only owner rows are kept.
-Exact, at 2x rows and one shuffle, and the work per task is bounded by one
-key's rows in 2W of time rather than by the whole key or table.
+Exact, at 2x rows, and the work per task is bounded by one key's rows in 2W
+of time rather than by the whole key or table.  Before the frame, rows are
+reduced to one per (key, time) (W5: per time, patient and sensor) with
+partial aggregates, so copies of one reading collapse map-side; the frame
+result is joined back to the rows.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the full
 the driver data has minutes between events, so the 5 s / 30 s collector
 windows become 1 day / 6 days per key (same 1:6 ratio) and 30 minutes for the
 global consumer window; unit tests use the true 5 s / 30 s on fixtures.
-Averages and deviations are rounded to 6 decimals so that engines with a
-different summation order agree.
+Averages are exact fixed-point values at 6 decimals (``fixed_avg``) and
+deviations are rounded to 6 decimals, so engines with a different summation
+order agree.
 """
 
 from __future__ import annotations
