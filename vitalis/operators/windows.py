@@ -208,22 +208,32 @@ def trailing(
 
 
 def _trailing_rolling(data: DataFrame, window_us: int, ts: str, keys: list[str], closed: bool, digits) -> DataFrame:
-    """W3 with vectorised frames: groups are (hash bucket of the key, time
-    bucket); inside a group every key gets its own stretch of a shifted time
-    axis, so one sorted pass with prefix sums and a sparse table serves all
-    keys at once (O(rows log rows), independent of the frame size)."""
-    from vitalis.streaming.state import frame_stats
+    """W3 with vectorised frames.
+
+    Rows are first reduced to one per (key, time) with partial aggregates, so
+    copies of a reading collapse map-side.  Groups are then (hash bucket of
+    the key, time bucket); inside a group every key gets its own stretch of a
+    shifted time axis, so one sorted pass with prefix sums and a sparse table
+    serves all keys at once (O(rows log rows), whatever the frame size).  The
+    per-time results are joined back to the rows.
+    """
+    from vitalis.streaming.state import frame_stats_weighted
 
     lower_open = window_us + 1 if closed else window_us  # frame is (t - lower_open, t]
     gap = 4 * window_us + 4  # keys never share a frame on the shifted axis
     hash_buckets = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = _bucketed(data, ts, window_us).select(
-        "event_id", *keys, ts, "value", "_us", "_b", "_part",
-        F.pmod(F.xxhash64(*keys), F.lit(hash_buckets)).alias("_hb"),
+    exact = digits is not None
+    rows = data.withColumn("_us", ts_micros(ts))
+    total = fixed_avg_sum("value", digits) if exact else F.sum("value")
+    per_time = rows.groupBy(*keys, "_us").agg(
+        F.count(F.lit(1)).alias("_c"), F.count("value").alias("_nv"), total.cast("string").alias("_t"),
+        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
     )
+    b = _bucket_rows(per_time, window_us).withColumn("_hb", F.pmod(F.xxhash64(*keys), F.lit(hash_buckets)))
     out_schema = (
-        b.drop("_us", "_b", "_part", "_hb").schema.add("count", "long").add("avg", "double")
-        .add("min", "double").add("max", "double")
+        "{} , _us long, count long, avg double, min double, max double".format(
+            ", ".join(f"`{k}` {data.schema[k].dataType.simpleString()}" for k in keys)
+        )
     )
 
     def per_group(pdf):
@@ -231,13 +241,19 @@ def _trailing_rolling(data: DataFrame, window_us: int, ts: str, keys: list[str],
         kid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy(dtype="int64")
         us = pdf["_us"].to_numpy(dtype="int64")
         shifted = kid * gap + (us - us.min())
-        v = pdf["value"].to_numpy(dtype="float64", na_value=float("nan"))
-        count, avg, mn, mx = frame_stats(shifted, v, lower_open, 6 if digits is None else digits, exact=digits is not None)
+        tot = [int(x) if x is not None else 0 for x in pdf["_t"]] if exact else pdf["_t"].astype(float).to_numpy()
+        count, avg, mn, mx = frame_stats_weighted(
+            shifted, pdf["_c"].to_numpy(dtype="int64"), pdf["_nv"].to_numpy(dtype="int64"), tot,
+            pdf["_mn"].to_numpy(dtype="float64", na_value=float("nan")),
+            pdf["_mx"].to_numpy(dtype="float64", na_value=float("nan")),
+            lower_open, 6 if digits is None else digits, exact=exact,
+        )
         owner = (pdf["_part"] == pdf["_b"]).to_numpy()
-        out = pdf.drop(columns=["_us", "_b", "_part", "_hb"]).assign(count=count, avg=avg, min=mn, max=mx)
+        out = pdf[[*keys, "_us"]].assign(count=count, avg=avg, min=mn, max=mx)
         return out[owner]
 
-    return b.groupBy("_hb", "_part").applyInPandas(per_group, out_schema)
+    stats = b.groupBy("_hb", "_part").applyInPandas(per_group, out_schema)
+    return rows.select("event_id", *keys, ts, "value", "_us").join(stats, [*keys, "_us"]).drop("_us")
 
 
 def trailing_current(
