@@ -27,7 +27,8 @@ def scaled(col, decimals: int) -> Column:
 
 
 def fixed_avg(col, digits: int = 6, over=None) -> Column:
-    """Average of ``col`` rounded half-up to ``digits`` decimals.
+    """Average of ``col`` rounded half up to ``digits`` decimals (an exact tie
+    goes toward +infinity: floor(x + 1/2)).
 
     Inputs are quantised to ``digits + 3`` decimals, summed exactly and divided
     exactly.  ``over``: a window spec, for a frame average.  NULLs are
