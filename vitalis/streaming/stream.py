@@ -22,7 +22,7 @@ from vitalis.schema import EVENTS_SCHEMA, READING_JSON_SCHEMA
 from vitalis.session import prepare, scratch_path
 from vitalis.sources.readings import readings_from_events
 
-CORRUPT_COLUMN = "_corrupt_record"
+from vitalis.sources.files import CORRUPT_COLUMN
 
 
 def events_stream(
@@ -122,10 +122,6 @@ def kpis_stream(readings: DataFrame, size: str = "1 minute", delay: str = "10 se
     )
 
 
-def bp_stream(readings: DataFrame) -> DataFrame:
-    return bp_readings(readings)
-
-
 def start_to_parquet(
     df: DataFrame,
     path: str,
