@@ -83,3 +83,22 @@ def test_cli_analyze_jsonl(spark, capsys):
     cli.main(["analyze", p, "--rows", "5"])
     out = capsys.readouterr().out
     assert "== sensor_stats_sql" in out and "pulse" in out
+
+
+def test_validated_records_as_json_messages_have_expected_keys(spark):
+    import json
+    from vitalis.operators import quality as Q
+    df = readings_df(spark, [(1, "P001", "pulse", 75.0, None, None, 0), (2, "P002", "blood_pressure", 0.0, 120.0, 80.0, 1)])
+    scalar = [json.loads(r.value) for r in K.encode_messages(Q.validated_readings(df)).collect()]
+    bp = [json.loads(r.value) for r in K.encode_messages(Q.validated_bp(df)).collect()]
+    assert set(scalar[0]) == {"patient_id", "sensor_type", "value", "timestamp", "is_valid"}
+    assert set(bp[0]) == {"patient_id", "sensor_type", "systolic", "diastolic", "timestamp", "is_valid"}
+    assert bp[0]["is_valid"] is True and isinstance(bp[0]["timestamp"], int)
+
+
+def test_cli_dashboard_on_driver_folder(spark, capsys):
+    from vitalis import __main__ as cli
+    spark.stop = lambda: None  # keep the shared test session alive
+    cli.main(["dashboard", "/root/testdata/sf0.001", "--rows", "3"])
+    out = capsys.readouterr().out
+    assert "== kpis" in out and "== recent" in out and "== histogram_pulse" in out
