@@ -151,6 +151,37 @@ def run_to_table(df: DataFrame, kind: str, output_mode: str = "append") -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def upsert_log_stream(df: DataFrame, kind: str = "upserts") -> tuple[str, StreamingQuery]:
+    """R6 (update mode): each micro-batch's changed rows go to their own
+    ``batch_id=N`` folder.  A retried batch overwrites its folder, so the log
+    is idempotent; ``read_latest`` folds it to the newest version per key.
+    Returns the log path and the started query (drained with availableNow)."""
+    spark = df.sparkSession
+    base = scratch_path(spark, f"upsert-{kind}")
+    path = f"{base}/log"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    q = (
+        df.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{base}/_checkpoint")
+        .foreachBatch(write_batch)
+        .trigger(availableNow=True)
+        .start()
+    )
+    return path, q
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Newest version of every key in an upsert log: ``max_by`` over the batch
+    id, a partial + final aggregate (no sort, no single partition)."""
+    log = spark.read.parquet(path)
+    values = [c for c in log.columns if c not in keys and c != "batch_id"]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
+    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
 def publish_stream(df: DataFrame, kind: str = "messages") -> StreamingQuery:
     """S11 + S20 on a stream: every row as a JSON message into a text sink
     under the shared folder (a Kafka sink takes the same ``value`` column)."""
