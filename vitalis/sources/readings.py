@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import patient_code
+from vitalis.schema import EVENTS_SCHEMA
 from vitalis.session import prepare
 
 # Fixed mapping from event type to sensor (fixed values).
@@ -27,8 +28,10 @@ READING_COLUMNS = ["event_id", "patient_id", "sensor_type", "value", "systolic",
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver ``events`` table, read with its explicit schema (no schema
+    discovery from file footers at planning time)."""
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def event_types_for(sensors: list[str] | tuple[str, ...] | None = None, exclude=None) -> list[str] | None:
