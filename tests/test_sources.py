@@ -116,3 +116,12 @@ def test_empty_and_blank_only_files_give_empty_frames(spark):
     p = _write_lines([""])
     df = S.read_jsonl(spark, p)
     assert df.count() == 0 and "patient_id" in df.columns
+
+
+def test_preference_falls_back_to_jsonl_and_existing_file_reads(spark):
+    recs = sample_records(12)
+    p = _write_lines([json.dumps(r) for r in recs])
+    assert S.load_preferred(spark, "/nonexistent/vitalis.parquet", p).count() == 12
+    assert S.read_jsonl_or_empty(spark, p).count() == 12
+    with pytest.raises(FileNotFoundError):
+        S.load_preferred(spark, "/nonexistent/a.parquet", "/nonexistent/b.jsonl")
