@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vitalis.llm import mixing
 from vitalis.llm.bpe import op4_bpe
+from vitalis.llm.mixing import op2_mixing
+from vitalis.llm.quality import op6_quality
+from vitalis.llm.sharding import op1_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_mixing": op2_mixing,
     "op4_bpe": op4_bpe,
+    "op6_quality": op6_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_mixing": mixing.SQL,
+}
