@@ -8,19 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalis.llm import mixing
 from vitalis.llm.bpe import op4_bpe
+from vitalis.llm.jaccard import op8_jaccard
 from vitalis.llm.langid import op5_language
 from vitalis.llm.mixing import op2_mixing
 from vitalis.llm.quality import op6_quality
 from vitalis.llm.sharding import op1_sharding
+from vitalis.llm.substring import op3_substring
 from vitalis.llm.warc import op7_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
+    "op3_substring": op3_substring,
     "op4_bpe": op4_bpe,
     "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
+    "op8_jaccard": op8_jaccard,
 }
 
 ORACLE: dict[str, str] = {
