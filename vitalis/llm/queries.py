@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalis.llm import mixing
 from vitalis.llm.bpe import op4_bpe
+from vitalis.llm.embed import op9_embeddings
 from vitalis.llm.jaccard import op8_jaccard
 from vitalis.llm.langid import op5_language
 from vitalis.llm.mixing import op2_mixing
@@ -15,6 +16,7 @@ from vitalis.llm.quality import op6_quality
 from vitalis.llm.sharding import op1_sharding
 from vitalis.llm.substring import op3_substring
 from vitalis.llm.warc import op7_warc
+from vitalis.llm.wrappers import op10_html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
@@ -25,6 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
     "op8_jaccard": op8_jaccard,
+    "op9_embeddings": op9_embeddings,
+    "op10_html": op10_html,
 }
 
 ORACLE: dict[str, str] = {
