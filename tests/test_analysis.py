@@ -20,12 +20,12 @@ def test_run_analysis(spark, sample_readings):
     assert out["cleaned"].count() == 100
     assert out["quality"].first().total_records == 106
     stats = {r.sensor_type: r["count"] for r in out["sensor_stats_sql"].collect()}
-    assert stats == {"pulse": 34, "temperature": 33, "spo2": 33}
-    assert {r.patient_id for r in out["patient_stats_sql"].collect()} == {"P001", "P002", "P003"}
+    assert stats == {"pulse": 40, "temperature": 30, "spo2": 30}
+    assert {r.patient_id for r in out["patient_stats_sql"].collect()} == {"A-17", "B-17", "C-17", "D-17"}
 
 
 def test_dashboard_panels(spark, sample_readings):
-    d = dashboard_data(sample_readings, "2024-03-01 12:00:00")
+    d = dashboard_data(sample_readings, "2024-03-01 12:01:00")
     assert d["kpis"].first().total_readings == 100
     assert d["recent"].count() == 20
     assert d["series_pulse"].first().normal_min == 60.0

@@ -12,22 +12,22 @@ from tests.conftest import readings_df
 
 def test_filter_by_sensor(sample_readings):
     pulse = sample_readings.filter(F.col("sensor_type") == "pulse")
-    assert pulse.count() == 34
+    assert pulse.count() == 40
     assert {r.sensor_type for r in pulse.collect()} == {"pulse"}
 
 
 def test_by_sensor_and_patient(sample_readings):
     s = {r.sensor_type: r for r in A.by_sensor(sample_readings).collect()}
     assert set(s) == {"pulse", "temperature", "spo2"}
-    assert s["pulse"]["count"] == 34 and s["temperature"]["count"] == 33
-    assert s["spo2"]["min"] >= 97.0 and s["spo2"]["max"] <= 99.0
+    assert s["pulse"]["count"] == 40 and s["temperature"]["count"] == 30
+    assert (s["spo2"]["min"], s["spo2"]["max"]) == (92.0, 99.25)
     p = {r.patient_id: (r.total_readings, r.sensor_types) for r in A.by_patient(sample_readings).collect()}
-    assert p == {"P001": (34, 1), "P002": (33, 1), "P003": (33, 1)}
+    assert p == {w + "-17": (25, 3) for w in "ABCD"}
 
 
 def test_stats_bounds(sample_readings):
     r = A.filtered_stats(sample_readings, "pulse").first()
-    assert 70 <= r["min"] <= r["avg"] <= r["max"] <= 119 and r["count"] == 34
+    assert (r["min"], r["avg"], r["max"], r["count"]) == (61.0, 70.75, 80.5, 40)
 
 
 def test_one_row_group_std_is_null(spark):
@@ -49,7 +49,7 @@ def test_sql_sensor_stats_filter_and_order(spark, sample_readings):
     df = sample_readings.unionByName(readings_df(spark, [(999, "P009", "blood_pressure", 0.0, 120.0, 80.0, 5)]))
     rows = spark.sql(A.sensor_stats_sql_text("{r}", 6), r=df).collect()
     assert [r.sensor_type for r in rows] == ["pulse", "spo2", "temperature"]  # count desc, then name
-    assert rows[0]["count"] == 34
+    assert rows[0]["count"] == 40
 
 
 def test_fixed_avg_exact_half_up(spark):
@@ -148,10 +148,10 @@ def test_histogram_edges(spark):
 
 def test_sensor_distribution_and_kpis(spark, sample_readings):
     d = {r.sensor_type: r.share_pct for r in A.sensor_distribution(sample_readings, 6).collect()}
-    assert abs(sum(d.values()) - 100.0) < 1e-9 and d["pulse"] == 34.0
+    assert abs(sum(d.values()) - 100.0) < 1e-9 and d["pulse"] == 40.0
     k = A.kpis(sample_readings, "2024-03-01 12:01:00").first()
-    assert (k.total_readings, k.patients, k.sensor_types) == (100, 3, 3)
-    assert k.age_seconds == 61
+    assert (k.total_readings, k.patients, k.sensor_types) == (100, 4, 3)
+    assert 35 <= k.age_seconds <= 36
 
 
 def test_minute_buckets(spark):
@@ -187,9 +187,9 @@ def test_value_stats_empty_gives_zeros(spark):
 
 
 def test_counts_per_patient_and_sensor(sample_readings):
-    assert {r.patient_id: r["count"] for r in A.count_per_patient(sample_readings).collect()} == {"P001": 34, "P002": 33, "P003": 33}
+    assert {r.patient_id: r["count"] for r in A.count_per_patient(sample_readings).collect()} == {w + "-17": 25 for w in "ABCD"}
     got = {r.sensor_type: (r["count"], r.avg_value) for r in A.count_avg_per_sensor(sample_readings, 6).collect()}
-    assert got["spo2"][0] == 33 and 97.0 <= got["spo2"][1] <= 99.0
+    assert got["spo2"] == (30, 95.625)
 
 
 def test_ingest_stats(spark):
@@ -211,8 +211,8 @@ def test_shards(spark, sample_readings):
     assert X.assignment(1) == {"pulse": 0, "temperature": 0, "spo2": 0, "blood_pressure": 0}
     assert X.sensors_of_shard(1, 6) == ["pulse"] and X.sensors_of_shard(0, 6) == []  # more shards than sensors
     got = {(r.shard_id, r.sensor_type): r["count"] for r in X.shard_counts(sample_readings, 3).collect()}
-    assert got == {(0, "pulse"): 34, (1, "temperature"): 33, (2, "spo2"): 33}
-    assert X.restrict_to_shard(sample_readings, 2, 3).count() == 33
+    assert got == {(0, "pulse"): 40, (1, "temperature"): 30, (2, "spo2"): 30}
+    assert X.restrict_to_shard(sample_readings, 2, 3).count() == 30
     tp = X.shard_throughput(sample_readings, 2, "1 hour").collect()
     assert sum(r.processed for r in tp) == 100
 
@@ -222,4 +222,4 @@ def test_ordering_reports(spark, sample_readings):
     last = [r.event_id for r in O.last_rows(sample_readings, 5).collect()]
     assert last == [99, 98, 97, 96, 95]
     rows = spark.sql(A.patient_stats_sql_text("{t}"), t=sample_readings).collect()
-    assert [r.patient_id for r in rows] == ["P001", "P002", "P003"]  # readings desc, then id
+    assert [r.patient_id for r in rows] == ["A-17", "B-17", "C-17", "D-17"]  # readings desc, then id

@@ -12,7 +12,7 @@ from vitalis.sources import catalog
 from vitalis.sources import files as S
 from vitalis.sources import sinks as K
 from vitalis.schema import TRANSPORT_SCHEMA
-from tests.conftest import sample_records
+from tests.conftest import BASE, readings_df, sample_records
 
 
 def _write_lines(lines):
@@ -25,17 +25,17 @@ def _write_lines(lines):
 
 def test_jsonl_two_records_blank_line(spark):
     p = _write_lines([
-        json.dumps({"patient_id": "P001", "sensor_type": "pulse", "value": 75.0}),
+        json.dumps({"patient_id": "K-3", "sensor_type": "spo2", "value": 93.5, "timestamp": BASE}),
         "",
-        json.dumps({"patient_id": "P002", "sensor_type": "temperature", "value": 36.8}),
+        json.dumps({"patient_id": "K-9", "sensor_type": "pulse", "value": 58.25}),
     ])
     df = S.read_jsonl(spark, p)
-    got = sorted((r.patient_id, r.sensor_type, r.value, r.timestamp) for r in df.collect())
-    assert got == [("P001", "pulse", 75.0, None), ("P002", "temperature", 36.8, None)]
+    got = sorted((r.patient_id, r.sensor_type, r.value, r.timestamp, r.ts is None) for r in df.collect())
+    assert got == [("K-3", "spo2", 93.5, BASE, False), ("K-9", "pulse", 58.25, None, True)]
 
 
 def test_jsonl_bad_line_failfast_and_permissive(spark):
-    p = _write_lines([json.dumps({"patient_id": "P001", "sensor_type": "pulse", "value": 75.0}), "{not json"])
+    p = _write_lines([json.dumps({"patient_id": "K-4", "sensor_type": "pulse", "value": 64.0}), "{not json", ""])
     with pytest.raises(Exception):
         S.read_jsonl(spark, p).collect()
     good, bad = S.split_corrupt(S.read_jsonl(spark, p, mode="PERMISSIVE"))
@@ -48,9 +48,9 @@ def test_missing_file_gives_empty(spark):
 
 
 def test_epoch_conversion_keeps_fraction(spark):
-    p = _write_lines([json.dumps({"patient_id": "P001", "sensor_type": "pulse", "value": 75.0, "timestamp": 1234567890.7})])
-    r = S.read_jsonl(spark, p).select(F.unix_micros("datetime").alias("us")).first()
-    assert r.us == 1234567890700000
+    p = _write_lines([json.dumps({"patient_id": "K-5", "sensor_type": "pulse", "value": 64.0, "timestamp": 1700000321.7})])
+    r = S.read_jsonl(spark, p).select(F.unix_micros("ts").alias("us")).first()
+    assert r.us == 1700000321700000
 
 
 def test_jsonl_round_trip(spark):
@@ -59,7 +59,7 @@ def test_jsonl_round_trip(spark):
     df = S.read_jsonl(spark, p)
     assert df.count() == 20
     out = scratch_path(spark, "t-jsonl")
-    K.write_jsonl(df.drop("datetime"), out)
+    K.write_jsonl(df, out)
     back = S.read_jsonl(spark, out)
     assert back.count() == 20
     assert sorted(r.timestamp for r in back.collect()) == sorted(r["timestamp"] for r in recs)
@@ -69,7 +69,7 @@ def test_parquet_sql_on_path_and_preference(spark, sample_readings):
     out = scratch_path(spark, "t-parquet")
     K.write_parquet(sample_readings, out, partition_by=["sensor_type"])
     df = S.sql_on_parquet(spark, out, "SELECT sensor_type, COUNT(*) AS n FROM {src} WHERE value > 0 GROUP BY sensor_type")
-    assert {r.sensor_type: r.n for r in df.collect()} == {"pulse": 34, "temperature": 33, "spo2": 33}
+    assert {r.sensor_type: r.n for r in df.collect()} == {"pulse": 40, "temperature": 30, "spo2": 30}
     with pytest.raises(FileNotFoundError):
         S.sql_on_parquet(spark, out + "-missing", "SELECT * FROM {src}")
     assert S.load_preferred(spark, out, "/nonexistent.jsonl").count() == 100
@@ -102,10 +102,12 @@ def test_messages_round_trip_and_tags(spark, sample_readings):
     assert sum(x.startswith("[RAW] {") for x in lines) == 3 and sum(x.startswith("[AGG] {") for x in lines) == 2
 
 
-def test_arrow_handoff_bound_and_batches(spark, sample_readings):
-    assert K.to_arrow(sample_readings, 1000).num_rows == 100
-    with pytest.raises(ValueError):
-        K.to_arrow(sample_readings, 10)
+def test_arrow_handoff_and_batches(spark, sample_readings):
+    import pyarrow.parquet as pq
+
+    handed = K.hand_off(sample_readings, scratch_path(spark, "t-arrow"))
+    assert pq.read_table(handed.removeprefix("file:")).num_rows == 100
+    assert K.report_to_arrow(sample_readings.groupBy("sensor_type").count()).num_rows == 3
     out = scratch_path(spark, "t-batches")
     K.write_batched(sample_readings.coalesce(1), out, 30)
     files = [f for f in os.listdir(out.replace("file:", "")) if f.endswith(".parquet")]
@@ -119,9 +121,44 @@ def test_empty_and_blank_only_files_give_empty_frames(spark):
 
 
 def test_preference_falls_back_to_jsonl_and_existing_file_reads(spark):
-    recs = sample_records(12)
+    recs = sample_records(10)
     p = _write_lines([json.dumps(r) for r in recs])
-    assert S.load_preferred(spark, "/nonexistent/vitalis.parquet", p).count() == 12
-    assert S.read_jsonl_or_empty(spark, p).count() == 12
+    assert S.load_preferred(spark, "/nonexistent/vitalis.parquet", p).count() == 10
+    assert S.read_jsonl_or_empty(spark, p).count() == 10
     with pytest.raises(FileNotFoundError):
         S.load_preferred(spark, "/nonexistent/a.parquet", "/nonexistent/b.jsonl")
+
+
+def test_reference_shaped_json_flows_through(spark):
+    """Four-field records with epoch seconds reach windows, strict cleaning and the analyzer run."""
+    from vitalis.operators import clean as C
+    from vitalis.operators import windows as W
+    from vitalis.plans.analysis import run_analysis
+
+    recs = [*sample_records(20), {"patient_id": "A-17", "sensor_type": "blood_pressure", "value": 0.0, "systolic": 121.0, "diastolic": 79.0, "timestamp": BASE}]
+    df = S.read_jsonl(spark, _write_lines([json.dumps(r) for r in recs]))
+    assert W.tumbling(df, "5 seconds").agg({"count": "sum"}).first()[0] == 20
+    assert [r.sensor_type for r in C.clean(df, "strict").collect()] == ["blood_pressure"]
+    assert run_analysis(spark, df)["cleaned"].count() == 21
+    out = scratch_path(spark, "t-shape")
+    df.select("patient_id", "sensor_type", "value", "timestamp", F.col("ts").alias("datetime")).write.parquet(out)
+    assert run_analysis(spark, S.read_parquet(spark, out))["cleaned"].count() == 20
+
+
+def test_partitioned_round_trip_keeps_types(spark):
+    df = readings_df(spark, [(1, "A", "01", 5.0, None, None, 0), (2, "A", None, 6.0, None, None, 1)])
+    out = scratch_path(spark, "t-typed")
+    K.write_parquet(df, out, partition_by=["sensor_type"])
+    assert sorted((r.event_id, r.sensor_type) for r in S.read_parquet(spark, out, df.schema).collect()) == [(1, "01"), (2, None)]
+
+
+def test_named_sets_quote_and_list_their_own(spark, sample_readings):
+    for ticket in ("vital-2024", "t_quoted"):
+        catalog.drop(spark, ticket)
+        catalog.put(sample_readings, ticket, {"note": "the ward's \\ set"})
+    spark.sql("CREATE OR REPLACE TEMP VIEW t_some_view AS SELECT 1 AS x")
+    listed = {r.ticket: r.records for r in catalog.list_datasets(spark).collect()}
+    assert listed["vital-2024"] == listed["t_quoted"] == 100 and "t_some_view" not in listed
+    assert catalog.get(spark, "vital-2024").count() == 100
+    for ticket in ("vital-2024", "t_quoted"):
+        catalog.drop(spark, ticket)

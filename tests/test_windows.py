@@ -103,22 +103,53 @@ def test_window_rows_and_current(spark):
     assert cur.pulse["count"] == 2 and cur.pulse["avg"] == 73.0
 
 
-def test_rolling_method_equals_frame_method(spark):
-    rows = [(i, "P001" if i % 4 else "P002", "pulse", float(i % 37) if i % 13 else None, None, None, (i // 2) * 7.3)
-            for i in range(300)]
-    df = readings_df(spark, rows)
-    cols = ["event_id", "count", "avg", "min", "max"]
+def test_trailing_keeps_null_keys_and_odd_values(spark):
+    import math
+
+    inf = float("inf")
+    values = [70.0, math.nan, 80.0, inf, 5.0, None, 1e30, -inf, 3.0]
+    rows = [(i, None if i % 3 == 0 else "P", None if i % 2 else "pulse", values[i % 9], None, None, (i // 2) * 7.0) for i in range(120)]
+    df = readings_df(spark, rows).fillna("other", ["sensor_type"])
+    pdf = [(r.event_id, r.patient_id, r.sensor_type, r.value, r.ts.timestamp()) for r in df.collect()]
     for closed in (False, True):
         for digits in (6, None):
-            a = W.trailing(df, 30 * US, closed=closed, digits=digits, method="rolling").select(cols)
-            b = W.trailing(df, 30 * US, closed=closed, digits=digits).select(cols)
-            if digits is None:
-                import math
-                ga = {r.event_id: r for r in a.collect()}
-                for r in b.collect():
-                    x = ga[r.event_id]
-                    assert (x["count"], x["min"], x["max"]) == (r["count"], r["min"], r["max"])
-                    assert (x["avg"] is None and r["avg"] is None) or math.isclose(x["avg"], r["avg"], rel_tol=1e-12)
-            else:
-                assert a.count() == b.count() == 300
-                assert a.exceptAll(b).count() == 0
+            got = {r.event_id: r for r in W.trailing(df, 30 * US, closed=closed, digits=digits).collect()}
+            assert len(got) == 120 == W.trailing(df, 30 * US, digits=digits).count()
+            for e, p, s, _, t in pdf:
+                frame = [v for _, p2, s2, v, t2 in pdf if (p2, s2) == (p, s) and t2 <= t and (t - t2 <= 30 if closed else t - t2 < 30)]
+                known = [v for v in frame if v is not None]
+                assert got[e]["count"] == len(frame)
+                want = sum(known) / len(known) if known else None
+                if want is None:
+                    assert got[e]["avg"] is None
+                elif math.isnan(want):
+                    assert math.isnan(got[e]["avg"])
+                else:
+                    assert got[e]["avg"] == want or math.isclose(got[e]["avg"], want, rel_tol=1e-6, abs_tol=1e-6)
+                if known and not any(math.isnan(v) for v in known):
+                    assert (got[e]["min"], got[e]["max"]) == (min(known), max(known))
+
+
+def test_trailing_current_keeps_null_keys(spark):
+    df = readings_df(spark, [(1, None, "pulse", 60.0, None, None, 0), (2, None, "pulse", 70.0, None, None, 5), (3, "P", "pulse", 80.0, None, None, 0)])
+    assert {(r.patient_id, r["count"]) for r in W.trailing_current(df, 30 * US).collect()} == {(None, 2), ("P", 1)}
+
+
+def test_trailing_of_a_dense_key_is_not_quadratic(spark):
+    """No sliding frame is left in the plans: every frame starts at its partition's start."""
+    df = readings_df(spark, [(1, "P", "pulse", 60.0, None, None, 0)])
+    for out in (W.trailing(df, 30 * US, digits=6), W.global_trailing(df, 30 * US, digits=6)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "specifiedwindowframe" in plan
+        assert plan.count("specifiedwindowframe") == plan.count("unboundedpreceding$(), currentrow$()")
+
+
+def test_averages_of_odd_values_are_those_of_avg(spark):
+    import math
+
+    from vitalis.functions.stats import avg_col, fixed_avg_sql
+
+    for values, want in (([70.0, math.nan, 80.0], math.nan), ([70.0, float("inf")], float("inf")), ([1e30, 1e30], 1e30), ([None], None), ([1.0, 2.0], 1.5)):
+        df = spark.createDataFrame([(v,) for v in values], "value double")
+        for got in (df.agg(avg_col("value", 6)).first()[0], df.selectExpr(fixed_avg_sql("value", 6)).first()[0]):
+            assert got is want if want is None else got == want or math.isnan(got) and math.isnan(want)

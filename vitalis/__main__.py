@@ -9,29 +9,27 @@ dashboard panel.  PATH may also be a driver data folder (``events.parquet``).
 from __future__ import annotations
 
 import argparse
-import os
 
 from vitalis.plans.analysis import dashboard_data, run_analysis
 from vitalis.session import build_session
-from vitalis.sources.files import read_jsonl, read_parquet
+from vitalis.sources.files import exists, read_jsonl, read_parquet
 from vitalis.sources.readings import readings
 
 
 def _load(spark, path: str):
-    if os.path.isdir(path) and os.path.exists(os.path.join(path, "events.parquet")):
+    """Readings at a path of any file system that Spark reaches."""
+    if exists(spark, f"{path}/events.parquet"):
         return readings(spark, path)
-    if path.endswith(".parquet") or os.path.isdir(path):
+    if path.rstrip("/").endswith(".parquet") or exists(spark, f"{path}/*.parquet") or exists(spark, f"{path}/*/*.parquet"):
         return read_parquet(spark, path)
-    df = read_jsonl(spark, path)
-    # ``datetime`` already prefers an ISO ``ts`` and falls back to epoch seconds
-    return df.drop("ts").withColumnRenamed("datetime", "ts") if "datetime" in df.columns else df
+    return read_jsonl(spark, path)
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="vitalis")
     ap.add_argument("command", choices=["analyze", "dashboard"])
     ap.add_argument("path")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="default: that of spark-submit")
     ap.add_argument("--out", default=None, help="where the cleaned Parquet goes (default: shared folder)")
     ap.add_argument("--as-of", default=None, help="reference time for the dashboard age (default: newest row)")
     ap.add_argument("--rows", type=int, default=20, help="rows to print per result")

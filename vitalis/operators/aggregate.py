@@ -171,9 +171,10 @@ def histogram(
     Per-sensor min/max is a group-by with at most ``len(sensors)`` rows, so it
     is broadcast with a proven bound; the rows are then binned in one pass and
     counted with a partial + final aggregate.  The maximum falls into the last
-    bin; a constant series (width 0) goes to bin 0.
+    bin; a constant series (width 0) goes to bin 0.  NULL, NaN and infinite
+    values are in no bin.
     """
-    data = readings.filter(F.col("sensor_type").isin(list(sensors)) & F.col("value").isNotNull())
+    data = readings.filter(F.col("sensor_type").isin(list(sensors)) & (F.abs("value") < float("inf")))
     bounds = data.groupBy("sensor_type").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     bin_idx = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(

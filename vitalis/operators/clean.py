@@ -1,11 +1,10 @@
 """Null handling and duplicate removal.
 
 NULL checks use ``isNotNull`` conjunctions, never ``na.drop()``, which would
-also drop NaN (T5).  Duplicate removal defaults to ``dropDuplicates``: a
-hash aggregate with a map-side partial step, so a heavily duplicated key is
-collapsed before the shuffle.  ``keep='first'`` keeps the row that sorts first
-by an explicit order (T6) as a ``min(struct)`` aggregate, which also combines
-map-side.
+also drop NaN (T5).  Duplicate removal keeps the row that sorts first by all
+its columns (T6), as a ``min(struct)`` aggregate with a map-side partial step:
+a heavily duplicated key is collapsed before the shuffle, and a retried task
+keeps the same row.  ``keep='any'`` is ``dropDuplicates``.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 from vitalis.schema import BLOOD_PRESSURE
 
 DEDUP_KEY = ["patient_id", "ts", "sensor_type"]
+# Columns of a source record; ids and time texts that only some sources have don't count as missing.
+RECORD = ["patient_id", "sensor_type", "value", "systolic", "diastolic", "ts"]
 
 
 def drop_any_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -42,7 +43,7 @@ def drop_missing_required(df: DataFrame) -> DataFrame:
     )
 
 
-def dedupe(df: DataFrame, key: list[str] | None = None, keep: str = "any", order_by: list[str] | None = None) -> DataFrame:
+def dedupe(df: DataFrame, key: list[str] | None = None, keep: str = "first", order_by: list[str] | None = None) -> DataFrame:
     """One row per ``key``.
 
     ``keep='any'`` keeps an unspecified row (as the reference does).
@@ -70,7 +71,7 @@ def dedupe(df: DataFrame, key: list[str] | None = None, keep: str = "any", order
     return best.select(*[cols[c].alias(c) for c in df.columns])
 
 
-def clean(df: DataFrame, mode: str = "required", keep: str = "any") -> DataFrame:
+def clean(df: DataFrame, mode: str = "required", keep: str = "first") -> DataFrame:
     """D3: null removal, then duplicate removal on (patient_id, ts, sensor_type).
 
     ``mode='strict'`` is the reference behaviour (any NULL column drops the
@@ -78,7 +79,7 @@ def clean(df: DataFrame, mode: str = "required", keep: str = "any") -> DataFrame
     ``mode='required'`` checks only the fields the reading needs.
     """
     if mode == "strict":
-        base = drop_any_null(df)
+        base = drop_any_null(df, [c for c in df.columns if c in RECORD])
     elif mode == "required":
         base = drop_missing_required(df)
     else:

@@ -3,18 +3,17 @@
 Tumbling windows are a ``groupBy(window(...))``: partial aggregation before
 the shuffle, so hot keys collapse map-side.
 
-Trailing (range-frame) windows need every row of the frame in one task.  A
-plain ``Window.partitionBy(key)`` would put a key holding a third of all rows
-into one task, and a global window (no key) would put every row there.  Both
-are split by time instead: with window length W, row time t gets bucket
-``b = t div W``; every row a frame ending in bucket b can touch lies in b or
-b-1.  Each row is emitted twice, as owner of b and as context for b+1; the
-range frame is evaluated within (key, bucket) and only owner rows are kept.
-Exact, at 2x rows, and the work per task is bounded by one key's rows in 2W
-of time rather than by the whole key or table.  Before the frame, rows are
-reduced to one per (key, time) (W5: per time, patient and sensor) with
-partial aggregates, so copies of one reading collapse map-side; the frame
-result is joined back to the rows.
+Trailing windows ``(t - W, t]`` take time linear in the rows, however many
+rows a frame has.  Row time t gets bucket ``b = t div W``; its frame is the
+rows of b up to t (a running aggregate of b) and the rows of b-1 after t - W
+(a running aggregate of b-1 from its end).  Both only grow, so Spark updates
+them row by row, and nothing is subtracted, which keeps NaN and infinite
+values right.  The second is brought to t by shifting the rows of b-1 by W
+into b, in one sorted pass.  Work is split by (key, bucket): neither a key nor
+the table goes to one task, only the distinct times of a key within W.  Rows
+are first reduced to one per (key, time) (W5: per time, patient and sensor)
+with partial aggregates, so copies of one reading collapse map-side; the
+result is joined back to the rows null-safely, so rows with NULL keys stay.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import ts_micros
-from vitalis.functions.stats import avg_col, fixed_avg_finish, fixed_avg_sum
+from vitalis.functions.stats import avg_col, fixed_avg_finish, fixed_avg_sum, odd_sum
 from vitalis.schema import BLOOD_PRESSURE, SCALAR_SENSORS
 
 US_PER_SECOND = 1_000_000
@@ -113,36 +112,37 @@ def tumbling_bp(readings: DataFrame, size: str = "5 seconds", ts: str = "ts", di
 # --------------------------------------------------------------------------
 
 
-def _bucketed(df: DataFrame, ts: str, window_us: int) -> DataFrame:
-    """Add ``_us`` and emit each row for its own bucket and the next one."""
-    return _bucket_rows(df.withColumn("_us", ts_micros(ts)), window_us)
+def _sliding(per_time: DataFrame, keys: list[str], window_us: int, closed: bool, states: dict) -> DataFrame:
+    """State of the trailing frame at each row of ``per_time`` (key columns, ``_us`` and the states' inputs).
 
-
-def _bucket_rows(with_us: DataFrame, window_us: int) -> DataFrame:
-    bucket = F.expr(f"(_us - pmod(_us, {window_us})) div {window_us}")
-    return with_us.withColumn("_b", bucket).select(
-        "*", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_part")
-    )
-
-
-def _frame(keys: list[str], window_us: int, closed: bool):
-    lower = -window_us if closed else -(window_us - 1)
-    return Window.partitionBy(*keys, "_part").orderBy("_us").rangeBetween(lower, 0)
-
-
-def _frame_total(col: str, keys: list[str], window_us: int, closed: bool) -> Column:
-    """Exact sum over the trailing frame as the difference of two running sums.
-
-    Spark re-aggregates a sliding frame every time it moves (rows x frame
-    rows), but a frame that starts at the partition start only grows, so it is
-    updated row by row.  Counts and the fixed-point (integer) sums subtract
-    exactly; min, max and sets stay on the sliding frame.
+    ``states``: name -> (aggregate of a column, combination of the states of two disjoint row sets,
+    either of which may be NULL).  Returns keys, ``_us`` and the states; rows of one time are peers.
     """
-    cut = -(window_us + 1) if closed else -window_us
-    spec = Window.partitionBy(*keys, "_part").orderBy("_us")
-    upto_now = F.sum(col).over(spec.rangeBetween(Window.unboundedPreceding, 0))
-    before = F.sum(col).over(spec.rangeBetween(Window.unboundedPreceding, cut))
-    return upto_now - F.coalesce(before, F.lit(0))
+    b = per_time.withColumn("_b", F.expr(f"(_us - pmod(_us, {window_us})) div {window_us}"))
+    grow = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    shrink = Window.partitionBy(*keys, "_b").orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
+    upto = F.struct(*[agg.over(grow).alias(n) for n, (agg, _) in states.items()])
+    since = F.struct(*[agg.over(shrink).alias(n) for n, (agg, _) in states.items()])
+    both = b.select(*keys, "_us", "_b", upto.alias("_upto"), since.alias("_since"))
+    own = both.select(*keys, F.col("_b").alias("_part"), F.col("_us").alias("_pos"), F.lit(0).alias("_kind"), "_upto", F.lit(None).cast(both.schema["_since"].dataType).alias("_since"))
+    before = both.select(*keys, (F.col("_b") + 1).alias("_part"), (F.col("_us") + window_us).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(both.schema["_upto"].dataType).alias("_upto"), "_since")
+    # from the latest place down: the last shifted row seen is the first one inside the frame
+    tie = F.desc("_kind") if closed else F.asc("_kind")
+    down = Window.partitionBy(*keys, "_part").orderBy(F.desc("_pos"), tie).rowsBetween(Window.unboundedPreceding, 0)
+    met = own.union(before).withColumn("_old", F.last("_since", ignorenulls=True).over(down)).filter("_kind = 0")
+    return met.select(*keys, F.col("_pos").alias("_us"), *[join(F.col(f"_old.{n}"), F.col(f"_upto.{n}")).alias(n) for n, (_, join) in states.items()])
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
+def _same(left: str, right: str, names: list[str]) -> Column:
+    """Null-safe equality of the named columns of two aliased frames."""
+    out = F.lit(True)
+    for n in names:
+        out = out & F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}"))
+    return out
 
 
 def trailing(
@@ -152,108 +152,26 @@ def trailing(
     keys: tuple[str, ...] = ("patient_id", "sensor_type"),
     closed: bool = False,
     digits: int | None = None,
-    collapse_peers: bool = True,
-    method: str = "frame",
 ) -> DataFrame:
     """Per-row trailing stats over ``(t - W, t]`` per key (T8: open below).
 
     ``closed=True`` gives ``[t - W, t]``.  Rows with equal time are peers and
-    see each other (RANGE frame).
-
-    ``method='frame'`` (default) uses Spark's range frame, which re-aggregates
-    the frame for every row: cheap while a key has few readings per W.
-    ``method='rolling'`` computes each (key, time bucket) group with pandas'
-    time-based rolling window, O(rows) whatever the frame size; use it for
-    dense keys (many readings per W).
-
-    ``collapse_peers`` (default) first reduces rows to one per (key, time) with
-    partial aggregates, runs the frame over distinct times and joins the
-    result back to the rows.  Copies of one reading, however many, are then
-    collapsed map-side and the join back is split by AQE when one (key, time)
-    is hot; without it such copies would all sit in one window partition.
+    see each other.  NULL keys are keys like any other; rows without a time
+    have no frame and drop out.
     """
-    data = scalar_readings(readings)
-    w = _frame(list(keys), window_us, closed)
-    if method == "rolling":
-        return _trailing_rolling(data, window_us, ts, list(keys), closed, digits)
-    if not collapse_peers:
-        b = _bucketed(data, ts, window_us)
-        out = b.select(
-            "event_id", *keys, ts, "value", "_b", "_part",
-            F.count(F.lit(1)).over(w).alias("count"),
-            avg_col("value", digits, over=w).alias("avg"),
-            F.min("value").over(w).alias("min"),
-            F.max("value").over(w).alias("max"),
-        )
-        return out.filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
-    rows = data.withColumn("_us", ts_micros(ts))
+    rows = scalar_readings(readings).withColumn("_us", ts_micros(ts)).filter(F.col("_us").isNotNull())
     s = fixed_avg_sum("value", digits) if digits is not None else F.sum("value")
+    odd = odd_sum("value") if digits is not None else F.lit(None).cast("double")
     per_time = rows.groupBy(*keys, "_us").agg(
-        F.count(F.lit(1)).alias("_c"), F.count("value").alias("_nv"), s.alias("_s"),
-        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-    )
-    b = _bucket_rows(per_time, window_us)
-    # Per-key frames are short (a reading rate times W), so plain sliding sums
-    # are cheaper here than the running-sum difference used by the global W5.
-    n = F.sum("_nv").over(w)
-    total = F.sum("_s").over(w)
-    stats = b.select(
-        *keys, "_us", "_b", "_part",
-        F.sum("_c").over(w).alias("count"),
-        (fixed_avg_finish(total, n, digits) if digits is not None else total / n).alias("avg"),
-        F.min("_mn").over(w).alias("min"),
-        F.max("_mx").over(w).alias("max"),
-    ).filter(F.col("_part") == F.col("_b")).drop("_b", "_part")
-    return rows.select("event_id", *keys, ts, "value", "_us").join(stats, [*keys, "_us"]).drop("_us")
-
-
-def _trailing_rolling(data: DataFrame, window_us: int, ts: str, keys: list[str], closed: bool, digits) -> DataFrame:
-    """W3 with vectorised frames.
-
-    Rows are first reduced to one per (key, time) with partial aggregates, so
-    copies of a reading collapse map-side.  Groups are then (hash bucket of
-    the key, time bucket); inside a group every key gets its own stretch of a
-    shifted time axis, so one sorted pass with prefix sums and a sparse table
-    serves all keys at once (O(rows log rows), whatever the frame size).  The
-    per-time results are joined back to the rows.
-    """
-    from vitalis.streaming.state import frame_stats_weighted
-
-    lower_open = window_us + 1 if closed else window_us  # frame is (t - lower_open, t]
-    gap = 4 * window_us + 4  # keys never share a frame on the shifted axis
-    hash_buckets = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exact = digits is not None
-    rows = data.withColumn("_us", ts_micros(ts))
-    total = fixed_avg_sum("value", digits) if exact else F.sum("value")
-    per_time = rows.groupBy(*keys, "_us").agg(
-        F.count(F.lit(1)).alias("_c"), F.count("value").alias("_nv"), total.cast("string").alias("_t"),
+        F.count(F.lit(1)).alias("_c"), F.count("value").alias("_nv"), s.alias("_s"), odd.alias("_o"),
         F.min("value").alias("_mn"), F.max("value").alias("_mx"),
     )
-    b = _bucket_rows(per_time, window_us).withColumn("_hb", F.pmod(F.xxhash64(*keys), F.lit(hash_buckets)))
-    out_schema = (
-        "{} , _us long, count long, avg double, min double, max double".format(
-            ", ".join(f"`{k}` {data.schema[k].dataType.simpleString()}" for k in keys)
-        )
-    )
-
-    def per_group(pdf):
-        pdf = pdf.sort_values([*keys, "_us"], kind="stable").reset_index(drop=True)
-        kid = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy(dtype="int64")
-        us = pdf["_us"].to_numpy(dtype="int64")
-        shifted = kid * gap + (us - us.min())
-        tot = [int(x) if x is not None else 0 for x in pdf["_t"]] if exact else pdf["_t"].astype(float).to_numpy()
-        count, avg, mn, mx = frame_stats_weighted(
-            shifted, pdf["_c"].to_numpy(dtype="int64"), pdf["_nv"].to_numpy(dtype="int64"), tot,
-            pdf["_mn"].to_numpy(dtype="float64", na_value=float("nan")),
-            pdf["_mx"].to_numpy(dtype="float64", na_value=float("nan")),
-            lower_open, 6 if digits is None else digits, exact=exact,
-        )
-        owner = (pdf["_part"] == pdf["_b"]).to_numpy()
-        out = pdf[[*keys, "_us"]].assign(count=count, avg=avg, min=mn, max=mx)
-        return out[owner]
-
-    stats = b.groupBy("_hb", "_part").applyInPandas(per_group, out_schema)
-    return rows.select("event_id", *keys, ts, "value", "_us").join(stats, [*keys, "_us"]).drop("_us")
+    states = {n: (F.sum(n), _plus) for n in ("_c", "_nv", "_s", "_o")} | {"_mn": (F.min("_mn"), F.least), "_mx": (F.max("_mx"), F.greatest)}
+    f = _sliding(per_time, list(keys), window_us, closed, states)
+    avg = fixed_avg_finish(F.col("_s"), F.col("_nv"), digits, F.col("_o")) if digits is not None else F.col("_s") / F.nullif("_nv", F.lit(0))
+    stats = f.select(*keys, "_us", F.col("_c").alias("count"), avg.alias("avg"), F.col("_mn").alias("min"), F.col("_mx").alias("max"))
+    joined = rows.alias("r").join(stats.alias("s"), _same("r", "s", [*keys, "_us"]))
+    return joined.select("r.event_id", *[f"r.{k}" for k in keys], f"r.{ts}", "r.value", "s.count", "s.avg", "s.min", "s.max")
 
 
 def trailing_current(
@@ -271,7 +189,7 @@ def trailing_current(
     """
     data = scalar_readings(readings).withColumn("_us", ts_micros(ts))
     last = data.groupBy(*keys).agg(F.max("_us").alias("_last"))
-    recent = data.join(last, list(keys)).filter(F.col("_us") > F.col("_last") - F.lit(window_us))
+    recent = data.alias("r").join(last.alias("l"), _same("r", "l", list(keys))).filter(F.col("_us") > F.col("_last") - F.lit(window_us)).select("r.*")
     return recent.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"),
         avg_col("value", digits).alias("avg"),
@@ -297,6 +215,7 @@ def _snapshot_parts(over=None, digits: int | None = None) -> list[Column]:
         cols += [
             ov(F.count(v)).alias(f"_n_{s}"),
             ov(fixed_avg_sum(v, digits) if digits is not None else F.sum(v)).alias(f"_s_{s}"),
+            ov(odd_sum(v) if digits is not None else F.max(F.lit(None).cast("double"))).alias(f"_o_{s}"),
             ov(F.min(v)).alias(f"_mn_{s}"),
             ov(F.max(v)).alias(f"_mx_{s}"),
         ]
@@ -312,7 +231,7 @@ def _snapshot_finish(digits: int | None = None) -> list[Column]:
     ]
     for s in SCALAR_SENSORS:
         n = F.col(f"_n_{s}")
-        avg = fixed_avg_finish(F.col(f"_s_{s}"), n, digits) if digits is not None else F.col(f"_s_{s}") / n
+        avg = fixed_avg_finish(F.col(f"_s_{s}"), n, digits, F.col(f"_o_{s}")) if digits is not None else F.col(f"_s_{s}") / n
         out.append(
             F.when(
                 n > 0,
@@ -335,51 +254,40 @@ def global_trailing(
 
     Rows are first reduced to one per (time, patient, sensor) with plain
     partial aggregates (count, exact sum, min, max), so copies collapse
-    map-side.  The frame runs over those rows, partitioned by time bucket
-    (never one global partition); rows sharing a time are peers with the
-    same frame, so one result per time is joined back to the rows.
+    map-side.  The frames' states run over those rows, split by time bucket
+    (never one global partition), and each time's snapshot is made once and
+    joined back to the rows of that time.
     """
-    rows = readings.withColumn("_us", ts_micros(ts)).withColumn(
+    rows = readings.withColumn("_us", ts_micros(ts)).filter(F.col("_us").isNotNull()).withColumn(
         "_p", F.coalesce(F.col("patient_id"), F.lit("unknown"))
     ).withColumn("_s", F.coalesce(F.col("sensor_type"), F.lit("unknown")))
     aggs = [F.count(F.lit(1)).alias("_c")]
+    states: dict = {
+        "_first": (F.min("_us"), F.least),
+        "_c": (F.sum("_c"), _plus),
+        "_patients": (F.collect_set("_p"), _either),
+        "_sensors": (F.collect_set("_s"), _either),
+    }
     for sensor in SCALAR_SENSORS:
         v = F.when(F.col("sensor_type") == sensor, F.coalesce(F.col("value"), F.lit(0.0)))
         aggs += [
             F.count(v).alias(f"_n_{sensor}"),
             (fixed_avg_sum(v, digits) if digits is not None else F.sum(v)).alias(f"_s_{sensor}"),
+            (odd_sum(v) if digits is not None else F.max(F.lit(None).cast("double"))).alias(f"_o_{sensor}"),
             F.min(v).alias(f"_mn_{sensor}"),
             F.max(v).alias(f"_mx_{sensor}"),
         ]
+        states |= {f"_{x}_{sensor}": (F.sum(f"_{x}_{sensor}"), _plus) for x in ("n", "s", "o")}
+        states |= {f"_mn_{sensor}": (F.min(f"_mn_{sensor}"), F.least), f"_mx_{sensor}": (F.max(f"_mx_{sensor}"), F.greatest)}
     per_key = rows.groupBy("_us", "_p", "_s").agg(*aggs)
-    w = _frame([], window_us, closed=True)
-    frame_cols = [
-        ((F.col("_us") - F.min("_us").over(w)) / F.lit(float(US_PER_SECOND))).alias("window_duration"),
-        _frame_total("_c", [], window_us, True).alias("count"),
-        F.collect_set("_p").over(w).alias("_patients"),
-        F.collect_set("_s").over(w).alias("_sensors"),
-    ]
-    for sensor in SCALAR_SENSORS:
-        total = (
-            _frame_total(f"_s_{sensor}", [], window_us, True)
-            if digits is not None
-            else F.sum(f"_s_{sensor}").over(w)
-        )
-        frame_cols += [
-            _frame_total(f"_n_{sensor}", [], window_us, True).alias(f"_n_{sensor}"),
-            total.alias(f"_s_{sensor}"),
-            F.min(f"_mn_{sensor}").over(w).alias(f"_mn_{sensor}"),
-            F.max(f"_mx_{sensor}").over(w).alias(f"_mx_{sensor}"),
-        ]
-    stats = (
-        _bucket_rows(per_key, window_us)
-        .select("_us", "_b", "_part", *frame_cols)
-        .filter(F.col("_part") == F.col("_b"))
-        .drop("_b", "_part")
-        .dropDuplicates(["_us"])  # peers share one frame result
-    )
-    joined = rows.select("event_id", ts, "_us").join(stats, "_us")
-    return joined.select("event_id", ts, "window_duration", *_snapshot_finish(digits))
+    stats = _sliding(per_key, [], window_us, True, states).dropDuplicates(["_us"])  # peers share one result
+    snapshot = stats.select("_us", ((F.col("_us") - F.col("_first")) / F.lit(float(US_PER_SECOND))).alias("window_duration"), F.col("_c").alias("count"), *[c for c in stats.columns if c not in ("_us", "_first", "_c")])
+    finished = snapshot.select("_us", "window_duration", *_snapshot_finish(digits))
+    return rows.select("event_id", ts, "_us").join(finished, "_us").drop("_us")
+
+
+def _either(a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.array_union(a, b))
 
 
 def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts") -> DataFrame:

@@ -29,12 +29,12 @@ def run_analysis(
     readings: DataFrame,
     out_path: str | None = None,
     mode: str = "required",
-    digits: int | None = 6,
+    digits: int | None = None,
 ) -> dict[str, DataFrame]:
     """Quality report, clean, store, then grouped statistics and SQL on the stored table."""
     path = out_path or scratch_path(spark, "analysis")
     write_parquet(C.clean(readings, mode=mode), path, partition_by=["sensor_type"])
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(readings.schema).parquet(path)
     return {
         "quality": Q.quality_report(readings),
         "clean_path": spark.createDataFrame([(path,)], "path string"),
@@ -46,7 +46,7 @@ def run_analysis(
     }
 
 
-def dashboard_data(readings: DataFrame, as_of: str, digits: int | None = 6) -> dict[str, DataFrame]:
+def dashboard_data(readings: DataFrame, as_of: str, digits: int | None = None) -> dict[str, DataFrame]:
     """Data behind each dashboard panel (charts themselves are not built)."""
     out = {
         "kpis": A.kpis(readings, as_of),

@@ -7,7 +7,14 @@ side.  Streams are compared on closed windows only (end <= newest - delay).
 
 from __future__ import annotations
 
-from vitalis.schema import RANGES
+# Fixed values, stated here on their own: param, hard min, hard max, normal min, normal max, error code, message.
+RANGES = [
+    ("pulse", 30.0, 220.0, 60.0, 100.0, 1, "Pulse outside valid range"),
+    ("systolic", 60.0, 250.0, 90.0, 140.0, 2, "Systolic pressure outside valid range"),
+    ("diastolic", 40.0, 150.0, 60.0, 90.0, 3, "Diastolic pressure outside valid range"),
+    ("temperature", 35.0, 42.0, 36.1, 37.2, 4, "Temperature outside valid range"),
+    ("spo2", 70.0, 100.0, 95.0, 100.0, 5, "SpO2 outside valid range"),
+]
 
 R = 6  # rounding digits, as in the registry
 
@@ -69,6 +76,10 @@ def _normal(param: str, x: str) -> str:
     return f"({x} >= {nlo} AND {x} <= {nhi})"
 
 
+def _level(param: str, x: str) -> str:
+    return f"CASE WHEN {_normal(param, x)} THEN 'normal' WHEN {_ok(param, x)} THEN 'valid' WHEN {x} IS NOT NULL THEN 'invalid' END"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -241,13 +252,15 @@ SELECT event_id, sensor_type,
          WHEN 'pulse' THEN CASE WHEN {_ok('pulse', 'value')} THEN 0 WHEN NOT {_ok('pulse', 'value')} THEN 1 END
          WHEN 'temperature' THEN CASE WHEN {_ok('temperature', 'value')} THEN 0 WHEN NOT {_ok('temperature', 'value')} THEN 4 END
          WHEN 'spo2' THEN CASE WHEN {_ok('spo2', 'value')} THEN 0 WHEN NOT {_ok('spo2', 'value')} THEN 5 END
-       END AS INTEGER) AS error_code,
+         WHEN 'blood_pressure' THEN CASE WHEN NOT {_ok('systolic', 'systolic')} THEN 2 WHEN NOT {_ok('diastolic', 'diastolic')} THEN 3 ELSE 0 END
+         ELSE 0 END AS INTEGER) AS error_code,
        CASE sensor_type
-         WHEN 'pulse' THEN CASE WHEN {_normal('pulse', 'value')} THEN 'normal' WHEN {_ok('pulse', 'value')} THEN 'valid' WHEN value IS NOT NULL THEN 'invalid' END
-         WHEN 'temperature' THEN CASE WHEN {_normal('temperature', 'value')} THEN 'normal' WHEN {_ok('temperature', 'value')} THEN 'valid' WHEN value IS NOT NULL THEN 'invalid' END
-         WHEN 'spo2' THEN CASE WHEN {_normal('spo2', 'value')} THEN 'normal' WHEN {_ok('spo2', 'value')} THEN 'valid' WHEN value IS NOT NULL THEN 'invalid' END
+         WHEN 'pulse' THEN {_level('pulse', 'value')}
+         WHEN 'temperature' THEN {_level('temperature', 'value')}
+         WHEN 'spo2' THEN {_level('spo2', 'value')}
+         WHEN 'blood_pressure' THEN {_level('systolic', 'systolic')} || '/' || {_level('diastolic', 'diastolic')}
        END AS status
-FROM readings WHERE sensor_type IN ('pulse', 'temperature', 'spo2')""",
+FROM readings""",
     "sensor_stats": f"""{BASE}
 SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max,
        {_rd('STDDEV_SAMP(value)')} AS std
@@ -436,4 +449,31 @@ SELECT {ALL_COLS} FROM readings""",
 
 # Same results as the batch per-key trailing window, by other means.
 ORACLE["stream_trailing_exact"] = ORACLE["trailing"]
-ORACLE["trailing_rolling"] = ORACLE["trailing"]
+
+ORACLE["jsonl_reference"] = f"""{BASE}
+SELECT sensor_type, COUNT(*) AS count, {_avg('value')} AS avg, MIN(value) AS min, MAX(value) AS max,
+       {_rd('STDDEV_SAMP(value)')} AS std
+FROM (SELECT DISTINCT ON (patient_id, ts, sensor_type) * FROM readings ORDER BY value) GROUP BY sensor_type"""
+for _name in ("jsonl_or_empty", "source_preference", "record_batches", "arrow_hand_off"):
+    ORACLE[_name] = ORACLE["jsonl_roundtrip"]
+ORACLE["corrupt_split"] = """
+SELECT CASE WHEN event_id % 13 = 0 THEN 'bad' ELSE 'good' END AS kind, COUNT(*) AS count FROM events GROUP BY 1"""
+ORACLE["dataset_list"] = "SELECT COUNT(*) AS records, TRUE AS has_bytes FROM events"
+ORACLE["report_file"] = ORACLE["sensor_stats"]
+ORACLE["tagged_output"] = f"""{BASE},
+s AS (SELECT * FROM readings WHERE sensor_type <> 'blood_pressure')
+SELECT 'RAW' AS kind, '[RAW] {{' AS start, COUNT(*) AS count FROM s
+UNION ALL SELECT 'AGG', '[AGG] {{', COUNT(*) FROM (SELECT DISTINCT patient_id, sensor_type, time_bucket(INTERVAL 1 DAY, ts) FROM s)"""
+ORACLE["record_texts"] = f"""{BASE}
+SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.000000') AS iso, COALESCE(systolic, CAST(0.0 AS DOUBLE)) AS systolic FROM readings"""
+ORACLE["message_arrival"] = "SELECT COUNT(*) AS messages, COUNT(*) AS stamped FROM events"
+ORACLE["stream_tumbling_update"] = ORACLE["message_tumbling"] = ORACLE["tumbling"]
+ORACLE["stream_snapshot"] = f"""{BASE}
+SELECT ws AS window_start, ws + INTERVAL 30 MINUTE AS window_end,
+       (MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / CAST(1000000.0 AS DOUBLE) AS window_duration, {_snapshot_cols('')}
+FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts) AS ws FROM readings) GROUP BY ws"""
+for _name in ("trailing", "trailing_current"):
+    _body = ORACLE[_name][len(BASE):].replace("FROM readings", "FROM dirty_readings")
+    for _key in ("patient_id", "sensor_type"):
+        _body = _body.replace(f"s.{_key} = l.{_key}", f"s.{_key} IS NOT DISTINCT FROM l.{_key}")
+    ORACLE[f"{_name}_dirty"] = BASE_DIRTY + _body

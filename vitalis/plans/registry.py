@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.functions.scalar import composite_key, split_key, ts_to_epoch
+from vitalis.functions.scalar import composite_key, epoch_to_ts, iso_text, split_key, ts_to_epoch, ts_to_epoch_float, with_default
 from vitalis.functions.validation import register_sql_functions
 from vitalis.operators import aggregate as A
 from vitalis.operators import clean as C
@@ -30,9 +30,19 @@ from vitalis.plans.analysis import run_analysis
 from vitalis.schema import READING_JSON_SCHEMA, TRANSPORT_SCHEMA
 from vitalis.session import prepare, scratch_path
 from vitalis.sources import catalog
-from vitalis.sources.files import read_jsonl, read_parquet
+from vitalis.sources.files import load_preferred, read_jsonl, read_jsonl_or_empty, read_parquet, split_corrupt
 from vitalis.sources.readings import READING_COLUMNS, dirty_readings, readings
-from vitalis.sources.sinks import decode_messages, encode_messages, retain, write_jsonl, write_parquet
+from vitalis.sources.sinks import (
+    decode_messages,
+    encode_messages,
+    hand_off,
+    retain,
+    tagged_output,
+    write_batched,
+    write_jsonl,
+    write_parquet,
+    write_report,
+)
 from vitalis.streaming import stream as S
 from vitalis.streaming.state import trailing_stream_exact
 
@@ -85,18 +95,21 @@ def q_sql_validate(spark, sf_dir):
     register_sql_functions(spark)
     return spark.sql(
         """SELECT event_id, sensor_type,
-                  CASE sensor_type
+                  coalesce(CASE sensor_type
                     WHEN 'pulse' THEN validate_pulse(value)
                     WHEN 'temperature' THEN validate_temperature(value)
                     WHEN 'spo2' THEN validate_spo2(value)
-                  END.error_code AS error_code,
+                    WHEN 'blood_pressure' THEN
+                      CASE WHEN validate_systolic(systolic).is_valid THEN validate_diastolic(diastolic)
+                           ELSE validate_systolic(systolic) END
+                  END.error_code, 0) AS error_code,
                   CASE sensor_type
                     WHEN 'pulse' THEN status_pulse(value)
                     WHEN 'temperature' THEN status_temperature(value)
                     WHEN 'spo2' THEN status_spo2(value)
+                    WHEN 'blood_pressure' THEN concat(status_systolic(systolic), '/', status_diastolic(diastolic))
                   END AS status
-           FROM {readings}
-           WHERE sensor_type IN ('pulse', 'temperature', 'spo2')""",
+           FROM {readings}""",
         readings=_r(spark, sf_dir),
     )
 
@@ -218,7 +231,7 @@ def q_distinct_rows(spark, sf_dir):
 
 
 def q_clean_then_sql(spark, sf_dir):
-    return run_analysis(spark, _d(spark, sf_dir))["sensor_stats_sql"]
+    return run_analysis(spark, _d(spark, sf_dir), digits=DIGITS)["sensor_stats_sql"]
 
 
 # -- ordering / dashboard ---------------------------------------------------------
@@ -249,8 +262,13 @@ def q_trailing(spark, sf_dir):
     return W.trailing(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS)
 
 
-def q_trailing_rolling(spark, sf_dir):
-    return W.trailing(_r(spark, sf_dir, **SCALAR), TRAILING_US, digits=DIGITS, method="rolling")
+def q_trailing_dirty(spark, sf_dir):
+    """W3 over rows with NULL keys and values, and copies."""
+    return W.trailing(_d(spark, sf_dir), TRAILING_US, digits=DIGITS)
+
+
+def q_trailing_current_dirty(spark, sf_dir):
+    return W.trailing_current(_d(spark, sf_dir), TRAILING_US, digits=DIGITS)
 
 
 def q_trailing_current(spark, sf_dir):
@@ -318,6 +336,44 @@ def q_stream_tumbling_bp(spark, sf_dir):
     return S.run_to_table(S.tumbling_bp_stream(S.readings_stream(spark, sf_dir), DAY, STREAM_DELAY, DIGITS), "tumbling-bp")
 
 
+WINDOW_KEYS = ["patient_id", "sensor_type", "window_start"]
+
+
+def q_stream_tumbling_update(spark, sf_dir):
+    """W1 in update mode: every window, the last ones included."""
+    return S.updated(S.tumbling_stream(S.readings_stream(spark, sf_dir), DAY, STREAM_DELAY, DIGITS), "tumbling-update", WINDOW_KEYS)
+
+
+def q_stream_snapshot(spark, sf_dir):
+    snap = S.snapshot_stream(S.readings_stream(spark, sf_dir), "30 minutes", "30 minutes", STREAM_DELAY, DIGITS)
+    return W.flatten_snapshot(S.updated(snap, "snapshot", ["window_start"]))
+
+
+def _reference_json(spark, sf_dir):
+    """Readings written as four-field JSON records with epoch seconds (and the parts of blood pressure)."""
+    path = scratch_path(spark, "reference-jsonl")
+    r = _r(spark, sf_dir)
+    r.select("patient_id", "sensor_type", "value", "systolic", "diastolic", ts_to_epoch_float("ts").alias("timestamp")).write.json(path)
+    return path
+
+
+def q_jsonl_reference(spark, sf_dir):
+    """Reference-shaped records read, cleaned and grouped."""
+    return A.by_sensor(C.clean(read_jsonl(spark, _reference_json(spark, sf_dir))), DIGITS)
+
+
+def q_message_tumbling(spark, sf_dir):
+    """Messages of that shape through the stream's windows."""
+    messages = S.message_stream(spark, _reference_json(spark, sf_dir))
+    return S.updated(S.tumbling_stream(messages, DAY, STREAM_DELAY, DIGITS), "message-tumbling", WINDOW_KEYS)
+
+
+def q_message_arrival(spark, sf_dir):
+    """P5: messages and how many have an arrival time."""
+    got = S.run_to_table(S.message_stream(spark, _reference_json(spark, sf_dir)), "arrival")
+    return got.agg(F.count(F.lit(1)).alias("messages"), F.count("_received_at").alias("stamped"))
+
+
 def q_stream_dedup(spark, sf_dir):
     r = S.readings_stream(spark, sf_dir)
     doubled = r.unionByName(r.filter(F.col("event_id") % 10 == 0))
@@ -345,7 +401,7 @@ def q_jsonl_roundtrip(spark, sf_dir):
 def q_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "parquet")
     write_parquet(_r(spark, sf_dir), path, partition_by=["sensor_type"])
-    return read_parquet(spark, path).select(*READING_COLUMNS)
+    return read_parquet(spark, path, _r(spark, sf_dir).schema).select(*READING_COLUMNS)
 
 
 def q_named_dataset(spark, sf_dir):
@@ -354,7 +410,86 @@ def q_named_dataset(spark, sf_dir):
     return catalog.get(spark, ticket).select(*READING_COLUMNS)
 
 
+def q_jsonl_or_empty(spark, sf_dir):
+    """A file that exists, and one that doesn't (no rows)."""
+    path = scratch_path(spark, "jsonl")
+    write_jsonl(_r(spark, sf_dir), path)
+    both = read_jsonl_or_empty(spark, path).unionByName(read_jsonl_or_empty(spark, f"{path}-missing"))
+    return both.select(*READING_COLUMNS)
+
+
+def q_source_preference(spark, sf_dir):
+    """JSON lines when there is no Parquet, then Parquet."""
+    path = scratch_path(spark, "preferred")
+    write_jsonl(_r(spark, sf_dir), f"{path}-json")
+    write_parquet(load_preferred(spark, path, f"{path}-json"), path)
+    return load_preferred(spark, path, f"{path}-json").select(*READING_COLUMNS)
+
+
+def q_record_batches(spark, sf_dir):
+    path = scratch_path(spark, "batches")
+    return read_parquet(spark, write_batched(_r(spark, sf_dir), path, 1000)).select(*READING_COLUMNS)
+
+
+def q_arrow_hand_off(spark, sf_dir):
+    return read_parquet(spark, hand_off(_r(spark, sf_dir), scratch_path(spark, "arrow"))).select(*READING_COLUMNS)
+
+
+def q_corrupt_split(spark, sf_dir):
+    """Every 13th message is cut off after ten characters; good and bad lines are counted."""
+    path = scratch_path(spark, "corrupt")
+    lines = encode_messages(_r(spark, sf_dir).select("event_id", "patient_id", "sensor_type", "value"))
+    event = F.get_json_object("value", "$.event_id").cast("long")
+    lines.select(F.when(event % 13 == 0, F.substring("value", 1, 10)).otherwise(F.col("value"))).write.text(path)
+    good, bad = split_corrupt(read_jsonl(spark, path, mode="PERMISSIVE"))
+    return good.select(F.lit("good").alias("kind")).union(bad.select(F.lit("bad"))).groupBy("kind").agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_dataset_list(spark, sf_dir):
+    ticket = f"vitalis-ds-{uuid.uuid4().hex[:12]}"
+    catalog.put(_r(spark, sf_dir), ticket, {"note": "the events' readings"})
+    listed = catalog.list_datasets(spark).filter(F.col("ticket") == ticket)
+    return listed.select("records", (F.col("total_bytes") > 0).alias("has_bytes"))
+
+
+def q_report_file(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    report = A.by_sensor(_r(spark, sf_dir), DIGITS)
+    return spark.read.schema(report.schema).json(write_report(report, path))
+
+
+def q_tagged_output(spark, sf_dir):
+    r = _r(spark, sf_dir)
+    lines = tagged_output(Q.validated_readings(W.scalar_readings(r)), W.tumbling(r, DAY))
+    return lines.groupBy("kind", F.substring("line", 1, 7).alias("start")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_record_texts(spark, sf_dir):
+    """Epoch seconds to time and its ISO text; a default for a missing part."""
+    r = _r(spark, sf_dir)
+    return r.select("event_id", iso_text(epoch_to_ts(ts_to_epoch("ts"))).alias("iso"), with_default("systolic", 0.0).alias("systolic"))
+
+
+#: Queries whose result SQL can't state; tests hold them against brute force.
+NO_SQL: set[str] = set()
+
 QUERIES: dict[str, Query] = {
+    "jsonl_reference": q_jsonl_reference,
+    "jsonl_or_empty": q_jsonl_or_empty,
+    "source_preference": q_source_preference,
+    "record_batches": q_record_batches,
+    "arrow_hand_off": q_arrow_hand_off,
+    "corrupt_split": q_corrupt_split,
+    "dataset_list": q_dataset_list,
+    "report_file": q_report_file,
+    "tagged_output": q_tagged_output,
+    "record_texts": q_record_texts,
+    "message_tumbling": q_message_tumbling,
+    "message_arrival": q_message_arrival,
+    "stream_tumbling_update": q_stream_tumbling_update,
+    "stream_snapshot": q_stream_snapshot,
+    "trailing_dirty": q_trailing_dirty,
+    "trailing_current_dirty": q_trailing_current_dirty,
     "sensor_stats_sql": q_sensor_stats_sql,
     "patient_stats_sql": q_patient_stats_sql,
     "sql_on_parquet": q_sql_on_parquet,
@@ -391,7 +526,6 @@ QUERIES: dict[str, Query] = {
     "tumbling": q_tumbling,
     "tumbling_bp": q_tumbling_bp,
     "trailing": q_trailing,
-    "trailing_rolling": q_trailing_rolling,
     "trailing_current": q_trailing_current,
     "global_trailing": q_global_trailing,
     "window_rows": q_window_rows,

@@ -102,4 +102,5 @@ EVENTS_SCHEMA = T.StructType(
 
 def ranges_df(spark: SparkSession) -> DataFrame:
     """The five-row range table (safe to broadcast: fixed size)."""
-    return spark.createDataFrame(RANGES, RANGES_SCHEMA)
+    rows = ", ".join(f"('{p}', {lo}D, {hi}D, {nlo}D, {nhi}D, {code}, '{text}')" for p, lo, hi, nlo, nhi, code, text in RANGES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(RANGES_SCHEMA.names)})")

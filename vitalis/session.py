@@ -27,15 +27,21 @@ SESSION_DEFAULTS = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "vitalis",
     extra: dict | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with the package defaults.
+
+    Master and shuffle partitions are those of spark-submit unless given here.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -82,6 +88,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="vitalis-")
         spark.conf.set("spark.checkpoint.dir", configured)
         spark.sparkContext.setCheckpointDir(configured)

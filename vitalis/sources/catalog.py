@@ -8,6 +8,7 @@ the shared folder (``spark.checkpoint.dir``), so every executor can read it;
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,27 +16,40 @@ from pyspark.sql import functions as F
 from vitalis.session import shared_dir
 
 
+#: Table property that marks a data set put here, and holds its ticket.
+OWN = "vitalis.dataset"
+
+
+def _name(ticket: str) -> str:
+    """Table name of a ticket; characters that table names can't have are spelt as their code."""
+    return re.sub(r"[^A-Za-z0-9_]", lambda m: f"_x{ord(m[0]):x}_", ticket).lower()
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _location(spark: SparkSession, ticket: str) -> str:
-    return os.path.join(shared_dir(spark), "vitalis", "datasets", ticket)
+    return os.path.join(shared_dir(spark), "vitalis", "datasets", _name(ticket))
 
 
 def put(df: DataFrame, ticket: str, metadata: dict[str, str] | None = None) -> str:
     """Append rows under ``ticket`` (created on first use)."""
     spark = df.sparkSession
+    props = {**(metadata or {}), OWN: ticket}
+    text = ", ".join(f"{_literal(k)} = {_literal(str(v))}" for k, v in props.items())
     writer = df.write.mode("append").format("parquet").option("path", _location(spark, ticket))
-    writer.saveAsTable(ticket)
-    if metadata:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in metadata.items())
-        spark.sql(f"ALTER TABLE {ticket} SET TBLPROPERTIES ({props})")
+    writer.saveAsTable(_name(ticket))
+    spark.sql(f"ALTER TABLE {_name(ticket)} SET TBLPROPERTIES ({text})")
     return ticket
 
 
 def get(spark: SparkSession, ticket: str) -> DataFrame:
     """Rows of ``ticket``; ``KeyError`` when absent."""
-    if not spark.catalog.tableExists(ticket):
+    if not spark.catalog.tableExists(_name(ticket)):
         raise KeyError(f"data set not found: {ticket}")
-    spark.catalog.refreshTable(ticket)
-    return spark.table(ticket)
+    spark.catalog.refreshTable(_name(ticket))
+    return spark.table(_name(ticket))
 
 
 def list_datasets(spark: SparkSession) -> DataFrame:
@@ -44,16 +58,19 @@ def list_datasets(spark: SparkSession) -> DataFrame:
     Sizes come from the files' metadata columns (``_metadata.file_size``),
     computed by Spark, one aggregate per table.
     """
-    names = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
+    tables = [t.name for t in spark.catalog.listTables() if not t.isTemporary and t.tableType != "VIEW"]
+    marks = [(n, spark.sql(f"SHOW TBLPROPERTIES {n}").filter(F.col("key") == OWN).first()) for n in tables]
     rows = None
-    for name in names:
+    for name, mark in marks:
+        if mark is None:
+            continue
         t = spark.table(name)
         info = t.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
         one = (
             info.groupBy("f")
             .agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
             .agg(F.sum("n").alias("records"), F.sum("s").alias("total_bytes"))
-            .select(F.lit(name).alias("ticket"), "records", "total_bytes")
+            .select(F.lit(mark["value"]).alias("ticket"), "records", "total_bytes")
         )
         rows = one if rows is None else rows.unionByName(one)
     if rows is None:
@@ -62,4 +79,4 @@ def list_datasets(spark: SparkSession) -> DataFrame:
 
 
 def drop(spark: SparkSession, ticket: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {ticket}")
+    spark.sql(f"DROP TABLE IF EXISTS {_name(ticket)}")

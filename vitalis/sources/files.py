@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalis.schema import JSON_TIMESTAMP_FORMAT, READING_JSON_SCHEMA
+from vitalis.schema import JSON_TIMESTAMP_FORMAT, READING_JSON_SCHEMA, READINGS_SCHEMA
 from vitalis.session import prepare
 
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Path probe through the Hadoop file system of the session (any scheme)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -25,15 +25,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(hpath)) and len(fs.globStatus(hpath)) > 0
 
 
-def with_datetime(df: DataFrame) -> DataFrame:
-    """Add ``datetime`` from epoch seconds in ``timestamp`` (fraction kept);
-    an ISO ``ts`` column, when present, takes precedence."""
-    if "timestamp" not in df.columns:
-        return df
-    dt = F.timestamp_seconds(F.col("timestamp"))
-    if "ts" in df.columns:
-        dt = F.coalesce(F.col("ts"), dt)
-    return df.withColumn("datetime", dt)
+def canonical(df: DataFrame) -> DataFrame:
+    """Readings as every operator expects them, whatever shape they come in.
+
+    ``ts`` is filled from ``ts``, ``datetime`` or epoch seconds in ``timestamp``
+    (fraction kept), the first that a row has; optional columns that the source
+    lacks are added as NULL.  Other columns stay.
+    """
+    times = []
+    for name in ("ts", "datetime"):
+        if name in df.columns:
+            kind = df.schema[name].dataType
+            times.append(F.col(name) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else F.col(name).cast("timestamp"))
+    if "timestamp" in df.columns:
+        kind = df.schema["timestamp"].dataType
+        times.append(F.timestamp_seconds(F.col("timestamp")) if isinstance(kind, T.NumericType) else F.col("timestamp").cast("timestamp"))
+    if len(times) > 1 or times and "ts" not in df.columns:
+        df = df.withColumn("ts", F.coalesce(*times))
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in READINGS_SCHEMA if f.name not in df.columns})
 
 
 def read_jsonl(
@@ -50,36 +59,38 @@ def read_jsonl(
     """
     prepare(spark)
     if mode == "PERMISSIVE":
-        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+        # read as text and parse: unlike a JSON scan, this may be asked for the bad lines alone, without a cache
+        full = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "timestampFormat": JSON_TIMESTAMP_FORMAT}
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        return canonical(lines.select(F.from_json("value", full, options).alias("r")).select("r.*"))
     reader = spark.read.schema(schema).option("mode", mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT)
-    if mode == "PERMISSIVE":
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    return with_datetime(reader.json(path))
+    return canonical(reader.json(path))
 
 
 def read_jsonl_or_empty(spark: SparkSession, path: str, schema: T.StructType = READING_JSON_SCHEMA) -> DataFrame:
     """Like S1, but a missing file gives an empty DataFrame with the schema."""
-    if not _exists(spark, path):
-        return with_datetime(spark.createDataFrame([], schema))
+    if not exists(spark, path):
+        return canonical(spark.createDataFrame([], schema))
     return read_jsonl(spark, path, schema)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad raw lines) of a PERMISSIVE read.
-
-    The read is cached first: Spark refuses queries that reference only the
-    corrupt-record column of a raw JSON scan.
-    """
-    df = df.cache()
+    """(good rows, bad raw lines) of a PERMISSIVE read."""
     bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
     good = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     return good, bad
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan."""
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan.  With ``schema``, partition columns keep their types
+    (else ``01`` comes back as 1); without it, readings in the shape of the
+    JSON records are made canonical."""
     prepare(spark)
-    return spark.read.parquet(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    return canonical(df) if {"patient_id", "sensor_type"} <= set(df.columns) else df
 
 
 def sql_on_parquet(spark: SparkSession, path: str, sql_template: str) -> DataFrame:
@@ -89,15 +100,15 @@ def sql_on_parquet(spark: SparkSession, path: str, sql_template: str) -> DataFra
     error value instead).
     """
     prepare(spark)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         raise FileNotFoundError(path)
     return spark.sql(sql_template.format(src=f"parquet.`{path}`"))
 
 
 def load_preferred(spark: SparkSession, parquet_path: str, jsonl_path: str) -> DataFrame:
     """Parquet when present, else JSON lines (no generated fallback)."""
-    if _exists(spark, parquet_path):
+    if exists(spark, parquet_path):
         return read_parquet(spark, parquet_path)
-    if _exists(spark, jsonl_path):
+    if exists(spark, jsonl_path):
         return read_jsonl(spark, jsonl_path)
     raise FileNotFoundError(f"neither {parquet_path} nor {jsonl_path}")

@@ -37,8 +37,8 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", epoch_column:
 
 
 def write_report(df: DataFrame, path: str) -> str:
-    """A (small) report DataFrame as JSON, one file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A (small) report DataFrame as JSON, one file (what it is computed from stays parallel)."""
+    df.repartition(1).write.mode("overwrite").json(path)
     return path
 
 
@@ -73,16 +73,17 @@ def tagged_output(raw: DataFrame, aggregates: DataFrame) -> DataFrame:
     return tag(raw, "RAW").unionByName(tag(aggregates, "AGG"))
 
 
-def to_arrow(df: DataFrame, max_rows: int = 1_000_000):
-    """Arrow table of a bounded result.
+def hand_off(df: DataFrame, path: str) -> str:
+    """Hand a result of any size to an Arrow reader: Parquet files written by the executors.
+    Returns the folder, which ``pyarrow.dataset`` (or any Arrow reader) opens as one table."""
+    df.write.mode("overwrite").parquet(path)
+    return path
+
 
-    The row count is checked first; a larger result should be handed over as
-    Parquet (``write_parquet``) and read by the consumer directly.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed the Arrow hand-off bound {max_rows}; write Parquet instead")
-    return df.toArrow()
+def report_to_arrow(report: DataFrame):
+    """S16 for an aggregated report (rows as many as sensors or windows, not as readings): an Arrow
+    table in the driver, within Spark's own ``spark.driver.maxResultSize``."""
+    return report.toArrow()
 
 
 def publish(df: DataFrame, path: str, mode: str = "append") -> str:

@@ -5,7 +5,9 @@ Event time throughout, with a watermark bounding state: a window is emitted
 (append mode) once the watermark passes its end, and its state is dropped.
 Sources are file directories here; a Kafka source plugs into the same
 ``from_json`` / projection step.  Checkpoints live under the shared folder
-(``spark.checkpoint.dir``), so a restarted query resumes where it stopped.
+(``spark.checkpoint.dir``).  A function that is given ``base`` keeps its output
+and checkpoint there, so a query that is started again with the same ``base``
+resumes where it stopped; without it every call starts afresh.
 """
 
 from __future__ import annotations
@@ -17,22 +19,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitalis.functions.stats import avg_col
 from vitalis.operators.clean import DEDUP_KEY
-from vitalis.operators.windows import bp_readings, scalar_readings, tumbling, tumbling_bp
+from vitalis.operators.windows import _snapshot_finish, _snapshot_parts, bp_readings, scalar_readings, tumbling, tumbling_bp
 from vitalis.schema import EVENTS_SCHEMA, READING_JSON_SCHEMA
 from vitalis.session import prepare, scratch_path
-from vitalis.sources.files import CORRUPT_COLUMN
+from vitalis.sources.files import CORRUPT_COLUMN, canonical
 from vitalis.sources.readings import readings_from_events
 
 
+#: Files that a micro-batch reads, at most, unless the caller says otherwise.
+FILES_PER_TRIGGER = 64
+
+
 def events_stream(
-    spark: SparkSession, source_dir: str, glob: str = "events.parquet", max_files_per_trigger: int | None = None
+    spark: SparkSession, source_dir: str, glob: str | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER
 ) -> DataFrame:
-    """Driver events as a file stream (files picked up in modification order)."""
+    """Driver events as a file stream (files picked up in modification order).
+
+    Reads the table ``events.parquet`` of the folder, be it one file or a folder of part files;
+    with ``glob``, the files of the folder itself that match.
+    """
     prepare(spark)
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_dir)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        return reader.option("pathGlobFilter", glob).parquet(source_dir)
+    return reader.parquet(f"{source_dir.rstrip('/')}/events.parque[t]")  # a pattern: a path itself may not be a file
 
 
 def readings_stream(spark: SparkSession, source_dir: str, **kw) -> DataFrame:
@@ -40,7 +50,7 @@ def readings_stream(spark: SparkSession, source_dir: str, **kw) -> DataFrame:
     return readings_from_events(events_stream(spark, source_dir, **kw), instant=True)
 
 
-def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType = READING_JSON_SCHEMA) -> DataFrame:
+def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType = READING_JSON_SCHEMA, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """S10 + P5 + P12: JSON messages from a directory; bad lines are kept in
     ``_corrupt_record`` (T20) and every row is stamped with its arrival time."""
     prepare(spark)
@@ -49,9 +59,10 @@ def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType =
         spark.readStream.schema(full)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
         .json(source_dir)
     )
-    return raw.withColumn("_received_at", F.current_timestamp()).withColumn(
+    return canonical(raw).withColumn("_received_at", F.current_timestamp()).withColumn(
         "_received_timestamp", F.unix_micros(F.col("_received_at")) / F.lit(1e6)
     )
 
@@ -137,12 +148,12 @@ def start_to_parquet(
     return w.start(path)
 
 
-def run_to_table(df: DataFrame, kind: str, output_mode: str = "append") -> DataFrame:
-    """Drain a stream into a fresh folder of the shared folder and return the
+def run_to_table(df: DataFrame, kind: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
+    """Drain a stream into ``base`` (default: a fresh folder of the shared folder) and return the
     result as a batch DataFrame (the sink's own file log decides what is
     committed, so a retried batch is not counted twice)."""
     spark = df.sparkSession
-    base = scratch_path(spark, f"stream-{kind}")
+    base = base or scratch_path(spark, f"stream-{kind}")
     path, checkpoint = f"{base}/out", f"{base}/_checkpoint"
     q = start_to_parquet(df, path, checkpoint, output_mode)
     q.awaitTermination()
@@ -151,13 +162,14 @@ def run_to_table(df: DataFrame, kind: str, output_mode: str = "append") -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
-def upsert_log_stream(df: DataFrame, kind: str = "upserts") -> tuple[str, StreamingQuery]:
+def upsert_log_stream(df: DataFrame, kind: str = "upserts", base: str | None = None, processing_time: str | None = None) -> tuple[str, StreamingQuery]:
     """R6 (update mode): each micro-batch's changed rows go to their own
     ``batch_id=N`` folder.  A retried batch overwrites its folder, so the log
     is idempotent; ``read_latest`` folds it to the newest version per key.
-    Returns the log path and the started query (drained with availableNow)."""
+    Returns the log path and the started query (drained with availableNow, or running with a
+    ``processing_time`` trigger)."""
     spark = df.sparkSession
-    base = scratch_path(spark, f"upsert-{kind}")
+    base = base or scratch_path(spark, f"upsert-{kind}")
     path = f"{base}/log"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -167,12 +179,16 @@ def upsert_log_stream(df: DataFrame, kind: str = "upserts") -> tuple[str, Stream
         df.writeStream.outputMode("update")
         .option("checkpointLocation", f"{base}/_checkpoint")
         .foreachBatch(write_batch)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(processing_time))
         .start()
     )
     return path, q
 
 
+def _trigger(processing_time: str | None) -> dict:
+    return {"processingTime": processing_time} if processing_time else {"availableNow": True}
+
+
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest version of every key in an upsert log: ``max_by`` over the batch
     id, a partial + final aggregate (no sort, no single partition)."""
@@ -182,25 +198,44 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def publish_stream(df: DataFrame, kind: str = "messages") -> StreamingQuery:
+def updated(df: DataFrame, kind: str, keys: list[str], base: str | None = None) -> DataFrame:
+    """Drain an aggregating stream in update mode and return the newest version of every key: all windows,
+    those that the watermark hasn't closed included (the flush of the last window)."""
+    path, query = upsert_log_stream(df, kind, base)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return read_latest(df.sparkSession, path, keys).select(*df.columns)
+
+
+def snapshot_stream(readings: DataFrame, size: str = "30 seconds", slide: str = "5 seconds", delay: str = "10 seconds", digits: int | None = None) -> DataFrame:
+    """W5 / W7 on a stream: the consumer's snapshot (count, duration, lists, per-sensor structs) of each
+    hopping window of length W."""
+    g = readings.withWatermark("ts", delay).withColumn("_us", F.unix_micros("ts")).groupBy(F.window("ts", size, slide).alias("w"))
+    duration = (F.max("_us") - F.min("_us")) / F.lit(1e6)
+    parts = g.agg(duration.alias("window_duration"), *_snapshot_parts(None, digits))
+    return parts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "window_duration", *_snapshot_finish(digits))
+
+
+def publish_stream(df: DataFrame, kind: str = "messages", base: str | None = None, processing_time: str | None = None) -> StreamingQuery:
     """S11 + S20 on a stream: every row as a JSON message into a text sink
     under the shared folder (a Kafka sink takes the same ``value`` column)."""
-    base = scratch_path(df.sparkSession, f"publish-{kind}")
+    base = base or scratch_path(df.sparkSession, f"publish-{kind}")
     msgs = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
     return (
         msgs.writeStream.format("text")
         .option("checkpointLocation", f"{base}/_checkpoint")
-        .trigger(availableNow=True)
+        .trigger(**_trigger(processing_time))
         .start(f"{base}/out")
     )
 
 
-def tagged_streams(raw: DataFrame, aggregates: DataFrame, kind: str = "output") -> tuple[str, list[StreamingQuery]]:
+def tagged_streams(raw: DataFrame, aggregates: DataFrame, kind: str = "output", base: str | None = None, processing_time: str | None = None) -> tuple[str, list[StreamingQuery]]:
     """S20 on streams: raw rows and aggregates as two queries into the
     ``kind=raw`` / ``kind=agg`` folders of one table, so a reader sees a
     single output with a ``kind`` column.  Returns the table path and the
     started queries (drained with availableNow)."""
-    base = scratch_path(raw.sparkSession, f"tagged-{kind}")
+    base = base or scratch_path(raw.sparkSession, f"tagged-{kind}")
     queries = []
     for label, df in (("raw", raw), ("agg", aggregates)):
         line = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("line")
@@ -208,7 +243,7 @@ def tagged_streams(raw: DataFrame, aggregates: DataFrame, kind: str = "output")
             df.select(line)
             .writeStream.format("parquet")
             .option("checkpointLocation", f"{base}/_checkpoint_{label}")
-            .trigger(availableNow=True)
+            .trigger(**_trigger(processing_time))
             .start(f"{base}/out/kind={label}")
         )
     return f"{base}/out", queries
