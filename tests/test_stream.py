@@ -175,3 +175,73 @@ def test_update_mode_upsert_log_equals_batch(spark):
     want = {(r.patient_id, r.sensor_type, r.w.start): r["count"] for r in batch.collect()}
     got = {(r.patient_id, r.sensor_type, r.window_start): r["count"] for r in latest.collect()}
     assert got == want
+
+
+def _folder(spark, name):
+    d = scratch_path(spark, name).replace("file:", "")
+    os.makedirs(d)
+    return d
+
+
+ROWS = [(i, i * 1.7, i % 3, ["click", "view", "purchase"][i % 3], float(40 + i % 30)) for i in range(80)]
+
+
+def test_streams_read_a_table_of_part_files(spark):
+    d = _folder(spark, "t-parts")
+    os.makedirs(f"{d}/events.parquet")
+    for k in range(4):
+        _write(f"{d}/events.parquet", f"part-{k}.parquet", ROWS[20 * k : 20 * k + 20])
+    stream = S.readings_stream(spark, d, max_files_per_trigger=1)
+    out = S.updated(S.tumbling_stream(stream, "5 seconds", "10 seconds", 6), "t-parts", ["patient_id", "sensor_type", "window_start"])
+    batch = W.tumbling(readings_from_events(spark.read.parquet(f"{d}/events.parquet"), instant=True), "5 seconds", digits=6)
+    assert out.count() == batch.count() > 0 and out.exceptAll(batch).count() == 0  # the last windows included
+
+
+def test_a_stream_started_again_resumes(spark):
+    d, base = _folder(spark, "t-again"), scratch_path(spark, "t-again-out")
+
+    def run():
+        stream = S.readings_stream(spark, d, glob="events-*.parquet", max_files_per_trigger=1)
+        return S.updated(S.tumbling_stream(stream, "5 seconds", "10 seconds", 6), "x", ["patient_id", "sensor_type", "window_start"], base=base)
+
+    _write(d, "events-1.parquet", ROWS[:30])
+    run()
+    _write(d, "events-2.parquet", ROWS[30:])
+    out = run()
+    batch = W.tumbling(readings_from_events(spark.read.parquet(d), instant=True), "5 seconds", digits=6)
+    assert out.count() == batch.count() and out.exceptAll(batch).count() == 0
+
+
+def test_exact_trailing_stream_sees_whole_frames_of_late_rows(spark):
+    from vitalis.streaming.state import trailing_stream_exact
+
+    d = _folder(spark, "t-order")
+    times = [5.0, 40.0, 34.0, 70.0, 62.0, 66.0]  # 34, 62 and 66 come late, within the delay
+    for k, t in enumerate(times):
+        _write(d, f"events-{k}.parquet", [(k, t, 1, "click", 50.0 + k)])
+    stream = S.readings_stream(spark, d, glob="events-*.parquet", max_files_per_trigger=1)
+    got = {r.event_id: r for r in S.run_to_table(trailing_stream_exact(stream, 30 * 1_000_000, "10 seconds", 6), "t-order").collect()}
+    for k, t in enumerate(times):
+        seen = [j for j, u in enumerate(times) if j <= k and t - 30 < u <= t]  # what had come by then
+        assert got[k]["count"] == len(seen) and got[k]["max"] == max(75.0 + j for j in seen)
+
+
+def test_reference_shaped_messages_reach_the_windows(spark):
+    import json
+
+    from tests.conftest import sample_records
+
+    d = _folder(spark, "t-shape")
+    with open(os.path.join(d, "m.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in sample_records(40)) + "\n")
+    out = S.updated(S.tumbling_stream(S.message_stream(spark, d), "5 seconds", "10 seconds"), "t-shape", ["patient_id", "sensor_type", "window_start"])
+    assert out.agg({"count": "sum"}).first()[0] == 40
+
+
+def test_snapshot_stream_equals_the_window(spark):
+    d = _folder(spark, "t-snap")
+    _write(d, "events-1.parquet", ROWS)
+    snap = S.updated(S.snapshot_stream(S.readings_stream(spark, d, glob="events-*.parquet"), "30 seconds", "30 seconds"), "t-snap", ["window_start"])
+    first = snap.orderBy("window_start").first()
+    held = [r for r in ROWS if r[1] < 30]
+    assert first["count"] == len(held) and first.patient_ids == ["P000", "P001", "P002"] and first.window_duration == held[-1][1]
