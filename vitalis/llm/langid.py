@@ -7,8 +7,8 @@ n-grams that are known, then to shorter ones.  The scores of all words of a
 text add up, and the language with the highest sum wins (ties: the first by
 name); ``score`` is its softmax share.
 
-The model is fitted on a bounded sample of labelled rows: about
-``SAMPLE_CHARS`` characters a language, picked by a hash of the text, and
+The model is fitted on a bounded sample of labelled rows: different texts of
+at most about ``SAMPLE_CHARS`` characters a language, picked by hash, and
 keeps at most ``MOST_GRAMS`` words and n-grams of each length a language.  The
 prediction covers every whole text.
 
@@ -52,7 +52,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     if not sizes:
         return {"langs": [], "tables": {}, "totals": {}}
     shares = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE_CHARS / n))]), F.col("lang"))
-    sample = rows.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < shares * (1 << 30))
+    sample = rows.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < shares * (1 << 30)).dropDuplicates()  # copies share a hash
 
     def count(batches):
         for pdf in batches:
