@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalis.llm import mixing
 from vitalis.llm.bpe import op4_bpe
 from vitalis.llm.embed import op9_embeddings
 from vitalis.llm.jaccard import op8_jaccard
 from vitalis.llm.langid import op5_language
 from vitalis.llm.mixing import op2_mixing
+from vitalis.llm.oracle import ORACLE
 from vitalis.llm.quality import op6_quality
 from vitalis.llm.sharding import op1_sharding
 from vitalis.llm.substring import op3_substring
@@ -31,6 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html": op10_html,
 }
 
-ORACLE: dict[str, str] = {
-    "op2_mixing": mixing.SQL,
-}
+__all__ = ["ORACLE", "QUERIES"]
