@@ -80,6 +80,7 @@ def test_cli_analyze_jsonl(spark, capsys):
     with open(p, "w") as f:
         f.write("\n".join(json.dumps(r) for r in sample_records(30)) + "\n")
     spark.stop = lambda: None  # keep the shared test session alive
+    cli.clear_scratch = lambda s: None  # and what other tests have written
     cli.main(["analyze", p, "--rows", "5"])
     out = capsys.readouterr().out
     assert "== sensor_stats_sql" in out and "pulse" in out
@@ -99,6 +100,40 @@ def test_validated_records_as_json_messages_have_expected_keys(spark):
 def test_cli_dashboard_on_driver_folder(spark, capsys):
     from vitalis import __main__ as cli
     spark.stop = lambda: None  # keep the shared test session alive
+    cli.clear_scratch = lambda s: None  # and what other tests have written
     cli.main(["dashboard", "/root/testdata/sf0.001", "--rows", "3"])
     out = capsys.readouterr().out
     assert "== kpis" in out and "== recent" in out and "== histogram_pulse" in out
+
+
+def test_scratch_is_cleared(spark, monkeypatch):
+    from vitalis import session
+
+    path = scratch_path(spark, "t-clear")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path.replace("file:", ""))
+    monkeypatch.setattr(session, "_own_dir", lambda s: path)  # only this test's own folder
+    session.clear_scratch(spark)
+    assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    import pytest
+
+    from vitalis import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())

@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 
 from vitalis.plans.analysis import dashboard_data, run_analysis
-from vitalis.session import build_session
+from vitalis.session import build_session, clear_scratch
 from vitalis.sources.files import exists, read_jsonl, read_parquet
 from vitalis.sources.readings import readings
 
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("command", choices=["analyze", "dashboard"])
     ap.add_argument("path")
     ap.add_argument("--master", default=None, help="default: that of spark-submit")
-    ap.add_argument("--out", default=None, help="where the cleaned Parquet goes (default: shared folder)")
+    ap.add_argument("--out", default=None, help="where the cleaned Parquet goes and stays (default: a scratch folder that is removed at the end)")
     ap.add_argument("--as-of", default=None, help="reference time for the dashboard age (default: newest row)")
     ap.add_argument("--rows", type=int, default=20, help="rows to print per result")
     args = ap.parse_args(argv)
@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     for name, df in results.items():
         print(f"== {name}")
         df.show(args.rows, truncate=False)
+    if not args.out:
+        clear_scratch(spark)
     spark.stop()
 
 

@@ -97,5 +97,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, unique sub-path of the shared folder for one job's output."""
-    return os.path.join(shared_dir(spark), "vitalis", kind, uuid.uuid4().hex)
+    """A fresh, unique sub-path of the shared folder for one job's output, under the application's own folder."""
+    return os.path.join(_own_dir(spark), kind, uuid.uuid4().hex)
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "vitalis", spark.sparkContext.applicationId)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under :func:`scratch_path`; call it when no result of a
+    round trip, stream or operator is read any more (by any file system that Spark reaches)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
