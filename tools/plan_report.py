@@ -1,4 +1,4 @@
-"""Write docs/PLANS.md: the physical-plan shape of every registered query.
+"""Write docs/PLANS.md: the physical-plan shape of every registered query on readings.
 
 For each query: scans (pushed filters, read schema), shuffles, joins and
 windows, taken from ``explain("formatted")`` at the given scale factor.
@@ -39,7 +39,7 @@ def summarize(text: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from vitalis.plans.registry import QUERIES
     from vitalis.session import build_session
 
     spark = build_session("local[8]", 8)
@@ -52,7 +52,7 @@ def main() -> None:
         "| query | scans | pushed filters | exchanges | joins | windows | single partition | top-k |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain("formatted")
