@@ -396,6 +396,21 @@ def test_forest_finds_the_links(spark, monkeypatch, leaf, pile):
     assert embed.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("others", [0, 900])
+def test_links_in_a_large_group_of_different_near_copies(spark, monkeypatch, others):
+    monkeypatch.setattr(embed, "LEAF", 40)
+    monkeypatch.setattr(embed, "PILE_ROWS", 300)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((900 + others, 32))
+    x[:900] = x[0] / np.linalg.norm(x[0]) + 0.24 / np.sqrt(32) * rng.standard_normal((900, 32))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embed.near_duplicates(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert want[:900].min() > 100 and all(got[i] <= w for i, w in enumerate(want))
+    assert sum(got.values()) >= 0.999 * want.sum()
+
+
 # op10
 
 

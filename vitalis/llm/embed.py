@@ -1,10 +1,13 @@
 """Embedding near-dedup by a forest of random-projection trees.
 
 Equal vectors of a label form a class first; one row a class goes on.  Each
-of ``TREES`` trees splits the vectors of a label again and again at the
-median of their projection on a random direction; vectors close to a split
-go to both sides (spill).  The splits are fitted on a bounded sample, picked by
-a hash, and every vector is led down every tree.  The vectors of a leaf are
+of ``TREES`` trees splits the vectors of a label again and again by their
+projection on a random direction; vectors close to a split go to both sides
+(spill), at least those within ``REACH`` of the distance that linked vectors
+have on such a direction.  A split is put where it leaves the fewest pairs to
+compare; a node that no split makes cheaper, such as a group whose vectors are
+as close as links, stays a leaf of any size.  The splits are fitted on a bounded
+sample, picked by a hash, and every vector is led down every tree.  The vectors of a leaf are
 compared with each other, exactly, in double precision; a pair counts in the
 first of its common leaves.  A leaf beyond the memory bound is compared block
 by block, so no pair of a leaf is lost.  Each place returns the links per
@@ -27,15 +30,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.llm.common import table, written
-from vitalis.llm.components import components, deal, roots_of
+from vitalis.llm.components import components, deal
 
 THRESHOLD = 0.93
 #: Trees; vectors that a leaf should hold; part of the projections' spread that spills to each side.
 TREES, LEAF, SPILL = 6, 1_500, 0.35
+#: Least spill, as a part of what the distance of vectors at the threshold projects to (root mean square).
+REACH = 0.5
+#: Pairs left to compare after a split, as a part of those before, above which a node isn't split; levels of a tree.
+WORTH, DEPTH = 0.9, 60
+#: Shares of a node's vectors below the splits that are tried, the first of equal ones is taken.
+SHARES = np.array([0.5, *(k / 20 for d in range(1, 9) for k in (10 - d, 10 + d))])
 #: Vectors to fit the trees on, at most about so many; and sampled vectors from which a node is split.
 SAMPLE, LEAST = 40_000, 32
 #: Vectors that one place compares at a time.
-PILE_ROWS = 4_000
+PILE_ROWS = 8_000
+#: Rows of a pile that are multiplied with all others at a time.
+STRIP = 500
 SEED = 20_240_501
 
 
@@ -44,27 +55,37 @@ def direction(tree: int, level: int, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
-def fit(vectors: np.ndarray, leaf: float, trees: int = TREES) -> list[dict[int, tuple[float, float]]]:
-    """Splits of each tree: node (root 1, children 2n and 2n + 1) -> (median, spill width).
+def fit(vectors: np.ndarray, leaf: float, trees: int = TREES, threshold: float = THRESHOLD) -> list[dict[int, tuple[float, float]]]:
+    """Splits of each tree: node (root 1, children 2n and 2n + 1) -> (middle, spill width).
 
-    ``leaf`` is the number of sampled vectors that stands for a full leaf.
+    ``leaf`` is the number of sampled vectors that stands for a full leaf.  If a tree has no
+    splits, its one leaf holds all pairs, and it is the only tree.
     """
+    reach = REACH * np.sqrt(max(0.0, 2 - 2 * threshold) / vectors.shape[1])
     forest = []
     for tree in range(trees):
         splits: dict[int, tuple[float, float]] = {}
         todo = [(1, np.arange(len(vectors)))]
         while todo:
             node, rows = todo.pop()
-            if len(rows) <= max(leaf, LEAST):
+            if len(rows) <= max(leaf, LEAST) or node.bit_length() > DEPTH:
                 continue
             p = vectors[rows] @ direction(tree, node.bit_length() - 1, vectors.shape[1])
             if p.max() - p.min() < 1e-6:
                 continue  # copies of one vector: no split tells them apart
-            middle, wide = float(np.median(p)), float(SPILL * p.std())
+            wide = max(float(SPILL * p.std()), reach)
+            ordered = np.sort(p)
+            middles = np.quantile(ordered, SHARES)
+            pairs = (np.searchsorted(ordered, middles + wide) / len(p)) ** 2 + (1 - np.searchsorted(ordered, middles - wide) / len(p)) ** 2
+            if pairs.min() > WORTH:
+                continue  # nearly all vectors are close to any split
+            middle = float(middles[pairs.argmin()])
             left, right = rows[p < middle], rows[p >= middle]
             if len(left) and len(right):
                 splits[node] = (middle, wide)
                 todo += [(2 * node, left), (2 * node + 1, right)]
+        if not splits:
+            return [{}]
         forest.append(splits)
     return forest
 
@@ -136,29 +157,36 @@ def compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
         if len(own) < 2:
             continue
         raw = np.stack(vectors[own]).astype(np.float64)
-        x = unit(raw)
-        linked = x @ x.T >= threshold - 1e-9
-        np.fill_diagonal(linked, False)
-        a, b = np.nonzero(np.triu(linked))
-        for at in range(0, len(a), 200_000):  # decide by the plain formula
-            i, j = a[at : at + 200_000], b[at : at + 200_000]
-            p, q = raw[i], raw[j]
-            far = np.einsum("ij,ij->i", p, q) / (np.sqrt(np.einsum("ij,ij->i", p, p)) * np.sqrt(np.einsum("ij,ij->i", q, q))) < threshold
-            linked[i[far], j[far]] = linked[j[far], i[far]] = False
-        part = side[own]
-        linked &= (part[:, None] != part[None, :]) | (part == 0)[:, None]
-        roots = roots_of(linked)
+        x, part, weight = unit(raw), side[own], copies[own]
         earlier = [[c for c in reached[i] if c < leaf[i]] for i in own]
         codes = {c: k for k, c in enumerate(sorted({c for e in earlier for c in e}))}
-        if codes:  # a pair with a smaller common leaf counts there
-            member = np.zeros((len(own), len(codes)), np.float32)
-            for k, e in enumerate(earlier):
-                member[k, [codes[c] for c in e]] = 1
-            counted = linked & (member @ member.T == 0)
-        else:
-            counted = linked
-        some = linked.any(axis=1)
-        out.append(pd.DataFrame({"id": ids[own], "links": counted @ copies[own], "root": ids[own][roots]})[some])
+        member = np.zeros((len(own), len(codes)), np.float32)
+        for k, e in enumerate(earlier):
+            member[k, [codes[c] for c in e]] = 1
+        # pairs of the vectors that have the most common of the smaller leaves are linked and counted there
+        old = member[:, member.sum(axis=0).argmax()] > 0 if codes else np.zeros(len(own), bool)
+        new = np.flatnonzero(~old)
+        links, root, some = np.zeros(len(own), np.int64), np.arange(len(own)), np.zeros(len(own), bool)
+        for at in range(0, len(new), STRIP):
+            rows = new[at : at + STRIP]
+            like = x[rows] @ x.T
+            linked = like >= threshold - 1e-9
+            a, b = np.nonzero(linked & (like < threshold + 1e-9))
+            p, q = raw[rows[a]], raw[b]  # decide by the plain formula
+            far = np.einsum("ij,ij->i", p, q) / (np.sqrt(np.einsum("ij,ij->i", p, p)) * np.sqrt(np.einsum("ij,ij->i", q, q))) < threshold
+            linked[a[far], b[far]] = False
+            linked[np.arange(len(rows)), rows] = False
+            linked &= (part[rows][:, None] != part[None, :]) | (part[rows] == 0)[:, None]
+            counted = linked & (member[rows] @ member.T == 0) if codes else linked  # a pair with a smaller common leaf counts there
+            links[rows] += counted @ weight
+            links[old] += weight[rows] @ counted[:, old]
+            some[rows] |= linked.any(axis=1)
+            some |= linked.any(axis=0)
+            for k, to in zip(rows, linked, strict=True):
+                ends = root[np.append(np.flatnonzero(to), k)]
+                if ends.min() < ends.max():
+                    root[np.isin(root, np.unique(ends))] = ends.min()
+        out.append(pd.DataFrame({"id": ids[own], "links": links, "root": ids[own][root]})[some])
     return pd.concat(out) if out else pd.DataFrame({"id": [], "links": [], "root": []})
 
 
@@ -176,7 +204,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     by_kind: dict[tuple[int, int], list] = {}
     for r in sample:
         by_kind.setdefault((r["label"], len(r["embedding"])), []).append(r["embedding"])
-    model = {k: fit(unit(np.array(x)), LEAF * min(1.0, SAMPLE / n)) for k, x in sorted(by_kind.items())}
+    model = {k: fit(unit(np.array(x)), LEAF * min(1.0, SAMPLE / n), threshold=threshold) for k, x in sorted(by_kind.items())}
     led = written(lead(classes.select("id", "copies", "label", "embedding"), model), "leaves")
     dealt = deal(led.select("id", "copies", "embedding", "leaves", F.explode(F.array_distinct("leaves")).alias("leaf"), F.lit(1).alias("cost")), "leaf", "cost", PILE_ROWS, PILE_ROWS)
     links = written(dealt.groupBy("pile").applyInPandas(lambda pdf: compare(pdf, threshold), "id long, links long, root long"), "links")
