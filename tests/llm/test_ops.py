@@ -455,6 +455,27 @@ def test_pages_of_the_table_and_odd_ones(spark):
     assert wrappers.extract_text(odd.limit(0)).count() == 0
 
 
+def test_template_is_counted_over_all_pages_of_a_host(spark):
+    """A notice on 97% of 200 pages goes, also inside article; a passage on 90% stays, and so do near copies."""
+
+    def page(i, open_, close):
+        notice = "<div>All rights reserved</div>" if i % 33 else ""
+        return f"<body>{open_}<p>para {i}</p>{'<p>often</p>' if i % 10 else ''}{notice}{close}</body>"
+
+    shapes = {"a": ("<article>", "</article>"), "b": ("<div>", "</div>"), "c": ("<div class=with-header><article class=has-sidebar>", "</article></div>")}
+    rows = [(f"http://{h}/{i}", page(i, *tags)) for h, tags in shapes.items() for i in range(200)]
+    near = "".join(f"<p>same {k}</p>" for k in range(20))
+    rows += [(f"http://n/{i}", f"<article>{near}<p>own {i}</p></article>") for i in range(8)]
+    rows += [(f"http://three/{i}", f"<div><p>shared</p><p>own {i}</p></div>") for i in range(3)]
+    rows += [(f"http://r/{i}", f"<article><p>own {i}</p></article><div class=comments><article class=comment><p>c{i}</p></article></div>") for i in range(9)]
+    rows += [("http://b/copy", rows[201][1])] * 300  # copies count once
+    got = {r.url: r.text for r in wrappers.extract_text(spark.createDataFrame(rows, "url string, html string")).collect()}
+    for h in shapes:
+        for i in range(200):
+            assert got[f"http://{h}/{i}"] == f"para {i}" + ("\noften" if i % 10 else "")
+    assert got["http://n/0"].count("same") == 20 and got["http://three/0"] == "shared\nown 0" and got["http://r/0"] == "own 0"
+
+
 def test_host_of_an_url(spark):
     urls = ["http://A.example.org/x", "https://u:p@b.example.org:80?q", "//c.example.org#f", "d/e", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
