@@ -68,6 +68,45 @@ deg AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
 SELECT id AS vec_id, CAST(COALESCE(deg.n, 0) AS BIGINT) AS n_links, component AS component_id, id = component AS kept
 FROM comp LEFT JOIN deg ON deg.a = id"""
 
+_SCALED = """
+v AS (
+  SELECT * EXCLUDE (embedding), list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS y FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))"""
+
+OP11 = f"""
+WITH {_SCALED},
+r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, y FROM v WHERE label IS NOT NULL),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.y, b.y) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.y) = len(b.y) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+g AS (SELECT COUNT(*) AS n_docs, CAST(SUM(len(t)) AS BIGINT) AS n_all FROM d WHERE len(t) > 0),
+f AS (SELECT doc_id, term, COUNT(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, g GROUP BY term, n_docs),
+m AS (SELECT doc_id, 100 - 90 + (90 * len(t) * n_docs) // n_all AS m FROM d, g WHERE len(t) > 0),
+s AS (
+  SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
+OP13 = f"""
+WITH {_SCALED}
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.y, c.y) DESC, c.vec_id) AS INT) AS rank,
+       c.vec_id, CAST(list_dot_product(q.y, c.y) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.y) = len(c.y) WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5"""
+
+
 def _op6() -> str:
     """Counts by unnested windows; cutoffs by binomial terms from log-gamma, the strictest that passes its test."""
     part = quality.RISK / len(quality.CUTOFFS)
@@ -89,7 +128,8 @@ rep AS (SELECT doc_id, COUNT(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(
 c AS (
   SELECT t.doc_id, t.lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
          CAST(COALESCE(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM t JOIN w USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (
@@ -116,4 +156,7 @@ ORACLE: dict[str, str] = {
     "op7_warc": OP7,
     "op8_jaccard": OP8,
     "op9_embeddings": OP9,
+    "op11_negatives": OP11,
+    "op12_lexical": OP12,
+    "op13_topk": OP13,
 }
