@@ -30,6 +30,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -47,6 +48,7 @@ LEVELS, BITS = 4, 6
 SEED = 20_240_501
 
 
+@functools.lru_cache(maxsize=64)
 def rotation(level: int, dim: int) -> np.ndarray:
     """A random rotation (fixed by the level and the length)."""
     q, r = np.linalg.qr(np.random.default_rng([SEED, level, dim]).standard_normal((dim, dim)))
@@ -97,28 +99,43 @@ def coded(rows: DataFrame) -> DataFrame:
 
 
 class Asked:
-    """A query: its vector, its rounded rotations and the bands that it wants."""
+    """Queries of one length: rounded rotations at every level, as bit planes."""
 
-    def __init__(self, y: np.ndarray, bands: list[tuple[float, float]]):
-        self.y, self.bands, self.norm = y, bands, float(np.linalg.norm(y))
-        self.levels = []
-        z, dim = y, len(y)
-        for level in range(LEVELS if dim and self.norm < EXACT else 0):
+    def __init__(self, y: np.ndarray):
+        self.y, self.norm = y, np.linalg.norm(y, axis=1)
+        self.levels, dim, z = [], y.shape[1], y
+        for level in range(LEVELS if dim else 0):
             z = z @ rotation(level, dim)
-            low, step = float(z.min()), max(float(z.max() - z.min()), 1e-300) / ((1 << BITS) - 1)
-            whole = np.rint((z - low) / step).astype(np.int64)
-            planes = [packed(((whole >> b) & 1).astype(bool)[None, :])[0] for b in range(BITS)]
-            off = float(np.linalg.norm(z - (low + step * whole)))
-            self.levels.append((planes, low, step, float(dim * low + step * whole.sum()), off))
-
-    def along_codes(self, level: int, words: np.ndarray, ones: np.ndarray, dim: int) -> tuple[np.ndarray, float]:
-        """Inner products with code vectors (words by row), and how far they may be off."""
+            low, high = z.min(axis=1), z.max(axis=1)
+            step = np.maximum(high - low, 1e-300) / ((1 << BITS) - 1)
+            whole = np.rint((z - low[:, None]) / step[:, None])
+            near = low[:, None] + step[:, None] * whole
+            bits = whole.astype(np.int64)
+            planes = np.stack([packed((bits >> b) & 1 > 0) for b in range(BITS)], axis=1)
+            self.levels.append((planes, low, step, near.sum(axis=1), np.linalg.norm(z - near, axis=1)))
+
+    def along_codes(self, n: int, level: int, words: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, float]:
+        """Inner products of query ``n`` with code vectors (word by row), and how far they may be off."""
         planes, low, step, total, off = self.levels[level]
-        counts = np.zeros(words.shape[1], np.int64)
-        for b, plane in enumerate(planes):
+        dim = self.y.shape[1]
+        counts = np.zeros(words.shape[1], np.uint16 if dim << BITS < 1 << 16 else np.uint32)
+        for b, plane in enumerate(planes[n]):
             for word, mask in zip(words, plane, strict=True):
-                counts += np.bitwise_count(word & mask).astype(np.int64) << b
-        return (2 * (low * ones + step * counts) - total) / math.sqrt(dim), off
+                counts += np.bitwise_count(word & mask) * counts.dtype.type(1 << b)
+        scale = 2 / math.sqrt(dim)
+        return counts * (scale * step[n]) + (ones * (scale * low[n]) - total[n] / math.sqrt(dim)), off[n]
+
+
+class Seen:
+    """A batch of rows of one length: codes, alignments and norms, level by level."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.ids, self.y = batch.column("id").to_numpy(), matrix(batch.column("y"))
+        self.along = np.ascontiguousarray(matrix(batch.column("along")).T)
+        self.left = np.ascontiguousarray(matrix(batch.column("left")).T)
+        words = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(self.ids), LEVELS, -1)
+        self.words = np.ascontiguousarray(words.transpose(1, 2, 0))
+        self.ones = np.bitwise_count(self.words).sum(axis=1, dtype=np.float64)
 
 
 class Mine:
@@ -133,54 +150,65 @@ class Mine:
     def ask(self, batch: pa.RecordBatch) -> None:
         none = [(-math.inf, math.inf)]
         bands = [[(b["low"], b["high"]) for b in bs] if bs is not None else none for bs in batch.column("bands").to_pylist()]
-        for i, key, label, y, wanted in zip(batch.column("id").to_pylist(), batch.column("qkey").to_pylist(), batch.column("label").to_pylist(), matrix(batch.column("y")), bands, strict=True):
-            self.queries.append((i, key, label, Asked(y, wanted)))
+        with np.errstate(all="ignore"):  # numbers beyond doubles are scored without codes
+            asked = Asked(matrix(batch.column("y")))
+        columns = (batch.column(c).to_pylist() for c in ("id", "qkey", "label"))
+        self.queries += [(i, key, label, asked, n, bands[n]) for n, (i, key, label) in enumerate(zip(*columns, strict=True))]
 
     def see(self, batch: pa.RecordBatch) -> None:
         if not self.queries:
             return
-        ids, y, dim = batch.column("id").to_numpy(), matrix(batch.column("y")), batch.column("dim")[0].as_py()
-        along, left = matrix(batch.column("along")), matrix(batch.column("left"))
-        words = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(ids), LEVELS, -1).transpose(1, 2, 0)
-        words = np.ascontiguousarray(words)
-        ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+        rows = Seen(batch)
         labels = pc.dictionary_encode(batch.column("label"))
         number = {v: n for n, v in enumerate(labels.dictionary.to_pylist())}
         labels = labels.indices.to_numpy()
-        for i, key, label, q in self.queries:
+        for i, key, label, asked, n, bands in self.queries:
             own = labels == number.get(label, -1)
-            rows = np.flatnonzero((own if self.same else ~own) & (ids != i))
-            wide = ~(left[rows, 0] * q.norm < EXACT)
-            far, rows = rows[wide], rows[~wide]
-            rows = self.survivors(q, (i, key), rows, words, ones, along, left, dim)
-            scores = (y[rows] @ q.y).astype(np.int64)  # whole numbers, exact below EXACT
+            some = (own if self.same else ~own) & (rows.ids != i)
+            wide = ~(rows.left[0] * asked.norm[n] < EXACT)
+            far = np.flatnonzero(some & wide)
+            near = self.survivors(asked, n, bands, (i, key), some & ~wide, rows)
+            scores = (rows.y[near] @ asked.y[n]).astype(np.int64)  # whole numbers, exact below EXACT
             if far.size:
-                rows, scores = np.append(rows, far), np.append(scores, np.array(wide_scores(y[far], q.y), np.int64))
-            for n, (low, high) in enumerate(q.bands):
-                some = (scores >= low) & (scores <= high)
-                self.held.add((i, key, n), scores[some], ids[rows[some]])
-
-    def survivors(self, q: Asked, at: tuple, rows: np.ndarray, words: np.ndarray, ones: np.ndarray, along: np.ndarray, left: np.ndarray, dim: int) -> np.ndarray:
-        """Rows whose interval may hold a wanted score."""
-        middle, off, k = np.zeros(len(rows)), np.zeros(len(rows)), self.held.k
-        floors = [max(low, self.held.floor((*at, n))) for n, (low, _) in enumerate(q.bands)]
-        for level in range(len(q.levels)):
-            if not len(rows):
-                break
-            dot, slip = q.along_codes(level, words[level][:, rows], ones[level][rows], dim)
-            a = along[rows, level]
+                near, scores = np.append(near, far), np.append(scores, np.array(wide_scores(rows.y[far], asked.y[n]), np.int64))
+            for b, (low, high) in enumerate(bands):
+                wanted = (scores >= low) & (scores <= high)
+                self.held.add((i, key, b), scores[wanted], rows.ids[near[wanted]])
+
+    def survivors(self, asked: Asked, n: int, bands: list, at: tuple, some: np.ndarray, rows: Seen) -> np.ndarray:
+        """Those of the rows (a mask) whose interval may hold a wanted score."""
+        here = np.flatnonzero(some)
+        if not asked.levels or not here.size or not bands:
+            return here
+        k, norm = self.held.k, asked.norm[n]
+        floors = [max(low, self.held.floor((*at, b))) for b, (low, _) in enumerate(bands)]
+        most = max(high for _, high in bands)
+        whole = 2 * here.size > some.size  # most rows are asked for: work on all, pick afterwards
+        pick = slice(None) if whole else here
+        middle = off = 0.0
+        for level in range(LEVELS):
+            dot, slip = asked.along_codes(n, level, rows.words[level][:, pick], rows.ones[level][pick])
+            a = rows.along[level][pick]
             middle, off = middle + a * dot, off + a * slip
-            across = np.sqrt(np.maximum(q.norm**2 - np.maximum(np.abs(dot) - slip, 0) ** 2, 0))
-            half = off + across * left[rows, level + 1] + 1e-9 * q.norm * left[rows, 0] + 1e-6
+            if level == 0:
+                continue  # a first code alone drops next to nothing
+            half = off + norm * rows.left[level + 1][pick] + (1e-9 * norm * rows.left[0][pick] + 1e-6)
             lo, hi = middle - half, middle + half
-            keep = np.zeros(len(rows), bool)
-            for n, (low, high) in enumerate(q.bands):
-                sure = lo[(lo >= low) & (hi <= high)]
-                if len(sure) >= k:
-                    floors[n] = max(floors[n], float(np.partition(sure, len(sure) - k)[len(sure) - k]))
-                keep |= (hi >= floors[n]) & (lo <= high)
-            rows, middle, off = rows[keep], middle[keep], off[keep]
-        return rows
+            for b, (low, high) in enumerate(bands):
+                if floors[b] == low:  # no list yet: the k-th of the scores that are sure
+                    sure = lo[(lo >= low) & (hi <= high) & (some if whole else True)]
+                    if len(sure) >= k:
+                        floors[b] = max(low, float(np.partition(sure, len(sure) - k)[len(sure) - k]))
+            keep = (hi >= min(floors)) & (lo <= most)
+            if whole:
+                keep &= some
+                pick, whole = np.flatnonzero(keep), False
+                middle, off = middle[pick], off[pick]
+            else:
+                pick, middle, off = pick[keep], middle[keep], off[keep]
+            if not pick.size:
+                break
+        return pick if not isinstance(pick, slice) else here
 
     def found(self) -> pa.RecordBatch:
         return self.held.batch()
