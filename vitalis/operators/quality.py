@@ -8,7 +8,7 @@ a third of all rows costs nothing extra at the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.functions.scalar import ts_to_epoch
@@ -111,19 +111,19 @@ _ISSUES = [
 ]
 
 
-def quality_report(readings: DataFrame) -> DataFrame:
-    """V9: total rows and the list of non-zero issue strings, one scan.
-
-    Scalar rules apply to rows of that sensor; the blood-pressure rules apply
-    to every row that has the column filled.  NULL measures are no issue.
-    """
-    counts = []
+def quality_counts() -> list[Column]:
+    """The report's aggregates: rows, and bad measures of each rule (``n_<param>``)."""
+    counts = [F.count(F.lit(1)).alias("total_records")]
     for sensor, column, param, _ in _ISSUES:
         bad = ~in_range(param, column)
         if sensor is not None:
             bad = (F.col("sensor_type") == sensor) & bad
         counts.append(F.count_if(bad).alias(f"n_{param}"))
-    agg = readings.agg(F.count(F.lit(1)).alias("total_records"), *counts)
+    return counts
+
+
+def report_of(counts: DataFrame) -> DataFrame:
+    """total_records and the list of non-zero issue strings, from a row of :func:`quality_counts`."""
     issues = F.filter(
         F.array(
             *[
@@ -133,7 +133,16 @@ def quality_report(readings: DataFrame) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     )
-    return agg.select("total_records", issues.alias("issues"))
+    return counts.select("total_records", issues.alias("issues"))
+
+
+def quality_report(readings: DataFrame) -> DataFrame:
+    """V9: total rows and the list of non-zero issue strings, one scan.
+
+    Scalar rules apply to rows of that sensor; the blood-pressure rules apply
+    to every row that has the column filled.  NULL measures are no issue.
+    """
+    return report_of(readings.agg(*quality_counts()))
 
 
 def _alerts(long: DataFrame, params: list[str]) -> DataFrame:

@@ -10,7 +10,10 @@ rows of b up to t (a running aggregate of b) and the rows of b-1 after t - W
 them row by row, and nothing is subtracted, which keeps NaN and infinite
 values right.  The second is brought to t by shifting the rows of b-1 by W
 into b, in one sorted pass.  Work is split by (key, bucket): neither a key nor
-the table goes to one task, only the distinct times of a key within W.  Rows
+the table goes to one task, only the distinct times of a key within W.  The
+global window goes further: W is cut into panes, each a task of its own, whose
+totals make a table of one row per pane that a second pass scans in the same way,
+so a frame is the end of one pane, the panes between and the start of its own.  Rows
 are first reduced to one per (key, time) (W5: per time, patient and sensor)
 with partial aggregates, so copies of one reading collapse map-side; the
 result is joined back to the rows null-safely, so rows with NULL keys stay.
@@ -112,25 +115,35 @@ def tumbling_bp(readings: DataFrame, size: str = "5 seconds", ts: str = "ts", di
 # --------------------------------------------------------------------------
 
 
-def _sliding(per_time: DataFrame, keys: list[str], window_us: int, closed: bool, states: dict) -> DataFrame:
+def _sliding(per_time: DataFrame, keys: list[str], window_us: int, closed: bool, states: dict, panes: int = 1) -> DataFrame:
     """State of the trailing frame at each row of ``per_time`` (key columns, ``_us`` and the states' inputs).
 
     ``states``: name -> (aggregate of a column, combination of the states of two disjoint row sets,
-    either of which may be NULL).  Returns keys, ``_us`` and the states; rows of one time are peers.
+    either of which may be NULL, and optionally a function of the aggregate).  Returns keys, ``_us``, the pane
+    ``_part`` and the states; rows of one time are peers.  With several ``panes`` (a divisor of ``window_us``)
+    the states are without the panes that lie wholly inside the frame.
     """
-    b = per_time.withColumn("_b", F.expr(f"(_us - pmod(_us, {window_us})) div {window_us}"))
+    width = window_us // panes
+    b = per_time.withColumn("_b", _pane("_us", width))
     grow = Window.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
     shrink = Window.partitionBy(*keys, "_b").orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
-    upto = F.struct(*[agg.over(grow).alias(n) for n, (agg, _) in states.items()])
-    since = F.struct(*[agg.over(shrink).alias(n) for n, (agg, _) in states.items()])
-    both = b.select(*keys, "_us", "_b", upto.alias("_upto"), since.alias("_since"))
+
+    def over(w) -> Column:
+        return F.struct(*[(s[2](s[0].over(w)) if len(s) > 2 else s[0].over(w)).alias(n) for n, s in states.items()])
+
+    both = b.select(*keys, "_us", "_b", over(grow).alias("_upto"), over(shrink).alias("_since"))
     own = both.select(*keys, F.col("_b").alias("_part"), F.col("_us").alias("_pos"), F.lit(0).alias("_kind"), "_upto", F.lit(None).cast(both.schema["_since"].dataType).alias("_since"))
-    before = both.select(*keys, (F.col("_b") + 1).alias("_part"), (F.col("_us") + window_us).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(both.schema["_upto"].dataType).alias("_upto"), "_since")
+    before = both.select(*keys, (F.col("_b") + panes).alias("_part"), (F.col("_us") + window_us).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(both.schema["_upto"].dataType).alias("_upto"), "_since")
     # from the latest place down: the last shifted row seen is the first one inside the frame
     tie = F.desc("_kind") if closed else F.asc("_kind")
     down = Window.partitionBy(*keys, "_part").orderBy(F.desc("_pos"), tie).rowsBetween(Window.unboundedPreceding, 0)
     met = own.union(before).withColumn("_old", F.last("_since", ignorenulls=True).over(down)).filter("_kind = 0")
-    return met.select(*keys, F.col("_pos").alias("_us"), *[join(F.col(f"_old.{n}"), F.col(f"_upto.{n}")).alias(n) for n, (_, join) in states.items()])
+    return met.select(*keys, F.col("_pos").alias("_us"), "_part", *[s[1](F.col(f"_old.{n}"), F.col(f"_upto.{n}")).alias(n) for n, s in states.items()])
+
+
+def _pane(us: str, width: int) -> Column:
+    """Number of the pane of ``width`` that a time lies in (times before the epoch, too)."""
+    return F.expr(f"({us} - pmod({us}, {width})) div {width}")
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -241,11 +254,20 @@ def _snapshot_finish(digits: int | None = None) -> list[Column]:
     return out
 
 
+def _either(a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.array_union(a, b))
+
+
+#: Panes that the global window is cut into, at most (the largest divisor of its length up to here).
+PANES = 16
+
+
 def global_trailing(
     readings: DataFrame,
     window_us: int = 30 * US_PER_SECOND,
     ts: str = "ts",
     digits: int | None = None,
+    panes: int = PANES,
 ) -> DataFrame:
     """Snapshot of the global trailing window ``[t - W, t]`` at every row.
 
@@ -254,40 +276,57 @@ def global_trailing(
 
     Rows are first reduced to one per (time, patient, sensor) with plain
     partial aggregates (count, exact sum, min, max), so copies collapse
-    map-side.  The frames' states run over those rows, split by time bucket
-    (never one global partition), and each time's snapshot is made once and
-    joined back to the rows of that time.
+    map-side.  The window is cut into ``panes`` and each pane is a task of its
+    own: its running states hold that pane's patients only.  One row per pane holds its
+    total, with the patients once; a second pass slides over these rows.  A snapshot is the
+    end of the pane W ago, the panes between and the start of its own pane.  Each time's snapshot
+    is made once and joined back to the rows of that time.
     """
-    rows = readings.withColumn("_us", ts_micros(ts)).filter(F.col("_us").isNotNull()).withColumn(
-        "_p", F.coalesce(F.col("patient_id"), F.lit("unknown"))
-    ).withColumn("_s", F.coalesce(F.col("sensor_type"), F.lit("unknown")))
-    aggs = [F.count(F.lit(1)).alias("_c")]
-    states: dict = {
-        "_first": (F.min("_us"), F.least),
-        "_c": (F.sum("_c"), _plus),
-        "_patients": (F.collect_set("_p"), _either),
-        "_sensors": (F.collect_set("_s"), _either),
-    }
+    panes = max(k for k in range(1, max(1, panes) + 1) if window_us % k == 0)
+    rows = readings.withColumn("_us", ts_micros(ts)).filter(F.col("_us").isNotNull())
+    per_time = rows.withColumns({"_p": F.coalesce("patient_id", F.lit("unknown")), "_s": F.coalesce("sensor_type", F.lit("unknown"))}).groupBy("_us", F.col("_p"), F.col("_s"))
+    per_key = per_time.agg(F.min("_us").alias("_first"), *_frame_parts(digits))
+    states = {n: (agg(n), join) for n, (agg, join) in _frame_states().items()}
+    lists = {"_patients": (F.collect_set("_p"), _either), "_sensors": (F.collect_set("_s"), _either)}
+    edges = _sliding(per_key, [], window_us, True, states | lists, panes).dropDuplicates(["_part", "_us"])  # peers share one result
+    names = [*states, *lists]
+    if panes > 1:
+        totals = per_key.groupBy(_pane("_us", window_us // panes).alias("_b")).agg(*[a.alias(n) for n, (a, *_) in (states | lists).items()])
+        # a pane's total counts from the next pane on; its own place asks for the panes before
+        asks = totals.select(F.col("_b").alias("_us"), *[F.lit(None).cast(totals.schema[n].dataType).alias(n) for n in names])
+        gives = totals.select((F.col("_b") + 1).alias("_us"), *names)
+        union = {n: (F.collect_list(n), _either, lambda c: F.array_distinct(F.flatten(c))) for n in lists}
+        between = _sliding(asks.union(gives), [], panes - 1, False, states | union).dropDuplicates(["_us"])
+        inner = between.select(F.col("_us").alias("_part"), *[F.col(n).alias(f"{n}_between") for n in names])
+        joins = {n: s[1] for n, s in (states | lists).items()}
+        edges = edges.join(inner, "_part").select("_us", *[joins[n](F.col(n), F.col(f"{n}_between")).alias(n) for n in names])
+    duration = ((F.col("_us") - F.col("_first")) / F.lit(float(US_PER_SECOND))).alias("window_duration")
+    finished = edges.select("_us", duration, F.col("_c").alias("count"), *[n for n in names if n not in ("_first", "_c")]).select("_us", "window_duration", *_snapshot_finish(digits))
+    return rows.select("event_id", ts, "_us").join(finished, "_us").drop("_us")
+
+
+def _frame_parts(digits: int | None) -> list[Column]:
+    """Count, and per scalar sensor count, sum, sum of odd values, min and max (hidden columns)."""
+    out = [F.count(F.lit(1)).alias("_c")]
     for sensor in SCALAR_SENSORS:
         v = F.when(F.col("sensor_type") == sensor, F.coalesce(F.col("value"), F.lit(0.0)))
-        aggs += [
+        out += [
             F.count(v).alias(f"_n_{sensor}"),
             (fixed_avg_sum(v, digits) if digits is not None else F.sum(v)).alias(f"_s_{sensor}"),
             (odd_sum(v) if digits is not None else F.max(F.lit(None).cast("double"))).alias(f"_o_{sensor}"),
             F.min(v).alias(f"_mn_{sensor}"),
             F.max(v).alias(f"_mx_{sensor}"),
         ]
-        states |= {f"_{x}_{sensor}": (F.sum(f"_{x}_{sensor}"), _plus) for x in ("n", "s", "o")}
-        states |= {f"_mn_{sensor}": (F.min(f"_mn_{sensor}"), F.least), f"_mx_{sensor}": (F.max(f"_mx_{sensor}"), F.greatest)}
-    per_key = rows.groupBy("_us", "_p", "_s").agg(*aggs)
-    stats = _sliding(per_key, [], window_us, True, states).dropDuplicates(["_us"])  # peers share one result
-    snapshot = stats.select("_us", ((F.col("_us") - F.col("_first")) / F.lit(float(US_PER_SECOND))).alias("window_duration"), F.col("_c").alias("count"), *[c for c in stats.columns if c not in ("_us", "_first", "_c")])
-    finished = snapshot.select("_us", "window_duration", *_snapshot_finish(digits))
-    return rows.select("event_id", ts, "_us").join(finished, "_us").drop("_us")
+    return out
 
 
-def _either(a: Column, b: Column) -> Column:
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.array_union(a, b))
+def _frame_states() -> dict:
+    """How the parts of disjoint row sets add up: name -> (aggregate, combination of two)."""
+    out = {"_first": (F.min, F.least), "_c": (F.sum, _plus)}
+    for sensor in SCALAR_SENSORS:
+        out |= {f"_{x}_{sensor}": (F.sum, _plus) for x in ("n", "s", "o")}
+        out |= {f"_mn_{sensor}": (F.min, F.least), f"_mx_{sensor}": (F.max, F.greatest)}
+    return out
 
 
 def window_rows(readings: DataFrame, window_us: int = 30 * US_PER_SECOND, ts: str = "ts") -> DataFrame:

@@ -477,3 +477,39 @@ for _name in ("trailing", "trailing_current"):
     for _key in ("patient_id", "sensor_type"):
         _body = _body.replace(f"s.{_key} = l.{_key}", f"s.{_key} IS NOT DISTINCT FROM l.{_key}")
     ORACLE[f"{_name}_dirty"] = BASE_DIRTY + _body
+ORACLE["stream_trailing_dirty"] = ORACLE["trailing_dirty"]
+ORACLE["state_current"] = ORACLE["trailing_current"]
+ORACLE["stream_global_trailing"] = f"""SELECT DISTINCT * EXCLUDE (event_id) FROM ({ORACLE["global_trailing"]})
+WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
+ORACLE["stream_kpis"] = f"""{BASE}
+SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, COUNT(*) AS total_readings,
+       COUNT(DISTINCT COALESCE(patient_id, 'unknown')) AS patients, CAST(COUNT(DISTINCT COALESCE(sensor_type, 'unknown')) AS INTEGER) AS sensor_types, MAX(ts) AS latest
+FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS ws FROM readings) GROUP BY ws
+HAVING ws + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM readings) - INTERVAL 1 HOUR"""
+ORACLE["stream_progress"] = "SELECT CAST(4 AS BIGINT) AS batches, COUNT(*) AS input_rows FROM events"
+ORACLE["corrupt_rows"] = f"""{BASE}
+SELECT 'good' AS kind, concat_ws('|', event_id, patient_id, sensor_type, value) AS line FROM readings WHERE event_id % 13 <> 0
+UNION ALL SELECT 'bad', '{{cut ' || CAST(event_id AS VARCHAR) FROM readings WHERE event_id % 13 = 0"""
+ORACLE["dataset_tickets"] = f"""{BASE}
+SELECT sensor_type, CAST(COUNT(*) * puts AS BIGINT) AS rows, CAST(COUNT(*) * puts AS BIGINT) AS records, t.ticket
+FROM readings JOIN (VALUES ('pulse', 'Run-1', 2), ('temperature', 'run-1', 1), ('spo2', 'run_x2d_1', 1), ('blood_pressure', 'r/ü 1', 1)) t(sensor, ticket, puts)
+  ON sensor_type = t.sensor GROUP BY sensor_type, t.ticket, puts"""
+ORACLE["retention_sink"] = f"""{BASE}
+SELECT {ALL_COLS} FROM readings WHERE CAST(ts AS DATE) >= (SELECT CAST(MAX(ts) AS DATE) FROM readings) - 1"""
+_report, _columns = _quality()[len(BASE):].rsplit("SELECT total_records", 1)
+ORACLE["analysis_observed"] = f"""{BASE_DIRTY}{_report.replace("FROM readings)", "FROM dirty_readings)")},
+cleaned AS (SELECT COUNT(*) AS cleaned_records FROM ({ORACLE["clean_required"][len(BASE_DIRTY):]}))
+SELECT total_records{_columns.replace(" FROM c", ", cleaned_records FROM c, cleaned")}"""
+ORACLE["dedup_history"] = ORACLE["clean_required"]
+ORACLE["rounded_values"] = f"""{BASE}
+SELECT event_id, CAST(ROUND(CAST(CAST(value AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DOUBLE) AS value FROM readings WHERE sensor_type <> 'blood_pressure'"""
+ORACLE["jsonl_blank_lines"] = f"""{BASE}
+SELECT event_id, patient_id, sensor_type, value FROM readings"""
+ORACLE["tagged_lines"] = f"""{BASE}
+SELECT 'RAW' AS kind, patient_id, sensor_type, value, CAST({_scalar_valid()} AS VARCHAR) AS is_valid,
+       CAST(NULL AS DOUBLE) AS count, CAST(NULL AS DOUBLE) AS avg, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max
+FROM readings WHERE sensor_type <> 'blood_pressure'
+UNION ALL
+SELECT 'AGG', patient_id, sensor_type, CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(COUNT(*) AS DOUBLE), {_avg('value')}, MIN(value), MAX(value)
+FROM readings WHERE sensor_type <> 'blood_pressure' GROUP BY patient_id, sensor_type, time_bucket(INTERVAL 1 DAY, ts)"""
+ORACLE["batch_files"] = "SELECT COUNT(*) AS rows, TRUE AS within, TRUE AS enough_files FROM events"

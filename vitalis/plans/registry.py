@@ -17,8 +17,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vitalis.functions.scalar import composite_key, epoch_to_ts, iso_text, split_key, ts_to_epoch, ts_to_epoch_float, with_default
+from vitalis.functions.scalar import composite_key, epoch_to_ts, iso_text, round_to, split_key, ts_to_epoch, ts_to_epoch_float, with_default
 from vitalis.functions.validation import register_sql_functions
 from vitalis.operators import aggregate as A
 from vitalis.operators import clean as C
@@ -26,15 +27,17 @@ from vitalis.operators import quality as Q
 from vitalis.operators import report as O
 from vitalis.operators import shards as X
 from vitalis.operators import windows as W
-from vitalis.plans.analysis import run_analysis
+from vitalis.operators.history import History
+from vitalis.plans.analysis import run_analysis, run_observed
 from vitalis.schema import READING_JSON_SCHEMA, TRANSPORT_SCHEMA
 from vitalis.session import prepare, scratch_path
 from vitalis.sources import catalog
-from vitalis.sources.files import load_preferred, read_jsonl, read_jsonl_or_empty, read_parquet, split_corrupt
-from vitalis.sources.readings import READING_COLUMNS, dirty_readings, readings
+from vitalis.sources.files import CORRUPT_COLUMN, load_preferred, read_jsonl, read_jsonl_or_empty, read_parquet, split_corrupt
+from vitalis.sources.readings import READING_COLUMNS, dirty_readings, dirty_readings_from, readings
 from vitalis.sources.sinks import (
     decode_messages,
     encode_messages,
+    expire,
     hand_off,
     retain,
     tagged_output,
@@ -42,9 +45,12 @@ from vitalis.sources.sinks import (
     write_jsonl,
     write_parquet,
     write_report,
+    write_retained,
 )
 from vitalis.streaming import stream as S
-from vitalis.streaming.state import trailing_stream_exact
+from vitalis.streaming.progress import progress_to
+from vitalis.streaming.snapshots import global_trailing_stream
+from vitalis.streaming.state import current_from_state, trailing_stream_exact
 
 # Registry parameters (see module docstring).
 DIGITS = 6
@@ -58,6 +64,8 @@ STREAM_DELAY = "1 hour"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MESSAGE = T.StructType().add("event_id", "long").add("patient_id", "string").add("sensor_type", "string").add("value", "double")
+
 
 def _r(spark: SparkSession, sf_dir: str, sensors=None, exclude=None) -> DataFrame:
     return readings(spark, sf_dir, sensors=sensors, exclude=exclude)
@@ -385,6 +393,45 @@ def q_stream_trailing_exact(spark, sf_dir):
     return S.run_to_table(exact, "trailing-exact")
 
 
+def q_stream_trailing_dirty(spark, sf_dir):
+    """W8 over rows with NULL keys and values, and copies."""
+    dirty = dirty_readings_from(S.readings_stream(spark, sf_dir))
+    return S.run_to_table(trailing_stream_exact(dirty, TRAILING_US, STREAM_DELAY, DIGITS), "trailing-dirty")
+
+
+def q_stream_global_trailing(spark, sf_dir):
+    """W5 on a stream: the snapshot at every instant of closed time."""
+    snapshots = global_trailing_stream(S.readings_stream(spark, sf_dir), GLOBAL_US, STREAM_DELAY, DIGITS)
+    return W.flatten_snapshot(S.run_to_table(snapshots, "global-trailing"))
+
+
+def q_stream_kpis(spark, sf_dir):
+    """A9 on a stream: exact counts per day."""
+    return S.run_to_table(S.kpis_stream(S.readings_stream(spark, sf_dir), DAY, STREAM_DELAY), "kpis")
+
+
+def q_state_current(spark, sf_dir):
+    """W4 answered from the state of a stream, by the reader of state stores."""
+    base = scratch_path(spark, "stream-current")
+    S.run_to_table(trailing_stream_exact(S.readings_stream(spark, sf_dir), TRAILING_US, STREAM_DELAY, DIGITS, keep_current=True), "current", base=base)
+    return current_from_state(spark, f"{base}/_checkpoint", TRAILING_US, DIGITS)
+
+
+def q_stream_progress(spark, sf_dir):
+    """What the batches of a stream reported while it ran."""
+    parts = scratch_path(spark, "progress-src")
+    spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").repartition(4).write.parquet(parts)
+    stream = S.readings_stream(spark, parts, glob="*.parquet", max_files_per_trigger=1)
+    base = scratch_path(spark, "progress")
+    with progress_to(spark, f"{base}/reports") as reports:
+        query = S.start_to_parquet(stream, f"{base}/out", f"{base}/_checkpoint")
+        query.awaitTermination()
+        if not reports.wait(str(query.runId)):
+            raise TimeoutError("the stream's last report has not come")
+    own = reports.table().filter((F.col("run_id") == str(query.runId)) & (F.col("input_rows") > 0))
+    return own.agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
+
+
 def q_stream_hop(spark, sf_dir):
     hop = S.hop_stream(S.readings_stream(spark, sf_dir), "6 days", DAY, STREAM_DELAY, DIGITS)
     return S.run_to_table(hop, "hop")
@@ -445,6 +492,89 @@ def q_corrupt_split(spark, sf_dir):
     return good.select(F.lit("good").alias("kind")).union(bad.select(F.lit("bad"))).groupBy("kind").agg(F.count(F.lit(1)).alias("count"))
 
 
+def q_corrupt_rows(spark, sf_dir):
+    """The good rows and the raw bad lines themselves."""
+    path = scratch_path(spark, "corrupt")
+    lines = encode_messages(_r(spark, sf_dir).select("event_id", "patient_id", "sensor_type", "value"))
+    event = F.get_json_object("value", "$.event_id").cast("long")
+    lines.select(F.when(event % 13 == 0, F.concat(F.lit("{cut "), event.cast("string"))).otherwise(F.col("value"))).write.text(path)
+    good, bad = split_corrupt(read_jsonl(spark, path, MESSAGE, mode="PERMISSIVE"))
+    fields = ("event_id", "patient_id", "sensor_type", "value")
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in fields])
+    return good.select(F.lit("good").alias("kind"), text.alias("line")).union(bad.select(F.lit("bad").alias("kind"), F.col(CORRUPT_COLUMN).alias("line")))
+
+
+def q_dataset_tickets(spark, sf_dir):
+    """Tickets that differ in case or in odd characters only are different data sets."""
+    run = uuid.uuid4().hex[:12]
+    tickets = {"pulse": f"{run} Run-1", "temperature": f"{run} run-1", "spo2": f"{run} run_x2d_1", "blood_pressure": f"{run} r/ü 1"}
+    for sensor, ticket in tickets.items():
+        catalog.put(_r(spark, sf_dir, sensors=(sensor,)), ticket)
+    catalog.put(_r(spark, sf_dir, sensors=("pulse",)), tickets["pulse"])  # a second put appends
+    listed = catalog.list_datasets(spark).filter(F.startswith("ticket", F.lit(run)))
+    got = None
+    for ticket in tickets.values():
+        one = catalog.get(spark, ticket).groupBy("sensor_type").agg(F.count(F.lit(1)).alias("rows")).withColumn("ticket", F.lit(ticket))
+        got = one if got is None else got.unionByName(one)
+    return got.join(listed, "ticket").select("sensor_type", "rows", "records", F.substring("ticket", 14, 9).alias("ticket"))
+
+
+def q_retention_sink(spark, sf_dir):
+    """Date folders written, the expired ones removed, what the store still holds."""
+    path = scratch_path(spark, "retained")
+    r = _r(spark, sf_dir)
+    write_retained(r, path)
+    expire(spark, path, 24)
+    return spark.read.schema(r.schema).parquet(path).select(*READING_COLUMNS)
+
+
+def q_analysis_observed(spark, sf_dir):
+    """V9, D3 and S7 in one pass."""
+    report = run_observed(spark, _d(spark, sf_dir))["report"]
+    return report.select("total_records", F.array_join("issues", "; ").alias("issues"), "cleaned_records")
+
+
+def q_dedup_history(spark, sf_dir):
+    """D1 across all history: copies that come in other batches are found in a bucketed table of keys."""
+    path = scratch_path(spark, "history")
+    C.drop_missing_required(_d(spark, sf_dir)).withColumn("_part", F.floor(F.rand(7) * 4).cast("int")).write.partitionBy("_part").parquet(f"{path}/in")
+    history = History(spark, f"vitalis_history_{uuid.uuid4().hex[:12]}", path, buckets=8)
+    incoming = spark.read.schema(_d(spark, sf_dir).schema.add("_part", T.IntegerType())).parquet(f"{path}/in")
+    for part in range(4):
+        history.add(incoming.filter(F.col("_part") == part).drop("_part"), part)
+    return history.rows().select(*READING_COLUMNS)
+
+
+def q_rounded_values(spark, sf_dir):
+    """Values rounded half up to one decimal."""
+    return _r(spark, sf_dir, **SCALAR).select("event_id", round_to("value", 1).alias("value"))
+
+
+def q_jsonl_blank_lines(spark, sf_dir):
+    """F8: blank lines and lines of spaces between the records are no records."""
+    path = scratch_path(spark, "blank-lines")
+    lines = encode_messages(_r(spark, sf_dir).select("event_id", "patient_id", "sensor_type", "value"))
+    lines.select(F.explode(F.array(F.lit(""), F.col("value"), F.lit("   "))).alias("value")).write.text(path)
+    return read_jsonl(spark, path, MESSAGE).select("event_id", "patient_id", "sensor_type", "value")
+
+
+def q_tagged_lines(spark, sf_dir):
+    """The tagged lines read back, every field of them."""
+    r = _r(spark, sf_dir)
+    path = scratch_path(spark, "tagged")
+    tagged_output(Q.validated_readings(W.scalar_readings(r)), W.tumbling(r, DAY, digits=DIGITS)).select("line").write.text(path)
+    fields = "patient_id string, sensor_type string, value double, is_valid string, count double, avg double, min double, max double"
+    json = F.from_json(F.substring("value", 7, 1 << 20), fields)
+    return spark.read.text(path).select(F.substring("value", 2, 3).alias("kind"), json.alias("j")).select("kind", "j.*")
+
+
+def q_batch_files(spark, sf_dir):
+    """How many rows the files hold, and whether none has more than a batch."""
+    path = write_batched(_r(spark, sf_dir), scratch_path(spark, "batches"), 1000)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 1000).alias("within"), (F.count(F.lit(1)) >= F.ceil(F.sum("n") / 1000)).alias("enough_files"))
+
+
 def q_dataset_list(spark, sf_dir):
     ticket = f"vitalis-ds-{uuid.uuid4().hex[:12]}"
     catalog.put(_r(spark, sf_dir), ticket, {"note": "the events' readings"})
@@ -474,6 +604,20 @@ def q_record_texts(spark, sf_dir):
 NO_SQL: set[str] = set()
 
 QUERIES: dict[str, Query] = {
+    "stream_trailing_dirty": q_stream_trailing_dirty,
+    "stream_global_trailing": q_stream_global_trailing,
+    "stream_kpis": q_stream_kpis,
+    "state_current": q_state_current,
+    "stream_progress": q_stream_progress,
+    "corrupt_rows": q_corrupt_rows,
+    "dataset_tickets": q_dataset_tickets,
+    "retention_sink": q_retention_sink,
+    "analysis_observed": q_analysis_observed,
+    "dedup_history": q_dedup_history,
+    "rounded_values": q_rounded_values,
+    "jsonl_blank_lines": q_jsonl_blank_lines,
+    "tagged_lines": q_tagged_lines,
+    "batch_files": q_batch_files,
     "jsonl_reference": q_jsonl_reference,
     "jsonl_or_empty": q_jsonl_or_empty,
     "source_preference": q_source_preference,

@@ -1,82 +1,99 @@
-"""Named data sets (S13-S15): the ticketed byte store re-aimed at tables.
-
-A ticket is a table name in the session catalog.  Data lives as Parquet under
-the shared folder (``spark.checkpoint.dir``), so every executor can read it;
-``put`` appends, ``get`` fails when the ticket is unknown.
+"""Named data sets (S13-S15): the ticketed byte store re-aimed at committed folders.
+
+A data set lives under the shared folder (``spark.checkpoint.dir``), in a folder
+named by a hash of its ticket, so any two tickets are apart.  Every ``put`` writes its rows to
+a folder of its own and then publishes one commit record (ticket, rows, bytes, folder, schema,
+metadata) by an atomic rename.  Rows without a commit record, as of a put that
+failed, belong to nothing.  ``get`` reads the committed folders; ``list_datasets`` sums the commit
+records with Spark and opens no data file.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalis.session import shared_dir
+from vitalis.sources import store
 
-
-#: Table property that marks a data set put here, and holds its ticket.
-OWN = "vitalis.dataset"
+_RECORD = "ticket string, put string, records long, bytes long, schema string, metadata map<string,string>"
 
 
-def _name(ticket: str) -> str:
-    """Table name of a ticket; characters that table names can't have are spelt as their code."""
-    return re.sub(r"[^A-Za-z0-9_]", lambda m: f"_x{ord(m[0]):x}_", ticket).lower()
+def _root(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "vitalis", "named")
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _home(spark: SparkSession, ticket: str) -> str:
+    return os.path.join(_root(spark), hashlib.sha256(ticket.encode()).hexdigest())
 
 
-def _location(spark: SparkSession, ticket: str) -> str:
-    return os.path.join(shared_dir(spark), "vitalis", "datasets", _name(ticket))
+def _commits(spark: SparkSession, ticket: str) -> list:
+    """Commit records of a ticket, one per put."""
+    home = _home(spark, ticket)
+    if not any(n.endswith(".json") for n in store.names(spark, f"{home}/commits")):
+        return []
+    found = spark.read.schema(_RECORD).json(f"{home}/commits").select("*", F.col("_metadata.file_modification_time").alias("at"))
+    return found.filter(F.col("ticket") == ticket).orderBy("at", "put").collect()
 
 
 def put(df: DataFrame, ticket: str, metadata: dict[str, str] | None = None) -> str:
-    """Append rows under ``ticket`` (created on first use)."""
+    """Append rows under ``ticket`` (created on first use); all of them or, if the write fails, none.
+
+    A later put must have the columns of the first: ``ValueError`` otherwise.
+    """
     spark = df.sparkSession
-    props = {**(metadata or {}), OWN: ticket}
-    text = ", ".join(f"{_literal(k)} = {_literal(str(v))}" for k, v in props.items())
-    writer = df.write.mode("append").format("parquet").option("path", _location(spark, ticket))
-    writer.saveAsTable(_name(ticket))
-    spark.sql(f"ALTER TABLE {_name(ticket)} SET TBLPROPERTIES ({text})")
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+    known = _commits(spark, ticket)
+    if known and T.StructType.fromJson(json.loads(known[0]["schema"])) != schema:
+        raise ValueError(f"data set {ticket!r} has other columns: {known[0]['schema']}")
+    home, name = _home(spark, ticket), uuid.uuid4().hex
+    folder = f"{home}/data/{name}"
+    df.write.parquet(folder)
+    record = {
+        "ticket": ticket,
+        "put": name,
+        "records": spark.read.schema(schema).parquet(folder).count(),  # from the files' footers
+        "bytes": store.folder_bytes(spark, folder),
+        "schema": schema.json(),
+        "metadata": {str(k): str(v) for k, v in (metadata or {}).items()},
+    }
+    store.publish_text(spark, f"{home}/commits/{name}.json", json.dumps(record) + "\n")
     return ticket
 
 
 def get(spark: SparkSession, ticket: str) -> DataFrame:
     """Rows of ``ticket``; ``KeyError`` when absent."""
-    if not spark.catalog.tableExists(_name(ticket)):
+    known = _commits(spark, ticket)
+    if not known:
         raise KeyError(f"data set not found: {ticket}")
-    spark.catalog.refreshTable(_name(ticket))
-    return spark.table(_name(ticket))
+    schema = T.StructType.fromJson(json.loads(known[0]["schema"]))
+    return spark.read.schema(schema).parquet(*[f"{_home(spark, ticket)}/data/{r['put']}" for r in known])
 
 
-def list_datasets(spark: SparkSession) -> DataFrame:
-    """The known tickets with their row counts and stored bytes.
+def metadata(spark: SparkSession, ticket: str) -> dict[str, str]:
+    """What the puts said about the data set; later ones win."""
+    out: dict[str, str] = {}
+    for r in _commits(spark, ticket):
+        out |= r["metadata"] or {}
+    return out
 
-    Sizes come from the files' metadata columns (``_metadata.file_size``),
-    computed by Spark, one aggregate per table.
-    """
-    tables = [t.name for t in spark.catalog.listTables() if not t.isTemporary and t.tableType != "VIEW"]
-    marks = [(n, spark.sql(f"SHOW TBLPROPERTIES {n}").filter(F.col("key") == OWN).first()) for n in tables]
-    rows = None
-    for name, mark in marks:
-        if mark is None:
-            continue
-        t = spark.table(name)
-        info = t.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-        one = (
-            info.groupBy("f")
-            .agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
-            .agg(F.sum("n").alias("records"), F.sum("s").alias("total_bytes"))
-            .select(F.lit(mark["value"]).alias("ticket"), "records", "total_bytes")
-        )
-        rows = one if rows is None else rows.unionByName(one)
-    if rows is None:
+
+def list_datasets(spark: SparkSession) -> DataFrame:
+    """The known tickets with their row counts and stored bytes, from the commit records alone."""
+    if not any(store.exists(spark, f"{_root(spark)}/{n}/commits") for n in store.names(spark, _root(spark))):
         return spark.createDataFrame([], "ticket string, records bigint, total_bytes bigint")
-    return rows
+    found = spark.read.schema(_RECORD).json(f"{_root(spark)}/*/commits")
+    return found.groupBy("ticket").agg(F.sum("records").alias("records"), F.sum("bytes").alias("total_bytes"))
 
 
 def drop(spark: SparkSession, ticket: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_name(ticket)}")
+    """Forget a data set: its commit records first, then its rows."""
+    home = _home(spark, ticket)
+    store.delete(spark, f"{home}/commits")
+    store.delete(spark, home)

@@ -6,11 +6,14 @@ driver except bounded results handed to Arrow on purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.schema import JSON_TIMESTAMP_FORMAT
+from vitalis.sources import store
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
@@ -100,6 +103,31 @@ def write_retained(df: DataFrame, path: str, ts: str = "ts", mode: str = "append
     return path
 
 
+def expire(spark: SparkSession, path: str, hours: int = 24, as_of: datetime | None = None) -> list[str]:
+    """Remove the ``date=`` folders of a retained store whose rows are all older than ``hours``.
+
+    Only folder names are read.  ``as_of``: the time to count from; by default the start of the newest
+    day that has a folder, so that no row within ``hours`` of the newest one can go.  Folders
+    that hold a younger time stay whole (:func:`retain` trims them on reading).  A running append is
+    safe: it writes to hidden folders until it commits, and a day that is expired takes no rows within the
+    limit.  Returns the names of the removed folders; a second call removes nothing.
+    """
+    days = {}
+    for name in store.names(spark, path):
+        if name.startswith("date="):
+            try:
+                days[name] = datetime.strptime(name[5:], "%Y-%m-%d")
+            except ValueError:
+                continue  # rows without a time (date=__HIVE_DEFAULT_PARTITION__) have no age
+    if not days:
+        return []
+    limit = (as_of or max(days.values())) - timedelta(hours=hours)
+    gone = [n for n, day in days.items() if day + timedelta(days=1) <= limit]
+    for name in gone:
+        store.delete(spark, f"{path.rstrip('/')}/{name}")
+    return gone
+
+
 def retain(df: DataFrame, hours: int = 24, ts: str = "ts") -> DataFrame:
     """S12 batch side: rows newer than ``newest - hours``.  The newest time is
     one scalar, so the bound is a literal filter pushed into the scan."""
