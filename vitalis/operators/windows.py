@@ -119,8 +119,8 @@ def _sliding(per_time: DataFrame, keys: list[str], window_us: int, closed: bool,
     """State of the trailing frame at each row of ``per_time`` (key columns, ``_us`` and the states' inputs).
 
     ``states``: name -> (aggregate of a column, combination of the states of two disjoint row sets,
-    either of which may be NULL, and optionally a function of the aggregate).  Returns keys, ``_us``, the pane
-    ``_part`` and the states; rows of one time are peers.  With several ``panes`` (a divisor of ``window_us``)
+    either of which may be NULL, and optionally a function of the aggregate).  Returns a row per key and time:
+    keys, ``_us``, the pane ``_part`` and the states; rows of one time are peers.  With several ``panes`` (a divisor of ``window_us``)
     the states are without the panes that lie wholly inside the frame.
     """
     width = window_us // panes
@@ -131,13 +131,15 @@ def _sliding(per_time: DataFrame, keys: list[str], window_us: int, closed: bool,
     def over(w) -> Column:
         return F.struct(*[(s[2](s[0].over(w)) if len(s) > 2 else s[0].over(w)).alias(n) for n, s in states.items()])
 
-    both = b.select(*keys, "_us", "_b", over(grow).alias("_upto"), over(shrink).alias("_since"))
-    own = both.select(*keys, F.col("_b").alias("_part"), F.col("_us").alias("_pos"), F.lit(0).alias("_kind"), "_upto", F.lit(None).cast(both.schema["_since"].dataType).alias("_since"))
-    before = both.select(*keys, (F.col("_b") + panes).alias("_part"), (F.col("_us") + window_us).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(both.schema["_upto"].dataType).alias("_upto"), "_since")
+    both = b.select(*keys, "_us", "_b", over(grow).alias("_upto"), over(shrink).alias("_since"), F.count(F.lit(1)).over(grow).alias("_n"), F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_us")).alias("_i"))
+    both = both.filter("_n = _i")  # the last row of each time
+    own = F.struct(F.col("_b").alias("_part"), F.col("_us").alias("_pos"), F.lit(0).alias("_kind"), F.col("_upto"), F.lit(None).cast(both.schema["_since"].dataType).alias("_since"))
+    before = F.struct((F.col("_b") + panes).alias("_part"), (F.col("_us") + window_us).alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(both.schema["_upto"].dataType).alias("_upto"), F.col("_since"))
+    placed = both.select(*keys, F.inline(F.array(own, before)))
     # from the latest place down: the last shifted row seen is the first one inside the frame
     tie = F.desc("_kind") if closed else F.asc("_kind")
     down = Window.partitionBy(*keys, "_part").orderBy(F.desc("_pos"), tie).rowsBetween(Window.unboundedPreceding, 0)
-    met = own.union(before).withColumn("_old", F.last("_since", ignorenulls=True).over(down)).filter("_kind = 0")
+    met = placed.withColumn("_old", F.last("_since", ignorenulls=True).over(down)).filter("_kind = 0")
     return met.select(*keys, F.col("_pos").alias("_us"), "_part", *[s[1](F.col(f"_old.{n}"), F.col(f"_upto.{n}")).alias(n) for n, s in states.items()])
 
 
@@ -259,7 +261,7 @@ def _either(a: Column, b: Column) -> Column:
 
 
 #: Panes that the global window is cut into, at most (the largest divisor of its length up to here).
-PANES = 16
+PANES = 8
 
 
 def global_trailing(
@@ -288,15 +290,15 @@ def global_trailing(
     per_key = per_time.agg(F.min("_us").alias("_first"), *_frame_parts(digits))
     states = {n: (agg(n), join) for n, (agg, join) in _frame_states().items()}
     lists = {"_patients": (F.collect_set("_p"), _either), "_sensors": (F.collect_set("_s"), _either)}
-    edges = _sliding(per_key, [], window_us, True, states | lists, panes).dropDuplicates(["_part", "_us"])  # peers share one result
+    edges = _sliding(per_key, [], window_us, True, states | lists, panes)
     names = [*states, *lists]
     if panes > 1:
         totals = per_key.groupBy(_pane("_us", window_us // panes).alias("_b")).agg(*[a.alias(n) for n, (a, *_) in (states | lists).items()])
         # a pane's total counts from the next pane on; its own place asks for the panes before
-        asks = totals.select(F.col("_b").alias("_us"), *[F.lit(None).cast(totals.schema[n].dataType).alias(n) for n in names])
-        gives = totals.select((F.col("_b") + 1).alias("_us"), *names)
+        asks = F.struct(F.col("_b").alias("_us"), *[F.lit(None).cast(totals.schema[n].dataType).alias(n) for n in names])
+        gives = F.struct((F.col("_b") + 1).alias("_us"), *names)
         union = {n: (F.collect_list(n), _either, lambda c: F.array_distinct(F.flatten(c))) for n in lists}
-        between = _sliding(asks.union(gives), [], panes - 1, False, states | union).dropDuplicates(["_us"])
+        between = _sliding(totals.select(F.inline(F.array(asks, gives))), [], panes - 1, False, states | union)
         inner = between.select(F.col("_us").alias("_part"), *[F.col(n).alias(f"{n}_between") for n in names])
         joins = {n: s[1] for n, s in (states | lists).items()}
         edges = edges.join(inner, "_part").select("_us", *[joins[n](F.col(n), F.col(f"{n}_between")).alias(n) for n in names])
