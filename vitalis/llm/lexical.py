@@ -36,7 +36,7 @@ from vitalis.llm.common import add_columns, table, text_buffer, written
 #: Bytes of the items' distinct terms, summed over the items, that one pass over the documents searches for.
 BLOCK_BYTES = 32 << 20
 #: (class, item) scores that a task holds at a time.
-CELLS = 4_000_000
+CELLS = 400_000
 
 _INK = np.zeros(256, dtype=bool)
 _INK[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
