@@ -56,6 +56,31 @@ def test_shards_of_odd_rows_and_of_none(spark):
             assert sorted(own.slot) == list(range(len(own)))
 
 
+def test_rows_alike_fill_many_buckets(spark):
+    """20,000 equal rows, and rows without an id: no bucket holds more than about twice its bound."""
+    rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text")).union(spark.range(3_000).select(F.lit(None).cast("long"), F.concat(F.lit("t"), F.col("id").cast("string"))))
+    sized = rows.withColumns({"size": F.lit(25).cast("long"), "text_crc32": F.crc32(F.col("text").cast("binary"))})
+    path = scratch_path(spark, "t")
+    sharding.write_shards(sized, path, n_shards=4, bucket_bytes=20_000)
+    held = spark.read.parquet(path).groupBy("shard", "bucket").count().collect()
+    assert sum(r["count"] for r in held) == 23_000 and len(held) >= 25 and max(r["count"] for r in held) <= 2 * 800
+    got = sharding.read_shards(spark, path, sized)
+    for _, own in got.toPandas().groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+
+
+def test_shard_is_the_highest_weight(spark):
+    """Shard and grown shard, found again from the weights of all shards as rows."""
+    got = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.op1_sharding(spark, SF).collect()}
+    weights = spark.createDataFrame([(i,) for i in got], "id long").crossJoin(spark.range(41).select(F.col("id").cast("int").alias("s"))).select("id", "s", F.xxhash64(F.lit(sharding.SEED), "id", "s").alias("w")).collect()
+    best, grown = {}, {}
+    for r in weights:
+        grown[r.id] = max(grown.get(r.id, (-(2**63), -1)), (r.w, r.s))
+        if r.s < 40:
+            best[r.id] = max(best.get(r.id, (-(2**63), -1)), (r.w, r.s))
+    assert got == {i: (best[i][1], grown[i][1]) for i in got}
+
+
 def test_fisher_yates_changes_the_order(spark):
     got = sharding.op1_sharding(spark, SF).toPandas().sort_values(["shard", "slot"])
     assert list(got.groupby("shard").doc_id.first()) != list(got.groupby("shard").doc_id.min())
@@ -263,6 +288,34 @@ def test_cutoffs_limit_false_rejection(spark):
     assert quality.verdict(counted.limit(0), limits).count() == 0 and quality.verdict(counted, limits.limit(0)).filter("kept").count() == n + 50
 
 
+def test_sql_of_the_counts_reads_odd_lines_alike(spark, tmp_path):
+    """Lone CR, VT and FF are white space in lines, too; labels that repeat count once."""
+    import duckdb
+
+    from tests.test_registry import frame_hash
+    from vitalis.llm.oracle import ORACLE
+
+    texts = ["a\r\n\r\nb\r\n\r\nword\r\n", "x\n\x0b\n\x0c\n\r\nx\n \t\nx", "", None, " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i % 9}" for i in range(60))]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts * 5)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(30)] * 3, "doc_id long, quality int")
+    for name, df in (("documents", docs), ("labels", labels)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert frame_hash(quality.op6_quality(spark, str(tmp_path)).toPandas()) == frame_hash(con.execute(ORACLE["op6_quality"]).df())
+
+
+def test_a_labelled_id_is_one_trial(spark):
+    n = 3000
+    row = lambda i, symbols: (i, "en", 100, 500, symbols, 0, 10, 0, False)
+    columns = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long, base_failed boolean"
+    counted = spark.createDataFrame([row(i, 1) for i in range(n)], columns)
+    once = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    often = spark.createDataFrame([(i, 1) for i in range(200)] * 20, "doc_id long, quality int")
+    assert quality.cutoffs(counted, once).collect() == quality.cutoffs(counted, often).collect() == quality.cutoffs(counted.union(counted), often).collect()
+
+
 # op7
 
 

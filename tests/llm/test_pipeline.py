@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from tests.llm.test_ops import counts, jaccard_links, removed, words
@@ -76,3 +77,49 @@ def test_run_and_empty_documents(spark, stages):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def odd_documents(spark):
+    """Nulls in every column, repeated rows and ids, empty and long texts, near copies, and columns with names that stages use."""
+    base = [f"w{i}" for i in range(80)]
+    near = " ".join([*base[:40], "x", *base[41:]])
+    long = " ".join(f"v{i}" for i in range(30_000))
+    clean = [" ".join(f"c{k}_{i}" for i in range(80)) for k in range(4)]
+    rows = [
+        (1, " ".join(base)), (2, near), (None, " ".join(base)), (None, near),  # one group
+        (3, clean[0]), (3, near), (3, clean[0]),  # an id with two texts, and a row that repeats
+        (4, None), (5, ""), (6, " \t"), (7, long), (8, long), (None, clean[1]), (None, clean[2]),
+    ]
+    full = [(i, t, "en" if n % 3 else None, f"s{n % 2}" if n % 4 else None, None if t is None else len(t), "mine", n, n, n) for n, (i, t) in enumerate(rows)]
+    return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words int, n_removed int, class_id int")
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    docs = odd_documents(spark)
+    after = C.one_of_each(spark, docs, SF)
+    got = [r.asDict() for r in after.collect()]
+    assert after.columns == docs.columns
+    texts = [(r["doc_id"], r["text"]) for r in got]
+    base, near, clean = docs.first().text, docs.collect()[1].text, [docs.collect()[k].text for k in (4, 12, 13)]
+    assert [t for t in texts if t[1] in (base, near)] == [(1, base)]  # copies with null ids and with another text's id go
+    assert sorted(t for t in texts if t[1] == clean[0]) == [(3, clean[0])]  # the clean text of that id stays, once
+    assert {t[1] for t in texts} >= {*clean, None, "", " \t"} and sum(t[0] in (7, 8) for t in texts) == 1
+
+
+def test_every_stage_takes_odd_rows(spark):
+    docs = odd_documents(spark)
+    before = {repr(r) for r in docs.collect()}
+    for name, stage in C.STAGES[:2]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        assert {repr(r) for r in after.collect()} <= before, name  # clashing columns keep their values
+    good = C.good_documents(spark, docs, SF).collect()
+    assert {r.n_words for r in good} == {0, 1, 2, 3, 4, 5, 6, 10, 11, 12, 13} and all(r.kept == "mine" for r in good)
+    named = docs.withColumns({c: F.col("n_words") for c in ("taken", "Target", "source_size", "kept_text")})
+    for name, stage in C.STAGES[2:4]:
+        after = stage(spark, named, SF)
+        assert after.columns == named.columns, name
+        assert all(r.n_words == r.n_removed == r.taken == r.Target == r.kept_text and r.kept == "mine" for r in after.collect()), name
+    assert C.encoded(spark, named, SF).count() == docs.count()
+    for name, stage in C.STAGES[2:]:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name

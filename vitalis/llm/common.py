@@ -176,8 +176,11 @@ def gram_hashes(h: np.ndarray, k: int, base: int = 0xD6E8FEB86659FD93) -> np.nda
 
 
 def letters(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _LETTERS.findall(text.lower())
+    """Runs of letters, in lower case; numerals such as a half, a superscript two or a Roman eight are none."""
+    out = []
+    for run in _LETTERS.findall(text.lower()):
+        out += [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
+    return out
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")

@@ -128,8 +128,7 @@ rep AS (SELECT doc_id, COUNT(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(
 c AS (
   SELECT t.doc_id, t.lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
          CAST(COALESCE(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM t JOIN w USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (
@@ -137,7 +136,7 @@ b AS (
          n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
 l AS ({long}),
 grid AS (SELECT * FROM (VALUES {grid}) g(s, i, cut)),
-held AS (SELECT l.* FROM l JOIN labels ON labels.doc_id = l.doc_id WHERE quality = 1 AND NOT base_failed),
+held AS (SELECT lang, s, l.doc_id, MAX(v) AS v FROM l JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) g ON g.doc_id = l.doc_id WHERE NOT base_failed GROUP BY ALL),
 x AS (SELECT lang, grid.s, i, cut, COUNT(*) AS n, COUNT(*) FILTER (WHERE v > cut) AS x FROM held JOIN grid ON grid.s = held.s GROUP BY ALL),
 p AS (
   SELECT *, list_sum(list_transform(range(x + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({part}) + (n - j) * ln(1 - {part})))) AS tail

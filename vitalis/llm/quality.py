@@ -3,8 +3,7 @@
 Base counts of each text are plain column expressions.  Four signals are made
 of them; a rule rejects a document whose signal is above the rule's cutoff in
 the document's stratum (its language).  The cutoffs come from labelled good
-documents, all of them up to ``holdout`` rows: for each stratum, rule and
-candidate cutoff, an exact binomial tail tells how likely it is to see so few
+documents, all of them: for each stratum, rule and candidate cutoff, an exact binomial tail tells how likely it is to see so few
 rejected good documents if the true rate of false rejection were the rule's
 part of ``risk``.  The strictest cutoff whose tail is at most ``delta`` divided
 by the number of tests (Bonferroni) is taken, so with probability 1 - delta all
@@ -13,8 +12,8 @@ that pass the base rule.  A rule without such
 a cutoff, and every rule in a stratum without labels, rejects nothing there.
 
 Nulls and empty texts have no words and fail the base rule.  A null stratum is
-a stratum of its own.  Documents with several labels count once for each good
-one; ids that are repeated in the table are judged row by row.  Columns with
+a stratum of its own.  A labelled id is one trial of a stratum, however many labels and
+rows it has (its highest signal counts); every row is judged by itself.  Columns with
 the names of the output columns are replaced.  Only DataFrame functions are
 used.
 """
@@ -37,8 +36,6 @@ CUTOFFS: dict[str, list[float]] = {
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RISK, DELTA = 0.02, 0.05
-#: Labelled good documents to learn from, at most about so many.
-HOLDOUT = 200_000
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
@@ -109,14 +106,11 @@ def tail(x: Column, n: Column, p: float) -> Column:
     return F.aggregate(steps, zero, add, lambda acc: F.exp(acc["total"]))
 
 
-def cutoffs(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = RISK, delta: float = DELTA, holdout: int = HOLDOUT) -> DataFrame:
+def cutoffs(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """Cutoff of each rule in each stratum: columns ``stratum`` and one for each signal (null: none)."""
-    good = labels.filter("quality = 1").select(F.col(key).alias("__id"))
-    n_good = good.count()
-    if n_good > holdout:  # the bound on what is learnt from: a hash picks the documents
-        good = good.filter(F.pmod(F.xxhash64("__id", F.lit(77)), F.lit(1 << 30)) < int((1 << 30) * holdout / n_good))
+    good = labels.filter("quality = 1").select(F.col(key).alias("__id")).distinct()
     passed = counted.filter(~F.col("base_failed")).select(F.col(key).alias("__id"), F.col(stratum).alias("stratum"), *[c.alias(s) for s, c in signals().items()])
-    held = good.join(passed, "__id")
+    held = good.join(passed, "__id").groupBy("__id", "stratum").agg(*[F.max(c).alias(c) for c in signals()])
     above = [F.sum((F.col(s) > c).cast("long")).alias(f"{s}__{i}") for s, cs in CUTOFFS.items() for i, c in enumerate(cs)]
     counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *above)
     tests = sum(map(len, CUTOFFS.values()))
@@ -133,11 +127,11 @@ def cutoffs(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum:
 def verdict(counted: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
     """Append ``kept`` to rows with base counts: no base failure, and no signal above its cutoff.
 
-    A stratum has a cutoff only if it has hundreds of labelled documents out of ``holdout``, so the
-    rows of ``limits`` with a cutoff are few however many strata there are, and are broadcast.
+    A stratum has a cutoff only if it has hundreds of labelled documents, so few rows of ``limits`` matter; Spark
+    broadcasts them if the written table is small, and else splits the join's large strata.
     """
     some = limits.select(F.col("stratum").alias("__stratum"), *[F.col(s).alias(f"__{s}") for s in CUTOFFS]).filter(F.coalesce(*[F.col(f"__{s}") for s in CUTOFFS]).isNotNull())
-    judged = counted.join(F.broadcast(some), F.col(f"`{stratum}`").eqNullSafe(F.col("__stratum")), "left")
+    judged = counted.join(some, F.col(f"`{stratum}`").eqNullSafe(F.col("__stratum")), "left")
     rejected = F.lit(False)
     for s, c in signals().items():
         rejected = rejected | F.coalesce(c > F.col(f"__{s}"), F.lit(False))
