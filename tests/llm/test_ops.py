@@ -529,6 +529,48 @@ def test_template_is_counted_over_all_pages_of_a_host(spark):
     assert got["http://n/0"].count("same") == 20 and got["http://three/0"] == "shared\nown 0" and got["http://r/0"] == "own 0"
 
 
+def by_host(page, n=8):
+    """Texts of ``n`` pages of one host by its wrapper."""
+    wrapper = wrappers.infer([wrappers.skeleton(page(i)) for i in range(n)])
+    return [wrappers.extract(page(i), wrapper) for i in range(n)]
+
+
+def test_the_wrapper_overrules_names():
+    """A frame around all slots, a section with a doubtful name, and a heading that heads a slot hold main text."""
+    framed = by_host(lambda i: f"<body><nav>menu</nav><div class='header-wrap with-sidebar'><div><h1>title {i}</h1><p>para {i}</p></div><div class=sidebar><p>ad {i}</p></div></div><div class=footer>foot</div></body>")
+    assert framed == [f"title {i}\npara {i}" for i in range(8)]
+    section = by_host(lambda i: f"<article><h1>t {i}</h1><p>a {i}</p><section class='discussion'><h2>d {i}</h2><p>b {i}</p><p>c {i}</p></section></article>")
+    assert section == [f"t {i}\na {i}\nd {i}\nb {i}\nc {i}" for i in range(8)]
+    posts = by_host(lambda i: f"<article><p>a {i}</p><div class='discussion'>" + "".join(f"<div><b>who {i}{k}</b><p>says {i}{k}</p></div>" for k in range(i % 3 + 2)) + "</div></article>")
+    assert posts == [f"a {i}" for i in range(8)]
+    headed = by_host(lambda i: f"<article><p>a {i}</p><h2>References</h2><ul><li>r {i}</li><li>s {i}</li></ul><h2>Newsletter</h2><p>Sign up</p></article>")
+    assert headed == [f"a {i}\nReferences\nr {i}\ns {i}" for i in range(8)]
+    comments = by_host(lambda i: f"<article><p>a {i}</p></article><div class=comments>" + "".join(f"<article class=comment><p>c {i} {k}</p></article>" for k in range(40)) + "</div>")
+    assert comments == [f"a {i}" for i in range(8)]
+
+
+def test_the_wrapper_of_the_tables_is_that_of_a_host(spark):
+    """Frames and doubtful elements found by Spark, on a host and its near name."""
+    def page(i):
+        return f"<body><div class='banner-wrap'><div class='with-sidebar'><h1>t {i}</h1><p>p {i}</p><section class=discussion><p>d {i}</p></section></div></div><div class=related>r</div></body>"
+
+    rows = [(f"http://x/{i}", page(i)) for i in range(12)] + [(f"http://y/{i}", page(i)) for i in range(2)]
+    got = {r.url: r.text for r in wrappers.extract_text(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert [got[f"http://x/{i}"] for i in range(12)] == [f"t {i}\np {i}" for i in range(12)]  # the doubtful section is in no main element: its name counts
+    assert got["http://y/0"] == ""  # too few pages: the names decide
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    pages = ["<a href='" * 110_000, "<a href='" * 110_001 + ">x", "<div>x" * 100_000, "<a " * 300_000 + "<!x", "<a '>' " * 140_000 + "'", "<form><li>" * 50_000, "<div>" * 50_000 + "</p></li>" * 50_000, "<!--" * 200_000, "<script>" * 100_000, "<" * 1_000_000]
+    for p in pages:
+        start = time.perf_counter()
+        wrappers.extract(p, wrappers.NONE)
+        assert time.perf_counter() - start < 5, p[:20]
+    assert wrappers.extract("<p>a</p><a title=\"x > y\">b</a><p title='>c</p>d", wrappers.NONE) == "a\nb\nc\nd"
+
+
 def test_host_of_an_url(spark):
     urls = ["http://A.example.org/x", "https://u:p@b.example.org:80?q", "//c.example.org#f", "d/e", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
