@@ -34,7 +34,7 @@ from vitalis.llm.components import components, deal
 
 THRESHOLD = 0.93
 #: Trees; vectors that a leaf should hold; part of the projections' spread that spills to each side.
-TREES, LEAF, SPILL = 6, 1_500, 0.35
+TREES, LEAF, SPILL = 3, 400, 0.1
 #: Least spill, as a part of what the distance of vectors at the threshold projects to (root mean square).
 REACH = 0.5
 #: Pairs left to compare after a split, as a part of those before, above which a node isn't split; levels of a tree.
