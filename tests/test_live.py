@@ -2,7 +2,6 @@
 
 import json
 import math
-import os
 import time
 
 import pytest
@@ -20,7 +19,7 @@ from vitalis.streaming import stream as S
 from vitalis.streaming.progress import progress_to
 from vitalis.streaming.snapshots import global_trailing_stream
 from vitalis.streaming.state import current_from_state, state_rows, trailing_stream_exact
-from tests.conftest import BASE, readings_df, ts
+from tests.conftest import BASE, readings_df
 
 US = 1_000_000
 INF = math.inf
@@ -213,6 +212,22 @@ def test_a_put_that_fails_adds_nothing(spark, sample_readings):
     catalog.drop(spark, t)
 
 
+def test_small_puts_become_one(spark, sample_readings):
+    t = "t-compact"
+    catalog.drop(spark, t)
+    for k in range(3):
+        catalog.put(sample_readings.filter(F.col("event_id") % 3 == k), t, {f"k{k}": str(k)})
+    before = catalog._commits(spark, t)
+    assert catalog.compact(spark, t) == 3 and catalog.compact(spark, t) == 1
+    assert catalog.get(spark, t).exceptAll(sample_readings).count() == 0 and catalog.get(spark, t).count() == 100
+    assert catalog.metadata(spark, t) == {"k0": "0", "k1": "1", "k2": "2"} and len(store.names(spark, f"{catalog._home(spark, t)}/data")) == 1
+    # records that a crash left behind don't count
+    for r in before:
+        store.publish_text(spark, f"{catalog._home(spark, t)}/commits/{r['put']}.json", json.dumps({**r.asDict(), "at": None}) + "\n")
+    assert {r.ticket: r.records for r in catalog.list_datasets(spark).collect()}[t] == 100 == catalog.get(spark, t).count()
+    catalog.drop(spark, t)
+
+
 def test_listing_opens_no_data_file(spark, sample_readings):
     catalog.put(sample_readings, "t-list")
     files = catalog.list_datasets(spark).inputFiles()
@@ -241,6 +256,14 @@ def test_expired_days_leave_the_store(spark):
     assert sinks.expire(spark, scratch_path(spark, "t-none"), 24) == []
 
 
+def test_sql_on_a_path_with_a_back_tick(spark, sample_readings):
+    from vitalis.sources.files import sql_on_parquet
+
+    path = scratch_path(spark, "t-tick") + "/a`b"
+    sample_readings.write.parquet(path)
+    assert sql_on_parquet(spark, path, "SELECT COUNT(*) AS n FROM {src}").first().n == 100
+
+
 # V9 + D3 + S7
 
 
@@ -296,6 +319,9 @@ def test_history_is_the_batch_clean_of_all_batches(spark):
     want = C.dedupe(readings_df(spark, rows), keep="any").select(*C.DEDUP_KEY)
     got = h.rows().select(*C.DEDUP_KEY)
     assert got.count() == want.count() == sum(counts) and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    files = len(spark.table(h.name).inputFiles())
+    h.compact()
+    assert len(spark.table(h.name).inputFiles()) <= 4 < files
     again = h.add(readings_df(spark, rows[90:140]), 3)  # run again after a crash: the same rows, no key twice
     assert again.count() == counts[3] and h.rows().count() == sum(counts) == spark.table(h.name).count()
     spark.sql(f"DROP TABLE {h.name}")

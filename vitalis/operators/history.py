@@ -13,6 +13,8 @@ is run again after a crash gives the same rows again and stores nothing twice.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,9 @@ class History:
             keys = stored.select(self._hash().alias("_hash"), *self.key, F.lit(int(batch_id)).cast("long").alias("_batch"))
             dealt = keys.repartition(self.buckets, "_hash")  # one file a bucket
             writer = dealt.write.mode("append").format("parquet").bucketBy(self.buckets, "_hash").sortBy("_hash")
-            writer.option("path", f"{self.path}/keys").saveAsTable(self.name)
+            if not self.spark.catalog.tableExists(self.name):
+                writer = writer.option("path", f"{self.path}/keys-{uuid.uuid4().hex}")
+            writer.saveAsTable(self.name)
             store.publish_text(self.spark, f"{self.path}/done/{int(batch_id)}", "")
         return stored
 
@@ -59,6 +63,25 @@ class History:
         """Have the batch's keys been stored?  If a crash came in between, they are stored once more, which does no harm."""
         return str(int(batch_id)) in store.names(self.spark, f"{self.path}/done")
 
+    def compact(self) -> None:
+        """Rewrite the key table with one sorted file a bucket, once many batches have left many small ones.
+
+        The new table is complete before the old one goes; if a crash comes in between, the next call ends the change.
+        """
+        spare = f"{self.name}_compact"
+        if self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {spare}")
+            folder = f"{self.path}/keys-{uuid.uuid4().hex}"
+            keys = self.spark.table(self.name).dropDuplicates(["_hash", *self.key, "_batch"]).repartition(self.buckets, "_hash")
+            keys.write.format("parquet").bucketBy(self.buckets, "_hash").sortBy("_hash").option("path", folder).saveAsTable(spare)
+            self.spark.sql(f"DROP TABLE {self.name}")
+        if self.spark.catalog.tableExists(spare):
+            self.spark.sql(f"ALTER TABLE {spare} RENAME TO {self.name}")
+            used = {f.rsplit("/", 2)[-2] for f in self.spark.table(self.name).inputFiles()}
+            for folder in store.names(self.spark, self.path):
+                if folder.startswith("keys-") and folder not in used:
+                    store.delete(self.spark, f"{self.path}/{folder}")
+
     def rows(self) -> DataFrame:
         """All rows kept so far (``batch`` tells which batch brought them)."""
         return self.spark.read.parquet(f"{self.path}/rows")

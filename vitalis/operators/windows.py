@@ -241,8 +241,8 @@ def _snapshot_finish(digits: int | None = None) -> list[Column]:
     """Sorted lists and per-sensor {count, avg, min, max} (NULL when absent)."""
     out = [
         "count",
-        F.array_sort("_patients").alias("patient_ids"),
-        F.array_sort("_sensors").alias("sensor_types"),
+        F.sort_array("_patients").alias("patient_ids"),
+        F.sort_array("_sensors").alias("sensor_types"),
     ]
     for s in SCALAR_SENSORS:
         n = F.col(f"_n_{s}")

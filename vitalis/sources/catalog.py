@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from vitalis.session import shared_dir
 from vitalis.sources import store
 
-_RECORD = "ticket string, put string, records long, bytes long, schema string, metadata map<string,string>"
+_RECORD = "ticket string, put string, records long, bytes long, schema string, metadata map<string,string>, replaces array<string>"
 
 
 def _root(spark: SparkSession) -> str:
@@ -39,7 +39,9 @@ def _commits(spark: SparkSession, ticket: str) -> list:
     if not any(n.endswith(".json") for n in store.names(spark, f"{home}/commits")):
         return []
     found = spark.read.schema(_RECORD).json(f"{home}/commits").select("*", F.col("_metadata.file_modification_time").alias("at"))
-    return found.filter(F.col("ticket") == ticket).orderBy("at", "put").collect()
+    known = found.filter(F.col("ticket") == ticket).orderBy("at", "put").collect()
+    gone = {p for r in known for p in r["replaces"] or []}
+    return [r for r in known if r["put"] not in gone]
 
 
 def put(df: DataFrame, ticket: str, metadata: dict[str, str] | None = None) -> str:
@@ -52,6 +54,13 @@ def put(df: DataFrame, ticket: str, metadata: dict[str, str] | None = None) -> s
     known = _commits(spark, ticket)
     if known and T.StructType.fromJson(json.loads(known[0]["schema"])) != schema:
         raise ValueError(f"data set {ticket!r} has other columns: {known[0]['schema']}")
+    _commit(df, ticket, schema, {str(k): str(v) for k, v in (metadata or {}).items()}, [])
+    return ticket
+
+
+def _commit(df: DataFrame, ticket: str, schema: T.StructType, told: dict[str, str], replaces: list[str]) -> None:
+    """Write rows to a folder of their own, then the record that makes them count (in place of those that it replaces)."""
+    spark = df.sparkSession
     home, name = _home(spark, ticket), uuid.uuid4().hex
     folder = f"{home}/data/{name}"
     df.write.parquet(folder)
@@ -61,10 +70,27 @@ def put(df: DataFrame, ticket: str, metadata: dict[str, str] | None = None) -> s
         "records": spark.read.schema(schema).parquet(folder).count(),  # from the files' footers
         "bytes": store.folder_bytes(spark, folder),
         "schema": schema.json(),
-        "metadata": {str(k): str(v) for k, v in (metadata or {}).items()},
+        "metadata": told,
+        "replaces": replaces,
     }
     store.publish_text(spark, f"{home}/commits/{name}.json", json.dumps(record) + "\n")
-    return ticket
+
+
+def compact(spark: SparkSession, ticket: str) -> int:
+    """Make one put of all puts of a ticket, so that many small ones cost readers no more; returns how many there were.
+
+    Readers see the old puts or the new one, never both: its record names those that it replaces.  Only then are these deleted.
+    """
+    known = _commits(spark, ticket)
+    if not known:
+        raise KeyError(f"data set not found: {ticket}")
+    if len(known) > 1:
+        schema, old = T.StructType.fromJson(json.loads(known[0]["schema"])), [r["put"] for r in known]
+        _commit(get(spark, ticket), ticket, schema, metadata(spark, ticket), old)
+        for name in old:
+            store.delete(spark, f"{_home(spark, ticket)}/commits/{name}.json")
+            store.delete(spark, f"{_home(spark, ticket)}/data/{name}")
+    return len(known)
 
 
 def get(spark: SparkSession, ticket: str) -> DataFrame:
@@ -89,7 +115,8 @@ def list_datasets(spark: SparkSession) -> DataFrame:
     if not any(store.exists(spark, f"{_root(spark)}/{n}/commits") for n in store.names(spark, _root(spark))):
         return spark.createDataFrame([], "ticket string, records bigint, total_bytes bigint")
     found = spark.read.schema(_RECORD).json(f"{_root(spark)}/*/commits")
-    return found.groupBy("ticket").agg(F.sum("records").alias("records"), F.sum("bytes").alias("total_bytes"))
+    gone = found.select(F.explode("replaces").alias("put"))  # of a compaction that hasn't cleared up yet
+    return found.join(gone, "put", "left_anti").groupBy("ticket").agg(F.sum("records").alias("records"), F.sum("bytes").alias("total_bytes"))
 
 
 def drop(spark: SparkSession, ticket: str) -> None:

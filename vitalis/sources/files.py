@@ -102,7 +102,8 @@ def sql_on_parquet(spark: SparkSession, path: str, sql_template: str) -> DataFra
     prepare(spark)
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    return spark.sql(sql_template.format(src=f"parquet.`{path}`"))
+    quoted = path.replace("`", "``")
+    return spark.sql(sql_template.format(src=f"parquet.`{quoted}`"))
 
 
 def load_preferred(spark: SparkSession, parquet_path: str, jsonl_path: str) -> DataFrame:
