@@ -256,6 +256,14 @@ def test_expired_days_leave_the_store(spark):
     assert sinks.expire(spark, scratch_path(spark, "t-none"), 24) == []
 
 
+def test_a_report_is_small(spark, sample_readings):
+    path = sinks.write_report(sample_readings, scratch_path(spark, "t-report"), 100)
+    assert spark.read.json(path).count() == 100
+    with pytest.raises(ValueError):
+        sinks.write_report(sample_readings, path, 99)
+    assert not store.exists(spark, path)
+
+
 def test_sql_on_a_path_with_a_back_tick(spark, sample_readings):
     from vitalis.sources.files import sql_on_parquet
 

@@ -39,9 +39,19 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", epoch_column:
     return path
 
 
-def write_report(df: DataFrame, path: str) -> str:
-    """A (small) report DataFrame as JSON, one file (what it is computed from stays parallel)."""
-    df.repartition(1).write.mode("overwrite").json(path)
+#: Rows of a report, at most: one task writes them.
+REPORT_ROWS = 100_000
+
+
+def write_report(df: DataFrame, path: str, most: int = REPORT_ROWS) -> str:
+    """A (small) report DataFrame as JSON, one file (what it is computed from stays parallel).
+
+    A result of more than ``most`` rows is no report: ``ValueError``, and nothing stays written.
+    """
+    df.limit(most + 1).repartition(1).write.mode("overwrite").json(path)
+    if df.sparkSession.read.text(path).count() > most:
+        store.delete(df.sparkSession, path)
+        raise ValueError(f"more than {most} rows are no report; write them as a table")
     return path
 
 
