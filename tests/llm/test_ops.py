@@ -336,6 +336,20 @@ def test_archives_give_back_every_record(spark):
             )
 
 
+def test_long_pages_go_to_archives_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 13 << 20)
+    long = spark.range(5).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.repeat(F.lit("0123456789"), 600_000), F.col("id").cast("string")).alias("html"))
+    short = spark.range(5, 3_000).select(F.col("id"), F.lit("u"), F.concat(F.lit("page "), F.col("id").cast("string")))
+    pages = long.union(short).union(long.limit(1).select(F.lit(9_999).cast("long"), "url", "html")).coalesce(1)
+    path = scratch_path(spark, "t")
+    warc.write_archives(pages, path, "page_id", "url", "html")
+    records = warc.read_archives(spark, path)
+    got = {r.id: r for r in warc.resolved(records).collect()}
+    assert len(got) == 3_001 and all(got[i].payload_bytes == 6_000_001 for i in (0, 1, 2, 3, 4, 9_999)) and got[9_999].refers_to == 0
+    held = [r.n for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select(F.length("content").alias("n")).collect()]
+    assert len(held) >= 3 + 3 and max(held) < 1 << 20  # two long pages a file; digits compress well
+
+
 def test_archives_of_the_pages(spark):
     pages = {r.page_id: r.html.encode() for r in table(spark, SF, "pages").collect()}
     got = warc.op7_warc(spark, SF).collect()

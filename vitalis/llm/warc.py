@@ -37,8 +37,8 @@ from vitalis.session import scratch_path
 
 CRLF = "\r\n"
 DATE = "2024-05-01T00:00:00Z"
-#: Records of a file, at most.
-FILE_RECORDS = 1000
+#: Records of an archive, at most, and bytes of its payloads; payloads that count as long go to archives of their own.
+FILE_RECORDS, FILE_BYTES, LONG_BYTES = 1000, 256 << 20, 256 << 10
 
 
 def digest(payload: bytes) -> str:
@@ -88,7 +88,12 @@ def write_archives(df: DataFrame, path: str, key: str, url: str, payload: str, l
         line("WARC-Profile", F.when(~is_first, F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))),
         line("Content-Length", F.octet_length(block).cast("string")),
     )
-    records.select(F.concat(header, F.lit(CRLF + CRLF), block).alias("value")).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
+    lines = records.select("payload_bytes", F.concat(header, F.lit(CRLF + CRLF), block).alias("value"))
+    # a reader takes an archive as one value, so its bytes are bounded, too: long payloads are written few to a file
+    longest = rows.agg(F.max(F.octet_length("payload"))).first()[0] or 0
+    for some, most in ((F.col("payload_bytes") <= LONG_BYTES, FILE_RECORDS), (F.col("payload_bytes") > LONG_BYTES, max(1, FILE_BYTES // max(1, longest)))):
+        if most == FILE_RECORDS or longest > LONG_BYTES:
+            lines.filter(some).select("value").write.mode("append").option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
 
 
 _HEADER = re.compile(rb"([A-Za-z-]+): (.*)\r\n")
