@@ -245,6 +245,25 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(train.limit(0))).collect()} == {"und"}
 
 
+def test_copies_do_not_crowd_texts_out(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 20_000)
+    long = " ".join(f"immer{i} gleich" for i in range(8_000))
+    rows = [(long, "de")] * 60 + [(f"kurzer satz nummer wort und das wort {i % 7}", "de") for i in range(40)] + [(f"a short sentence with the word and the {i}", "en") for i in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model["langs"] == ["de", "en"] and len(model["tables"][0]) > 3
+    got = langid.predict(spark.createDataFrame([(t,) for t in ("das wort", "the word", "\u00bd \u00b2 \u2167", "7 ½", None)], "text string"), model).collect()
+    assert [r.lang_pred for r in got] == ["de", "en", "und", "und", "und"] and [r.score for r in got][2:] == [0.0] * 3
+
+
+def test_languages_of_odd_rows(spark):
+    """Repeated rows, a very long text, and columns that are named like the results."""
+    rows = [r for i in range(9) for r in ((f"der hund und die katze {i}", "de", "mine", 1), (f"the dog and the cat {i}", "en", "mine", 2))]
+    df = spark.createDataFrame([*rows[:-1], rows[0], ("the cat " * 200_000, "en", None, None)], "text string, lang string, lang_pred string, score int")
+    got = langid.predict(df, langid.fit(df)).collect()
+    assert len(got) == 19 and all(r.lang_pred == r.lang and 0 <= r.score <= 1 for r in got)
+    assert langid.predict(df.limit(0), langid.fit(df.limit(0))).count() == 0
+
+
 # op6
 
 

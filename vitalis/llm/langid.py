@@ -9,7 +9,8 @@ name); ``score`` is its softmax share.
 
 The model is fitted on a bounded sample of labelled rows: different texts of
 at most about ``SAMPLE_CHARS`` characters a language, picked by hash, and
-keeps at most ``MOST_GRAMS`` words and n-grams of each length a language.  The
+keeps at most ``MOST_GRAMS`` words and n-grams of each length a language, those
+that occur at least twice (single characters: once) in its sample.  The
 prediction covers every whole text.
 
 Nulls: a text that is null, empty or without a letter is ``und`` with score
@@ -34,6 +35,8 @@ from vitalis.llm.common import add_columns, letters, split_words, table
 SAMPLE_CHARS = 2_000_000
 #: Entries of the model for each language and kind (words; n-grams of each length), at most so many.
 MOST_GRAMS = 30_000
+#: Numbers in the model, at most: with many languages each keeps fewer entries, so that the model can be broadcast.
+MODEL_CELLS = 50_000_000
 LENGTHS = (5, 4, 3, 2, 1)
 #: Distinct tokens that a task keeps scored; beyond it the memo starts anew.
 MEMO = 500_000
@@ -48,11 +51,17 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Learn from rows with a text and a language; returns a model of bounded size."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.char_length("text")).alias("n")).collect() if r["n"]}  # one number a language
+    # different texts only: copies, however many, neither fill the sample nor crowd other texts out
+    place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30))
+    different = rows.groupBy("lang", F.xxhash64("text", F.lit(5)).alias("h")).agg(F.first(F.char_length("text")).alias("n"), F.first(place).alias("place"))
+    sizes = {r["lang"]: r for r in different.groupBy("lang").agg(F.sum("n").alias("n"), F.min("place").alias("least")).collect() if r["n"]}  # a row a language
     if not sizes:
         return {"langs": [], "tables": {}, "totals": {}}
-    shares = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE_CHARS / n))]), F.col("lang"))
-    sample = rows.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < shares * (1 << 30)).dropDuplicates()  # copies share a hash
+    most = max(1, min(MOST_GRAMS, MODEL_CELLS // ((len(LENGTHS) + 1) * len(sizes) ** 2)))
+    # the texts with the smallest hashes: about SAMPLE_CHARS of each language, one text at least
+    upto = {k: max(r["least"], int((1 << 30) * min(1.0, SAMPLE_CHARS / r["n"])) - 1) for k, r in sizes.items()}
+    limit = F.element_at(F.create_map(*[F.lit(x) for k, n in upto.items() for x in (k, n)]), F.col("lang"))
+    sample = rows.filter(place <= limit).dropDuplicates()  # copies share a hash
 
     def count(batches):
         for pdf in batches:
@@ -69,8 +78,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict:
 
     counts = sample.repartition(spark.sparkContext.defaultParallelism).mapInPandas(count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "kind"))).withColumn("rank", F.row_number().over(best)).filter((F.col("rank") <= MOST_GRAMS) & ((F.col("n") > 1) | (F.col("kind") == 1)))
-    got = top.select("lang", "kind", "gram", "n", "total").toPandas()  # at most MOST_GRAMS rows a language and kind
+    top = counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "kind"))).withColumn("rank", F.row_number().over(best)).filter((F.col("rank") <= most) & ((F.col("n") > 1) | (F.col("kind") == 1)))
+    got = top.select("lang", "kind", "gram", "n", "total").toPandas()  # at most MOST_GRAMS rows a language and kind, and MODEL_CELLS numbers in all
     langs = sorted(sizes)
     at = {x: i for i, x in enumerate(langs)}
     tables: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *LENGTHS)}
@@ -151,7 +160,7 @@ class Predictor:
 
 def predict(df: DataFrame, model: dict, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Append the predicted language of ``text`` and its share of belief."""
-    held = df.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_GRAMS
+    held = df.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_CELLS
 
     def make():
         predictor = Predictor(held.value)
