@@ -27,16 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
+def written(df: DataFrame, kind: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     The rows are on the file system that ``spark.checkpoint.dir`` names, so a
-    lost executor costs no recomputation of what came before.
+    lost executor costs no recomputation of what came before.  ``group_bytes``: what a
+    task holds of rows with long texts before it writes them out (default: Parquet's).
     """
     spark = df.sparkSession
     path = scratch_path(spark, kind)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write
+    writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
