@@ -16,13 +16,17 @@ from vitalis.llm import bpe, jaccard, mixing, quality, substring
 from vitalis.llm.common import GAP, table, written
 
 
+#: Bytes of documents that a task holds while it writes them.
+GROUP_BYTES = 16 << 20
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, with cutoffs learnt from the labels of ``docs``.
 
     The texts are counted once; the counts are written next to the rows.  Columns named like the counts stay as they are.
     """
     rows = docs.select(F.struct(*_columns(docs)).alias("__doc"), "doc_id", "lang", "text")
-    counted = written(quality.base_counts(rows).drop("text"), "counted")
+    counted = written(quality.base_counts(rows).drop("text"), "counted", GROUP_BYTES)
     limits = written(quality.cutoffs(counted, table(spark, sf_dir, "labels", "doc_id", "quality")), "cutoffs")
     return quality.verdict(counted, limits).filter("kept").select("__doc.*")
 
@@ -30,10 +34,10 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: the one with the smallest id (null ids last).
 
-    Rows are told apart by a number of their own, so that ids that repeat or are null are judged like any other;
-    documents without words stay.
+    Rows are told apart by a number of their own, their place in ``docs`` (a written table gives the same places each time it is
+    read), so that ids that repeat or are null are judged like any other; documents without words stay.
     """
-    rows = written(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*_columns(docs)).alias("__doc")), "rows")
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*_columns(docs)).alias("__doc"))
     told = jaccard.near_duplicates(rows.select("__row", F.col("__doc.text").alias("text")), key="__row")
     ids = rows.select("__row", F.col("__doc.doc_id").alias("__id"))
     judged = written(told.select(F.col("doc_id").alias("__row"), "class_id").join(ids, "__row"), "judged")
