@@ -9,35 +9,31 @@ as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.llm import bpe, jaccard, mixing, quality, substring
 from vitalis.llm.common import GAP, table, written
 
 
-#: Bytes of documents that a task holds while it writes them.
-GROUP_BYTES = 16 << 20
-
-
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, with cutoffs learnt from the labels of ``docs``.
 
-    The texts are counted once; the counts are written next to the rows.  Columns named like the counts stay as they are.
+    The texts are counted once; what is rejected goes by the rows' numbers.  Columns named like the counts stay as they are.
     """
-    rows = docs.select(F.struct(*_columns(docs)).alias("__doc"), "doc_id", "lang", "text")
-    counted = written(quality.base_counts(rows).drop("text"), "counted", GROUP_BYTES)
+    rows = _numbered(docs)
+    counted = written(quality.base_counts(rows.select("__row", "__doc.doc_id", "__doc.lang", "__doc.text")).drop("text"), "counted")
     limits = written(quality.cutoffs(counted, table(spark, sf_dir, "labels", "doc_id", "quality")), "cutoffs")
-    return quality.verdict(counted, limits).filter("kept").select("__doc.*")
+    gone = written(quality.verdict(counted, limits).filter("NOT kept").select("__row"), "rejected")
+    return rows.join(gone, "__row", "left_anti").select("__doc.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: the one with the smallest id (null ids last).
 
-    Rows are told apart by a number of their own, their place in ``docs`` (a written table gives the same places each time it is
-    read), so that ids that repeat or are null are judged like any other; documents without words stay.
+    Ids that repeat or are null are judged like any other, by the rows' numbers; documents without words stay.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*_columns(docs)).alias("__doc"))
+    rows = _numbered(docs)
     told = jaccard.near_duplicates(rows.select("__row", F.col("__doc.text").alias("text")), key="__row")
     ids = rows.select("__row", F.col("__doc.doc_id").alias("__id"))
     judged = written(told.select(F.col("doc_id").alias("__row"), "class_id").join(ids, "__row"), "judged")
@@ -51,8 +47,10 @@ def _apart(docs: DataFrame, *names: str) -> DataFrame:
     return docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c.lower() in names})
 
 
-def _columns(docs: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows as ``__doc`` with a number of their own, ``__row``: their place in ``docs``, which a written table gives alike each
+    time it is read."""
+    return docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
