@@ -593,6 +593,26 @@ def test_the_wrapper_of_the_tables_is_that_of_a_host(spark):
     assert got["http://y/0"] == ""  # too few pages: the names decide
 
 
+def test_lists_are_told_by_all_pages_of_a_host(spark):
+    """One page of 120 repeats the posts of the section, a page too long for a sample or one of a form of its own; a single post is then one, too."""
+    def page(i, posts, more=""):
+        posts = "".join(f"<div><b>who {i} {k}</b><p>says {i} {k}</p></div>" for k in range(posts))
+        return f"<article><p>a {i}</p>{'<p>x</p><h3>y</h3>' * (i % 40)}{more}<section class=discussion>{posts}</section></article>"
+
+    def pages(host, one, posts=0):
+        return [(f"http://{host}/{i}", one if i == 77 else page(i, posts)) for i in range(120)]
+
+    long = "".join(f"<h{k % 6 + 1}>w {k}</h{k % 6 + 1}>" * 2 for k in range(1, 900))
+    rows = pages("long", page(77, 3, long), 1) + pages("rare", page(77, 2, "<h5>z</h5><table><tr><td>q</table>"), 1) + pages("none", page(77, 1), 1)
+    got = {r.url: r.text for r in wrappers.extract_text(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert len(got) == 360
+    assert [u for u, t in got.items() if ("who" in t or "says" in t) != u.startswith("http://none/")] == []
+    for host in ("long", "rare", "none"):
+        some = [p for u, p in rows if u.startswith(f"http://{host}/")]
+        wrapper = wrappers.infer([wrappers.skeleton(p) for p in some])
+        assert [wrappers.extract(p, wrapper) for p in some] == [got[u] for u, _ in rows if u.startswith(f"http://{host}/")]
+
+
 def test_malformed_pages_take_linear_time():
     import time
 

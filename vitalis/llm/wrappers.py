@@ -14,8 +14,10 @@ On a host with at least ``MANY`` different pages the wrapper decides:
 * a class, id or role word that names something else is overruled if, on nearly all pages that have slots,
   all slots lie inside the element: it is a frame around the main text (``with-sidebar``), not the
   thing that the word names;
-* a word that also names parts of an article (``DOUBTFUL``) is taken at its word if the aligned
-  streams show a repeated group of items inside the element (a list of posts), and is overruled if not.
+* a word that also names parts of an article (``DOUBTFUL``) is taken at its word if the streams of the
+  host, aligned by their repeated groups, show a repeated group of items inside the element (a list of posts), and
+  is overruled if not: a page that repeats the items there says so, and so does one with a single item that another
+  page of the host repeats.
 
 Elements that HTML itself keeps for other things (navigation, headers, footers, forms, asides) never hold main
 text, and neither does what lies in an element that words mark and no slot pattern clears: a reader comment differs
@@ -23,8 +25,7 @@ from page to page like the article does, so only its name tells.  Of all other t
 ``article`` or ``main`` element are main text if the page has one; on other pages, all are.  On
 hosts with fewer pages, the words alone decide.
 
-Only the alignment is bounded: it takes ``SAMPLE`` different token streams of each
-host, picked by hash, of at most ``TOKENS`` tokens each.  Copies of a page count once.  Pages are
+Nothing is sampled: every different page of a host is read, folded and counted.  Copies of a page count once.  Pages are
 read in one pass, in time linear in their length, and a tag path is a node with a link to its parent.
 
 Nulls: a null page is empty and has no text; a null url or one without a host
@@ -41,7 +42,6 @@ import html
 import json
 import re
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,12 +52,12 @@ from vitalis.llm.common import add_columns, slices, table, without, written
 
 #: Different pages that a template needs; part of them that its texts are on; part of all texts from which on pages are near copies.
 MANY, NEARLY, ALIKE = 5, 0.95, 0.8
-#: Token streams of a host to align, and the hash buckets that they are picked from.
-SAMPLE, PICKS = 8, 64
 #: Bytes of all wrappers up to which they are broadcast; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
-#: Tokens of the longest repeated group, and of a stream that is aligned.
-LONGEST, TOKENS = 12, 4_000
+#: Tokens of the longest repeated group.
+LONGEST = 12
+#: Forms whose repeated groups a task remembers.
+FORMS = 10_000
 #: Marked elements inside each other that may be overruled; what lies deeper stays cut.
 DEPTH = 8
 
@@ -300,8 +300,8 @@ def skeleton(page: str) -> list[list]:
     return folded(read(page))
 
 
-def folded(stream: list[tuple[str, str, Path]]) -> list[list]:
-    return fold([[t, False, "#", [[xxhash.xxh3_64_hexdigest(s)], p.key, p.kind(), list(p.marks), list(p.maybe)]] if t == "#" else [t, False, "t", None] for t, s, p in stream])
+def folded(stream: list[tuple[str, str, Path]], texts: bool = True) -> list[list]:
+    return fold([[t, False, "#", [[xxhash.xxh3_64_hexdigest(s)] if texts else [], p.key, p.kind(), list(p.marks), list(p.maybe)]] if t == "#" else [t, False, "t", None] for t, s, p in stream])
 
 
 def lists_of(nodes: list[list]) -> set[int]:
@@ -310,12 +310,39 @@ def lists_of(nodes: list[list]) -> set[int]:
     for n in nodes:
         if n[2] == "+":
             out |= lists_of(n[3])
-            first = n[3][0]
-            if first[2] == "t" and plain(first[0]) in ITEMS and not any(k[2] == "t" and k[0].endswith("?") for k in n[3]):
+            if of_items(n[3]):
                 out |= {k for t in texts_in(n[3]) for k in t[4]}
     return out
 
 
+def of_items(group: list[list]) -> bool:
+    """Does a group start with an item and hold no doubtful element?"""
+    return group[0][2] == "t" and plain(group[0][0]) in ITEMS and not any(k[2] == "t" and k[0].endswith("?") for k in group)
+
+
+def unit_of(group: list[list]) -> int:
+    """Number of a group by its tokens."""
+    return xxhash.xxh3_64_intdigest(" ".join(n[0] for n in group).encode()) >> 1
+
+
+def items_of(nodes: list[list]) -> tuple[set[int], set[int], set[tuple[int, int]]]:
+    """What a page tells of lists: groups of items that it repeats, doubtful elements that hold a repeated group of items, and
+    (group, doubtful element) of what would be one if another page of the host repeats that group."""
+    units = {unit_of(n[3]) for n in nodes if n[2] == "+" and of_items(n[3])}
+    single: set[tuple[int, int]] = set()
+    for at, n in enumerate(nodes):
+        if n[2] != "t" or plain(n[0]) not in ITEMS:
+            continue
+        for to in range(at + 1, min(at + LONGEST, len(nodes)) + 1):
+            group = nodes[at:to]
+            if not of_items(group):
+                break
+            if keys := {k for t in texts_in(group) for k in t[4]}:
+                unit = unit_of(group)
+                single |= {(unit, k) for k in keys}
+    return units, lists_of(nodes), single
+
+
 def texts_in(nodes: list[list]) -> list[list]:
     """Contents of the text nodes."""
     return [t for n in nodes for t in ([n[3]] if n[2] == "#" else texts_in(n[3]) if n[2] == "+" else [])]
@@ -352,11 +379,10 @@ def template(pages: int, texts: list[int], common: list[tuple[int, int, int]]) -
 
 
 def align_all(pages: list[list[list]]) -> list[int]:
-    """Doubtful elements that are lists in the aligned skeletons of a host."""
-    whole = pages[0] if pages else []
-    for p in pages[1:]:
-        whole = align(whole, p)
-    return sorted(lists_of(whole))
+    """Doubtful elements that are lists in the skeletons of a host, aligned by their repeated groups."""
+    told = [items_of(p) for p in pages]
+    units = {u for t in told for u in t[0]}
+    return sorted({k for t in told for k in t[1]} | {k for t in told for u, k in t[2] if u in units})
 
 
 def infer(pages: list[list[list]]) -> dict:
@@ -376,7 +402,7 @@ def infer(pages: list[list[list]]) -> dict:
         for m in inside_all(marks):
             frames[m] = frames.get(m, 0) + 1
     main = any(kind == 2 for page in told for kind, _ in page.values())
-    return conclude(len(distinct), texts, common, list(frames.items()), sum(map(bool, slots)), main, align_all(distinct[:SAMPLE]))
+    return conclude(len(distinct), texts, common, list(frames.items()), sum(map(bool, slots)), main, align_all(distinct))
 
 
 NONE = {"many": False, "main": False, "frames": [], "lists": [], "fixed": []}
@@ -431,15 +457,17 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     """Wrapper of each host as JSON; ``pages`` has ``host`` and ``html``.
 
     Every page tells the keys of its texts; they are counted by (host, key) over the different
-    pages, with partial sums before the shuffle.  A task keeps one skeleton for each host and hash
-    bucket of a batch, so that little is shuffled even if one host has a third of all pages.
+    pages, with partial sums before the shuffle.  A batch tells the repeated groups of each of its
+    token streams once, and the single items are joined with the groups of all pages by (host, group), so
+    that little is shuffled and no task gets a host, even if one host has a third of all pages.
     """
 
     def tell(batches):
+        known: dict[int, tuple[list[int], list[int], list[dict]]] = {}  # by form, which says all about groups
         for batch in batches:
             for part in slices(batch, "html"):
-                rows: dict[tuple[str, int], tuple[list, int]] = {}
-                best: dict[tuple[str, int], tuple[int, int, list]] = {}
+                rows: dict[tuple[str, int], tuple] = {}
+                forms: set[tuple[str, int]] = set()
                 for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
                     h = xxhash.xxh3_64_intdigest(page.encode()) >> 1
                     if (host, h) in rows:
@@ -447,17 +475,18 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                     stream = read(page)
                     texts = {key_of(p.key, xxhash.xxh3_64_hexdigest(s)): p for t, s, p in stream if t == "#" and not p.hard}
                     form = xxhash.xxh3_64_intdigest(" ".join(t for t, *_ in stream).encode()) >> 1
-                    rows[host, h] = [{"key": k, "kind": p.kind(), "marks": list(p.marks)} for k, p in texts.items()], form
-                    if len(stream) <= TOKENS and ((host, form % PICKS) not in best or (form, h) < best[host, form % PICKS][:2]):
-                        best[host, form % PICKS] = form, h, stream
-                keep: dict[str, list] = {}
-                for (host, _), some in best.items():
-                    keep.setdefault(host, []).append(some)
-                chosen = {(host, h): json.dumps(folded(stream)) for host, some in keep.items() for _, h, stream in sorted(some, key=lambda x: x[:2])[:SAMPLE]}
-                cols = {"host": [k[0] for k in rows], "h": [k[1] for k in rows], "texts": [v[0] for v in rows.values()], "form": [v[1] for v in rows.values()], "skeleton": [chosen.get(k) for k in rows]}
+                    if form not in known:
+                        if len(known) >= FORMS:
+                            known.clear()
+                        units, lists, single = items_of(folded(stream, False))
+                        known[form] = sorted(units), sorted(lists), [{"unit": u, "key": k} for u, k in sorted(single)]
+                    first = (host, form) not in forms
+                    forms.add((host, form))
+                    rows[host, h] = [{"key": k, "kind": p.kind(), "marks": list(p.marks)} for k, p in texts.items()], *(known[form] if first else ([], [], []))
+                cols = {"host": [k[0] for k in rows], "h": [k[1] for k in rows], **{n: [v[i] for v in rows.values()] for i, n in enumerate(("texts", "units", "lists", "single"))}}
                 yield pa.RecordBatch.from_pydict(cols, schema=TOLD)
 
-    told = written(pages.mapInArrow(tell, "host string, h long, texts array<struct<key: long, kind: int, marks: array<long>>>, form long, skeleton string"), "told")
+    told = written(pages.mapInArrow(tell, "host string, h long, texts array<struct<key: long, kind: int, marks: array<long>>>, units array<long>, lists array<long>, single array<struct<unit: long, key: long>>"), "told")
     different = told.select("host", "h", "texts").dropDuplicates(["host", "h"])
     kinds = F.col("texts.kind")
     n_texts = [F.sum(F.size(kinds) - F.size(F.array_remove(kinds, k))).alias(f"t{k}") for k in range(4)]
@@ -483,14 +512,10 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     slotted = marked.groupBy("host").agg(F.count(F.lit(1)).alias("slotted"))
     frames = frames.filter("mark IS NOT NULL AND mark >= 0").join(slotted, "host").filter(F.col("n") >= NEARLY * F.col("slotted"))
     frames = frames.groupBy("host").agg(F.collect_list(F.struct("mark", "n")).alias("frames"), F.first("slotted").alias("slotted"))  # nested in each other: DEPTH at most
-    bucket = F.pmod("form", F.lit(PICKS)).alias("bucket")
-    least = told.filter("skeleton IS NOT NULL").groupBy("host", bucket).agg(F.min("form").alias("form"), F.min_by("skeleton", F.struct("form", "h")).alias("skeleton"))
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        some = pdf.sort_values("form").head(SAMPLE)  # of PICKS rows at most
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "lists": [align_all([json.loads(s) for s in some["skeleton"]])]})
-
-    lists = least.groupBy("host").applyInPandas(learn, "host string, lists array<long>")
+    units = told.select("host", F.explode("units").alias("unit")).distinct()
+    single = told.select("host", F.inline("single")).distinct().join(units, ["host", "unit"], "left_semi").select("host", "key")
+    lists = told.select("host", F.explode("lists").alias("key")).union(single)
+    lists = lists.groupBy("host").agg(F.collect_set("key").alias("lists"))  # as many as the host has doubtful elements, by tag path
     joined = known.join(frames, "host", "left").join(lists, "host", "left")
 
     def finish(batches):
@@ -502,7 +527,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     return joined.mapInArrow(finish, "host string, wrapper string")
 
 
-TOLD = pa.schema([("host", pa.string()), ("h", pa.int64()), ("texts", pa.list_(pa.struct([("key", pa.int64()), ("kind", pa.int32()), ("marks", pa.list_(pa.int64()))]))), ("form", pa.int64()), ("skeleton", pa.string())])
+TOLD = pa.schema([("host", pa.string()), ("h", pa.int64()), ("texts", pa.list_(pa.struct([("key", pa.int64()), ("kind", pa.int32()), ("marks", pa.list_(pa.int64()))]))), ("units", pa.list_(pa.int64())), ("lists", pa.list_(pa.int64())), ("single", pa.list_(pa.struct([("unit", pa.int64()), ("key", pa.int64())])))])
 MADE = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
 
 
