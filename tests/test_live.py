@@ -87,6 +87,21 @@ def test_global_window_by_panes_is_brute_force(spark, panes):
                 assert r[s]["count"] == stats[s][0] and math.isclose(r[s]["avg"], stats[s][1], abs_tol=1e-6) and (r[s]["min"], r[s]["max"]) == stats[s][2:]
 
 
+def test_global_lists_travel_through_no_sort(spark):
+    """Odd rows and rows alike give the frames by hand, and no running state holds the patients of a frame."""
+    rows = odd_rows(160, 2.0) + odd_rows(40, 2.0) + [(None, "P9", "other", 1.0, None, None, 150.0)] * 2
+    want = global_by_hand(rows, 12)
+    out = W.global_trailing(readings_df(spark, rows), 12 * US, digits=6)
+    got = out.collect()
+    assert sorted(repr(r.event_id) for r in got) == sorted(repr(r[0]) for r in rows)
+    for r in got:
+        d, n, people, *_ = want[r.event_id]
+        assert (r.window_duration, r["count"], r.patient_ids) == (d, n, people)
+    assert [r.sensor_types for r in got if r.event_id is None] == [["other", "pulse", "spo2"]] * 2
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert [x[:200] for x in plan.splitlines() if "collect_" in x and "windowspecdefinition" in x] == []
+
+
 def test_a_window_that_holds_most_rows_is_many_tasks(spark):
     """90 % of the rows lie in one W; the largest task of the running states gets less than a quarter of them."""
     hot = spark.range(18_000).select((F.col("id") * 1_000_000 + 10**15).alias("_us"))  # 5 hours at one second
