@@ -18,7 +18,7 @@ from vitalis.sources import catalog, sinks, store
 from vitalis.streaming import stream as S
 from vitalis.streaming.progress import progress_to
 from vitalis.streaming.snapshots import global_trailing_stream
-from vitalis.streaming.state import current_from_state, state_rows, trailing_stream_exact
+from vitalis.streaming.state import STORE_MB, current_from_state, state_rows, trailing_stream_exact, use_rocksdb_state
 from tests.conftest import BASE, readings_df
 
 US = 1_000_000
@@ -185,6 +185,30 @@ def test_global_stream_is_the_batch_window_on_closed_time(spark, panes):
         assert all(same(r[c], want[t][c]) for c in out.columns), (r, want[t])
 
 
+def test_state_stores_share_their_memory(spark):
+    """Write buffers and cache of all stores of an executor are bounded together; what the session says stays."""
+    keys = [f"spark.sql.streaming.stateStore.rocksdb.{x}" for x in ("boundedMemoryUsage", "maxMemoryUsageMB")]
+    before = [spark.conf.get(k, None) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        use_rocksdb_state(spark)
+        assert [spark.conf.get(k, None) for k in keys] == ["true", str(STORE_MB)]
+        spark.conf.set(keys[1], "99")
+        use_rocksdb_state(spark)
+        assert spark.conf.get(keys[1]) == "99"
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
+def test_global_stream_groups_hold_one_sensor(spark):
+    """The state of the first stage has one sensor's numbers a row."""
+    out = global_trailing_stream(spark.readStream.schema(READINGS_SCHEMA).parquet(scratch_path(spark, "t-none")), 12 * US, "10 seconds", 6, 1)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert [x.count("sum(") for x in plan.splitlines() if "Aggregate [" in x and "_p#" in x] == [2]
+
+
 def test_kpis_of_a_stream_are_exact(spark):
     rows = [(i, f"P{(i * 7919) % 3001}" if i % 50 else None, ("pulse", "spo2", None)[i % 3], 1.0, None, None, i * 0.02) for i in range(9_000)]
     out = S.run_to_table(S.kpis_stream(stream_of(spark, as_files(spark, rows, 2)), "1 minute", "5 seconds"), "t-kpis").orderBy("window_start").collect()
