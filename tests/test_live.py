@@ -204,7 +204,7 @@ def test_state_stores_share_their_memory(spark):
 
 def test_global_stream_groups_hold_one_sensor(spark):
     """The state of the first stage has one sensor's numbers a row."""
-    out = global_trailing_stream(spark.readStream.schema(READINGS_SCHEMA).parquet(scratch_path(spark, "t-none")), 12 * US, "10 seconds", 6, 1)
+    out = global_trailing_stream(stream_of(spark, as_files(spark, odd_rows(4), 1)), 12 * US, "10 seconds", 6, 1)
     plan = out._jdf.queryExecution().analyzed().toString()
     assert [x.count("sum(") for x in plan.splitlines() if "Aggregate [" in x and "_p#" in x] == [2]
 
