@@ -2,6 +2,7 @@
 
 import json
 import math
+import pathlib
 import time
 
 import pytest
@@ -12,9 +13,10 @@ from vitalis.operators import windows as W
 from vitalis.operators.history import History
 from vitalis.plans.analysis import run_observed
 from vitalis.operators.quality import quality_report
-from vitalis.schema import READINGS_SCHEMA
+from vitalis.schema import READINGS_SCHEMA, SCALAR_SENSORS
 from vitalis.session import scratch_path
 from vitalis.sources import catalog, sinks, store
+from vitalis.streaming import snapshots
 from vitalis.streaming import stream as S
 from vitalis.streaming.progress import progress_to
 from vitalis.streaming.snapshots import global_trailing_stream
@@ -209,6 +211,48 @@ def test_global_stream_groups_hold_one_sensor(spark):
     assert [x.count("sum(") for x in plan.splitlines() if "Aggregate [" in x and "_p#" in x] == [2]
 
 
+def test_global_stream_holds_its_readings_once(spark):
+    """One aggregate holds the readings; no row of a pane's total, with its patients, goes to the second stage, and none has a column per sensor."""
+    out = global_trailing_stream(stream_of(spark, as_files(spark, odd_rows(4), 1)), 12 * US, "10 seconds", 6, 3)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert len([x for x in plan.splitlines() if "Aggregate [" in x]) == 1 and "collect_set" not in plan
+    assert not any(f"mx_{s}" in x for x in plan.splitlines() for s in SCALAR_SENSORS if "explode" in x)
+
+
+def test_global_stream_makes_long_lists_a_part_at_a_time(monkeypatch):
+    """The frames of a hundred times and 300 patients, on both sides of a block's start, sums beyond 64 bits included."""
+    monkeypatch.setattr(snapshots, "NAMES", 3_000)
+    made, n = snapshots.ClosedPanes(60 * US, 20 * US), 300
+    us = [(60 + i // 3) * US for i in range(n)]  # the last 60 s of one block and 40 s of the next
+    large = [str(10**20 + i) if i % 2 else "" for i in range(n)]
+    rows = [us, [f"P{i}" for i in range(n)], ["pulse"] * n, [1] * n, [0 if x else i for i, x in enumerate(large)], large, [math.nan] * n, [float(i) for i in range(n)], [float(i) for i in range(n)]]
+    frames = list(made._snapshots(2, [tuple(rows)], 6, 8))
+    assert len(frames) > 3 and all(sum(len(x) for x in f.patients) <= 3_000 for f in frames)
+    got = [r for f in frames for r in f.itertuples()]
+    assert [r.us for r in got] == sorted(set(us[180:]))
+    for r in got:
+        k = [i for i in range(n) if r.us - 60 * US <= us[i] <= r.us]
+        assert (r.first, r.count, sorted(r.patients), list(r.sensors)) == (us[k[0]], len(k), sorted(f"P{i}" for i in k), ["pulse"])
+        assert (r.n_pulse, r.s_pulse, r.mn_pulse, r.mx_pulse) == (len(k), sum(int(large[i] or i) for i in k), k[0], k[-1])
+        assert r.n_spo2 == 0
+
+
+def test_files_of_long_lists_are_small(spark):
+    """Lists that hardly differ from row to row: the files have a tenth of the lists' names at most, and the session's settings stay."""
+    before = {k: spark.conf.get(k, None) for k in S.LONG_LISTS}
+    names = F.transform(F.sequence(F.col("event_id"), F.col("event_id") + 1_999), lambda x: F.concat(F.lit("P"), (x * 7919 % 100_003).cast("string")))
+    rows = readings_df(spark, [(i, "P", "pulse", 1.0, None, None, float(i)) for i in range(400)]).coalesce(1)
+    d, sizes = scratch_path(spark, "t-long").replace("file:", ""), {}
+    rows.write.parquet(d)
+    for long_lists in (False, True):
+        base = scratch_path(spark, "t-long").replace("file:", "")
+        out = S.run_to_table(stream_of(spark, d).select("event_id", names.alias("l")), "t", base=base, long_lists=long_lists)
+        assert out.count() == 400 and out.filter(F.size("l") == 2_000).count() == 400
+        sizes[long_lists] = sum(x.stat().st_size for x in pathlib.Path(f"{base}/out").glob("*.parquet"))
+    assert sizes[True] < 400 * 2_000 * 6 / 10 and sizes[True] < sizes[False] / 2
+    assert {k: spark.conf.get(k, None) for k in S.LONG_LISTS} == before
+
+
 def test_kpis_of_a_stream_are_exact(spark):
     rows = [(i, f"P{(i * 7919) % 3001}" if i % 50 else None, ("pulse", "spo2", None)[i % 3], 1.0, None, None, i * 0.02) for i in range(9_000)]
     out = S.run_to_table(S.kpis_stream(stream_of(spark, as_files(spark, rows, 2)), "1 minute", "5 seconds"), "t-kpis").orderBy("window_start").collect()
