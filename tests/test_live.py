@@ -104,6 +104,19 @@ def test_global_lists_travel_through_no_sort(spark):
     assert [x[:200] for x in plan.splitlines() if "collect_" in x and "windowspecdefinition" in x] == []
 
 
+def test_global_rows_are_dealt_once_to_their_panes(spark):
+    """What a pane's task makes of its rows isn't shuffled to make the running states: there the readings come straight from the scan."""
+    out = W.global_trailing(readings_df(spark, odd_rows(40, 2.0)), 12 * US, digits=6)
+    lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    ids = next(i for i, x in enumerate(lines) if "Aggregate [" in x and "collect_list" in x and "event_id" in x)
+    assert "RepartitionByExpression [_part" in lines[ids + 1]
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    top = max(i for i, x in enumerate(plan) if "Window [" in x and "_upto" in x)  # the running states, above the aggregate of the ids
+    end = next(i for i, x in enumerate(plan) if i > top and "collect_list" in x)
+    assert depth(plan[top]) < depth(plan[end]) and not any("Exchange" in x for x in plan[top:end])
+
+
 def test_a_window_that_holds_most_rows_is_many_tasks(spark):
     """90 % of the rows lie in one W; the largest task of the running states gets less than a quarter of them."""
     hot = spark.range(18_000).select((F.col("id") * 1_000_000 + 10**15).alias("_us"))  # 5 hours at one second
